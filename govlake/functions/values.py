@@ -52,8 +52,3 @@ def as_time(value: dt.datetime | str | None) -> Column:
     """A pinned timestamp, or the query's own start time when none is given."""
     return F.current_timestamp() if value is None else F.lit(str(value)).cast("timestamp")
 
-
-def pad(number: Column, width: int, fill: str = "0") -> Column:
-    """Left-pad digits to `width`; longer numbers stay whole (plain lpad would cut them)."""
-    text = number.cast("string")
-    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit(fill))

@@ -543,7 +543,7 @@ def _bruteforce(spark, sf):
     tries = fixture.table(spark, sf, "customer").count() // 2
     hashed = Layers(spark, sf).customers().select(
         masks.pseudonymize(F.col("customer_id"), 1).alias("hash"))
-    return anonymize.bruteforce_rate(hashed, "hash", fixture.customer_key, tries)
+    return anonymize.bruteforce_rate(hashed, "hash", fixture.customer_key_column, tries)
 
 
 @register("anonymized_scope_by_persona", f"""

@@ -8,106 +8,107 @@ with the tables. The currency lookup follows the customer's nation.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from govlake.functions.values import as_time, pad
+from govlake.functions.values import as_time
 
 ID_WIDTH, ORDER_WIDTH = 6, 8
-# n_regionkey 0..4 -> currency text as it arrives, blanks and case included
-CURRENCY_TEXT = (" zar", "usd", "JPY", "eur ", "AED")
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _text(value: Column) -> Column:
-    return value.cast("string")
+@lru_cache(maxsize=256)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
 
 
-def _every(key: Column, n: int) -> Column:
-    return key % n == 0
-
-
-def customer_key(key: Column) -> Column:
-    return F.concat(F.lit("C"), pad(key, ID_WIDTH))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table. Its footer is read once per session: a plan that names a table several
+    times, or a folder of very many files, should not pay for schema discovery each time."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
+
+
+def pad(number: str, width: int, fill: str = "0") -> str:
+    """Left-pad digits to `width`; longer numbers stay whole (plain lpad would cut them)."""
+    text = f"string({number})"
+    return f"lpad({text}, greatest({width}, length({text})), '{fill}')"
+
+
+def customer_key(key: str) -> str:
+    return f"'C' || {pad(key, ID_WIDTH)}"
+
+
+def customer_key_column(key: Column) -> Column:
+    text = key.cast("string")
+    return F.concat(F.lit("C"), F.lpad(text, F.greatest(F.lit(ID_WIDTH), F.length(text)),
+                                       F.lit("0")))
+
+
+# k is the customer's key
+_CUSTOMER = (
+    f"{customer_key('k')} AS customer_id",
+    "'Given' || k % 50 AS first_name",
+    "'Family' || k % 400 AS last_name",
+    """CASE WHEN k % 83 = 0 THEN '' WHEN k % 89 = 0 THEN '   ' WHEN k % 97 = 0 THEN NULL
+       ELSE ' Given' || k % 50 || '.' || k || '@Mail' || k % 4 || '.example ' END AS email""",
+    f"'+1-555-' || {pad('k * 7919 % 10000000', 7)} AS phone",
+    """CASE WHEN k % 101 = 0 THEN 'not-a-date'
+       ELSE string(date_add(DATE'1940-01-01', int(k * 7919 % 25000))) END AS date_of_birth""",
+    f"{pad('k * 104729 % 1000000000', 9)} AS national_id",
+    "k || ' Main Street' AS street_address",
+    "'City' || k % 120 AS city",
+    f"{pad('k * 37 % 100000', 5)} AS postcode",
+    "n_name AS country",
+    "r_name AS region",
+    "lower(c_mktsegment) AS segment",
+    "CASE WHEN k * 7 % 20 < 11 THEN 'True' ELSE 'False' END AS marketing_consent",
+    "string(date_add(DATE'1993-01-01', int(k % 700))) AS created_at",
+    "string(NULL) AS _rescued_data",
+)
+
+_ORDER_CUSTOMER = (f"CASE WHEN o_orderkey % 331 = 0 THEN 'C9' || {pad('o_orderkey % 100000', 5)} "
+                   f"ELSE {customer_key('o_custkey')} END AS customer_id")
+
+# o is the order's key, a its amount as text; the card's key is reduced first so that the product
+# stays inside BIGINT for any order key
+_ORDER = (
+    f"'O' || {pad('o', ORDER_WIDTH)} AS order_id",
+    "customer_id",
+    """CASE WHEN o % 313 = 0 THEN '2099-01-01' WHEN o % 509 = 0 THEN 'bad-date'
+       ELSE string(date(o_orderdate)) END AS order_date""",
+    "CASE WHEN o % 307 = 0 THEN '-' || a WHEN o % 521 = 0 THEN 'n/a' ELSE a END AS amount",
+    """CASE n_regionkey WHEN 0 THEN ' zar' WHEN 1 THEN 'usd' WHEN 2 THEN 'JPY' WHEN 3 THEN 'eur '
+       WHEN 4 THEN 'AED' END AS currency""",
+    f"{pad('((o % 3000000000) * 2654435761) % 10000000000000000', 16, '4')} AS card_number",
+    """CASE WHEN o % 50 < 45 THEN ' Completed' WHEN o % 50 < 48 THEN 'refunded'
+       ELSE 'CANCELLED' END AS status""",
+    "string(NULL) AS _rescued_data",
+)
 
 
 def bronze_customers(spark: SparkSession, sf_dir: str, ingested_at: str | None = None) -> DataFrame:
-    k = F.col("c_custkey")
-    place = (table(spark, sf_dir, "nation")
-             .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-             .select("n_nationkey", "n_name", "r_name"))
-    address = F.concat(F.lit(" Given"), _text(k % 50), F.lit("."), _text(k), F.lit("@Mail"),
-                       _text(k % 4), F.lit(".example "))
-    return (
-        table(spark, sf_dir, "customer")
-        .join(place, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            customer_key(k).alias("customer_id"),
-            F.concat(F.lit("Given"), _text(k % 50)).alias("first_name"),
-            F.concat(F.lit("Family"), _text(k % 400)).alias("last_name"),
-            F.when(_every(k, 83), "").when(_every(k, 89), "   ")
-             .when(_every(k, 97), F.lit(None)).otherwise(address).alias("email"),
-            F.concat(F.lit("+1-555-"), pad((k * 7919) % 10_000_000, 7)).alias("phone"),
-            F.when(_every(k, 101), "not-a-date")
-             .otherwise(_text(F.date_add(F.lit("1940-01-01").cast("date"),
-                                         ((k * 7919) % 25_000).cast("int"))))
-             .alias("date_of_birth"),
-            pad((k * 104_729) % 1_000_000_000, 9).alias("national_id"),
-            F.concat(_text(k), F.lit(" Main Street")).alias("street_address"),
-            F.concat(F.lit("City"), _text(k % 120)).alias("city"),
-            pad((k * 37) % 100_000, 5).alias("postcode"),
-            F.col("n_name").alias("country"),
-            F.col("r_name").alias("region"),
-            F.lower("c_mktsegment").alias("segment"),
-            F.when((k * 7) % 20 < 11, "True").otherwise("False").alias("marketing_consent"),
-            _text(F.date_add(F.lit("1993-01-01").cast("date"), (k % 700).cast("int")))
-             .alias("created_at"),
-            F.lit(None).cast("string").alias("_rescued_data"),
-            as_time(ingested_at).alias("_ingested_at"),
-        ))
-
-
-def _order_customer_id() -> Column:
-    o = F.col("o_orderkey")
-    return (F.when(_every(o, 331), F.concat(F.lit("C9"), pad(o % 100_000, 5)))
-             .otherwise(customer_key(F.col("o_custkey"))))
+    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    region = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    return (table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "k")
+            .join(nation.join(region, "n_regionkey"), "c_nationkey")
+            .selectExpr(*_CUSTOMER).withColumn("_ingested_at", as_time(ingested_at)))
 
 
 def order_customer_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The join key of every bronze order, straight from the scan (no lookup of the currency)."""
-    return table(spark, sf_dir, "orders").select(_order_customer_id().alias("customer_id"))
+    return table(spark, sf_dir, "orders").selectExpr(_ORDER_CUSTOMER)
 
 
 def bronze_orders(spark: SparkSession, sf_dir: str, ingested_at: str | None = None) -> DataFrame:
-    o = F.col("o_orderkey")
-    region_of = (table(spark, sf_dir, "customer")
-                 .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-                 .select("c_custkey", "n_regionkey"))
-    amount = _text(F.col("o_totalprice").cast("decimal(12,2)"))
-    currency = F.lit(None).cast("string")
-    for regionkey in reversed(range(len(CURRENCY_TEXT))):
-        currency = (F.when(F.col("n_regionkey") == regionkey, CURRENCY_TEXT[regionkey])
-                    .otherwise(currency))
-    # the key is reduced first so the product stays inside BIGINT for any order key
-    card = ((o % 3_000_000_000) * 2_654_435_761) % 10_000_000_000_000_000
+    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    region_of = (table(spark, sf_dir, "customer").join(nation, "c_nationkey")
+                 .selectExpr("c_custkey AS o_custkey", "n_regionkey"))
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS o", "o_custkey", _ORDER_CUSTOMER, "o_orderdate",
+        "string(CAST(o_totalprice AS decimal(12,2))) AS a")
     # both sides shuffle plainly, so adaptive execution may split a customer with many orders
-    return (
-        table(spark, sf_dir, "orders")
-        .join(region_of, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            F.concat(F.lit("O"), pad(o, ORDER_WIDTH)).alias("order_id"),
-            _order_customer_id().alias("customer_id"),
-            F.when(_every(o, 313), "2099-01-01").when(_every(o, 509), "bad-date")
-             .otherwise(_text(F.col("o_orderdate").cast("date"))).alias("order_date"),
-            F.when(_every(o, 307), F.concat(F.lit("-"), amount)).when(_every(o, 521), "n/a")
-             .otherwise(amount).alias("amount"),
-            currency.alias("currency"),
-            pad(card, 16, "4").alias("card_number"),
-            F.when(o % 50 < 45, " Completed").when(o % 50 < 48, "refunded")
-             .otherwise("CANCELLED").alias("status"),
-            F.lit(None).cast("string").alias("_rescued_data"),
-            as_time(ingested_at).alias("_ingested_at"),
-        ))
+    return (orders.join(region_of, "o_custkey")
+            .selectExpr(*_ORDER).withColumn("_ingested_at", as_time(ingested_at)))

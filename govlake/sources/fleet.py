@@ -8,8 +8,7 @@ item. Every value is a function of its own row, computed without a shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from govlake.design import ALL_USERS, LAYERS, OWNERS, TAG_VOCABULARY
 from govlake.sources.fixture import table
@@ -24,82 +23,79 @@ GRANTEES = ("analyst", "data_engineer", "auditor", ALL_USERS, "analyst_eu", "con
 COLUMN_NAMES = ("email", "national_id", "date_of_birth", "amount", "status", "region", "city")
 
 
-def pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def pick(values: tuple[str, ...], index: str) -> str:
+    """SQL for the value at a zero-based index."""
+    return f"elt(int({index}) + 1, {', '.join(repr(v) for v in values)})"
 
 
-def _text(value: Column) -> Column:
-    return value.cast("string")
+def schema_of(key: str) -> str:
+    """`<layer>_<n>`: one of 25 schemas, five per layer."""
+    n = f"(({key}) % {SCHEMAS})"
+    return f"{pick(LAYER_ORDER, f'{n} % {len(LAYER_ORDER)}')} || '_' || {n}"
 
 
-def schema_of(key: Column) -> Column:
-    """`<layer>_<n>`: one of 25 schemas, five per layer."""
-    n = key % SCHEMAS
-    return F.concat(pick(LAYER_ORDER, n % len(LAYER_ORDER)), F.lit("_"), _text(n))
+def catalog_of(key: str) -> str:
+    return f"'env' || ((({key}) % {SCHEMAS}) % {CATALOGS})"
 
 
-def catalog_of(key: Column) -> Column:
-    return F.concat(F.lit("env"), _text((key % SCHEMAS) % CATALOGS))
+def table_of(key: str) -> str:
+    return f"'t' || ({key})"
 
 
-def table_of(key: Column) -> Column:
-    return F.concat(F.lit("t"), _text(key))
+def full_name(key: str) -> str:
+    return f"{schema_of(key)} || '.' || {table_of(key)}"
 
 
 def tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        catalog_of(k).alias("table_catalog"), schema_of(k).alias("table_schema"),
-        table_of(k).alias("table_name"),
-        F.when(k % 11 == 0, "VIEW").when(k % 13 == 0, "MATERIALIZED_VIEW").otherwise("MANAGED")
-         .alias("table_type"),
-        F.when(k % 41 == 0, F.concat(F.lit("user"), _text(k % 7))).otherwise(OWNERS)
-         .alias("table_owner"))
+    return (table(spark, sf_dir, "customer").selectExpr("c_custkey AS k").selectExpr(
+        f"{catalog_of('k')} AS table_catalog", f"{schema_of('k')} AS table_schema",
+        f"{table_of('k')} AS table_name",
+        """CASE WHEN k % 11 = 0 THEN 'VIEW' WHEN k % 13 = 0 THEN 'MATERIALIZED_VIEW'
+           ELSE 'MANAGED' END AS table_type""",
+        f"CASE WHEN k % 41 = 0 THEN 'user' || k % 7 ELSE '{OWNERS}' END AS table_owner"))
 
 
 def tables_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same catalog later: some objects dropped, some changed type, some new."""
-    before, k = tables(spark, sf_dir), F.substring("table_name", 2, 20).cast("bigint")
-    kept = before.where(k % 29 != 0).withColumn(
-        "table_type", F.when(k % 37 == 0, "EXTERNAL").otherwise(F.col("table_type")))
-    new = before.where(k % 31 == 0).withColumn(
-        "table_name", F.concat(F.lit("backing_"), "table_name"))
+    before = tables(spark, sf_dir).selectExpr("*", "bigint(substring(table_name, 2)) AS k")
+    kept = before.where("k % 29 <> 0").selectExpr(
+        "table_catalog", "table_schema", "table_name",
+        "CASE WHEN k % 37 = 0 THEN 'EXTERNAL' ELSE table_type END AS table_type", "table_owner")
+    new = before.where("k % 31 = 0").selectExpr(
+        "table_catalog", "table_schema", "'backing_' || table_name AS table_name", "table_type",
+        "table_owner")
     return kept.unionByName(new)
 
 
-def _column_key() -> list[Column]:
-    t = F.col("o_custkey")
-    return [schema_of(t).alias("table_schema"), table_of(t).alias("table_name"),
-            F.concat(F.lit("c"), _text(F.col("o_orderkey"))).alias("column_name")]
+_COLUMN = (f"{schema_of('o_custkey')} AS table_schema", f"{table_of('o_custkey')} AS table_name",
+           "'c' || o_orderkey AS column_name")
 
 
 def columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
-        *_column_key(), pick(DATA_TYPES, o % len(DATA_TYPES)).alias("data_type"),
-        F.when(o % 43 == 0, F.lit(None)).when(o % 47 == 0, "")
-         .otherwise(F.concat(F.lit("Column "), _text(o))).alias("comment"))
+    return table(spark, sf_dir, "orders").selectExpr(
+        *_COLUMN, f"{pick(DATA_TYPES, f'o_orderkey % {len(DATA_TYPES)}')} AS data_type",
+        """CASE WHEN o_orderkey % 43 = 0 THEN NULL WHEN o_orderkey % 47 = 0 THEN ''
+           ELSE 'Column ' || o_orderkey END AS comment""")
 
 
 def column_tags(spark: SparkSession, sf_dir: str, later: bool = False) -> DataFrame:
     """Tags of every column. `later` gives the state after a rebuild that lost a few tags and
     changed a few values."""
-    o = F.col("o_orderkey")
-    level = F.when(o % 97 == 0, "secret").otherwise(pick(LEVELS, o % len(LEVELS)))
-    pii = pick(PII_TYPES, F.floor(o / 7) % len(PII_TYPES))
-    has_level, has_pii = o % 59 != 0, o % 7 == 0
+    level = f"CASE WHEN o % 97 = 0 THEN 'secret' ELSE {pick(LEVELS, f'o % {len(LEVELS)}')} END"
+    has_level = "o % 59 <> 0"
     if later:
-        has_level = has_level & (o % 67 != 0)
-        level = F.when(o % 71 == 0, "restricted").otherwise(level)
+        level = f"CASE WHEN o % 71 = 0 THEN 'restricted' ELSE {level} END"
+        has_level += " AND o % 67 <> 0"
 
-    def tag(condition: Column, name: str, value: Column) -> Column:
-        return F.when(condition, F.struct(F.lit(name).alias("tag_name"), value.alias("tag_value")))
+    def tag(condition: str, name: str, value: str) -> str:
+        return f"IF({condition}, struct('{name}' AS tag_name, {value} AS tag_value), NULL)"
 
-    carried = F.array_compact(F.array(tag(has_level, "classification", level),
-                                      tag(has_pii, "pii_type", pii),
-                                      tag(o % 31 == 0, "filter_key", F.lit("region"))))
-    return (table(spark, sf_dir, "orders").select(*_column_key(), F.explode(carried).alias("t"))
-            .select("table_schema", "table_name", "column_name", "t.tag_name", "t.tag_value"))
+    pii = pick(PII_TYPES, f"floor(o / 7) % {len(PII_TYPES)}")
+    carried = ", ".join((tag(has_level, "classification", level), tag("o % 7 = 0", "pii_type", pii),
+                         tag("o % 31 = 0", "filter_key", "'region'")))
+    return (table(spark, sf_dir, "orders").selectExpr(*_COLUMN, "o_orderkey AS o")
+            .selectExpr("table_schema", "table_name", "column_name",
+                        f"inline(array_compact(array({carried})))"))
 
 
 def privileges(spark: SparkSession, sf_dir: str, later: bool = False) -> DataFrame:
@@ -108,44 +104,36 @@ def privileges(spark: SparkSession, sf_dir: str, later: bool = False) -> DataFra
     Each grantee reaches two catalogs, four schemas and single tables, so no one sees all.
     `later` gives the state after a maintenance run that did not restore every grant.
     """
-    p = F.col("p_partkey")
-    g = F.floor(p / 10) % len(GRANTEES)
-    level = F.when(p % 10 == 0, "CATALOG").when(p % 10 < 5, "SCHEMA").otherwise("TABLE")
-    c, s = (g + F.floor(p / 60) % 2) % CATALOGS, ((p * 7) % 4) * len(GRANTEES) + g
-    rows = table(spark, sf_dir, "part")
+    rows = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS p", f"floor(p_partkey / 10) % {len(GRANTEES)} AS g",
+        "CASE WHEN p_partkey % 10 = 0 THEN 'CATALOG' WHEN p_partkey % 10 < 5 THEN 'SCHEMA' "
+        "ELSE 'TABLE' END AS object_type")
     if later:
-        rows = rows.where(p % 101 != 0)
-    return rows.select(
-        pick(GRANTEES, g).alias("grantee"),
-        F.when(level == "CATALOG", F.when(p % 30 == 0, "BROWSE").otherwise("USE_CATALOG"))
-         .when(level == "SCHEMA", F.when(p % 10 < 3, "USE_SCHEMA").otherwise("SELECT"))
-         .otherwise("SELECT").alias("privilege_type"),
-        level.alias("object_type"),
-        F.when(level == "CATALOG", F.concat(F.lit("env"), _text(c)))
-         .when(level == "SCHEMA", F.concat_ws(".", catalog_of(s), schema_of(s)))
-         .otherwise(F.concat_ws(".", catalog_of(p), schema_of(p), table_of(p)))
-         .alias("object_key"),
-        F.when(p % 9 == 8, "CATALOG").otherwise("NONE").alias("inherited_from"))
+        rows = rows.where("p % 101 <> 0")
+    s = f"(p * 7 % 4 * {len(GRANTEES)} + g)"
+    return rows.selectExpr(
+        f"{pick(GRANTEES, 'g')} AS grantee",
+        """CASE WHEN p % 30 = 0 THEN 'BROWSE' WHEN p % 10 = 0 THEN 'USE_CATALOG'
+           WHEN p % 10 < 3 THEN 'USE_SCHEMA' ELSE 'SELECT' END AS privilege_type""",
+        "object_type",
+        f"""CASE object_type WHEN 'CATALOG' THEN 'env' || (g + floor(p / 60) % 2) % {CATALOGS}
+            WHEN 'SCHEMA' THEN {catalog_of(s)} || '.' || {schema_of(s)}
+            ELSE {catalog_of('p')} || '.' || {full_name('p')} END AS object_key""",
+        "CASE WHEN p % 9 = 8 THEN 'CATALOG' ELSE 'NONE' END AS inherited_from")
 
 
 def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e, u = F.col("event_id"), F.col("user_id")
-    from_file = e % 9 == 0
-    return table(spark, sf_dir, "events").select(
-        F.when(~from_file, F.concat(schema_of((e * 31) % 100), F.lit("."),
-                                    table_of((e * 31) % 100))).alias("source_table"),
-        F.when(from_file, F.concat(F.lit("/landing/file"), _text(e % 5))).alias("source_path"),
-        F.when(from_file, "PATH").otherwise("TABLE").alias("source_type"),
-        schema_of(u).alias("target_schema"),
-        F.concat(schema_of(u), F.lit("."), table_of(u)).alias("target_table"),
-        F.col("ts").alias("event_time"), e.alias("event_id"))
+    return table(spark, sf_dir, "events").selectExpr(
+        f"CASE WHEN event_id % 9 <> 0 THEN {full_name('event_id * 31 % 100')} END AS source_table",
+        "CASE WHEN event_id % 9 = 0 THEN '/landing/file' || event_id % 5 END AS source_path",
+        "CASE WHEN event_id % 9 = 0 THEN 'PATH' ELSE 'TABLE' END AS source_type",
+        f"{schema_of('user_id')} AS target_schema", f"{full_name('user_id')} AS target_table",
+        "ts AS event_time", "event_id")
 
 
 def column_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p, s, n = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    name = pick(COLUMN_NAMES, n % len(COLUMN_NAMES))
-    return table(spark, sf_dir, "lineitem").select(
-        F.concat(schema_of(p), F.lit("."), table_of(p)).alias("source_table"),
-        name.alias("source_column"),
-        F.concat(schema_of(s), F.lit("."), table_of(s)).alias("target_table"),
-        F.when(p % 2 == 0, name).otherwise(F.concat(name, F.lit("_copy"))).alias("target_column"))
+    name = pick(COLUMN_NAMES, f"l_linenumber % {len(COLUMN_NAMES)}")
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        f"{full_name('l_partkey')} AS source_table", f"{name} AS source_column",
+        f"{full_name('l_suppkey')} AS target_table",
+        f"CASE WHEN l_partkey % 2 = 0 THEN {name} ELSE {name} || '_copy' END AS target_column")
