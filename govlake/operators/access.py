@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govlake.design import ALL_USERS, CATALOG
+from govlake.design import ALL_USERS, CATALOG, OWNERS
 from govlake.operators.evolve import snapshot_diff
 from govlake.principal import AccessDenied, Principal
 
@@ -66,16 +66,21 @@ def held_levels(privileges: DataFrame) -> DataFrame:
                  F.count_distinct("grantee").alias("grantees")))
 
 
+ALL = "ALL_PRIVILEGES"
+
+
 def _holds(privilege: str):
-    return F.bool_or(F.col("privilege_type") == privilege)
+    return F.bool_or(F.col("privilege_type").isin(privilege, ALL))
 
 
-def effective(tables: DataFrame, privileges: DataFrame, principal: Principal) -> DataFrame:
+def effective(tables: DataFrame, privileges: DataFrame, principal: Principal,
+              catalog_owner: str = OWNERS) -> DataFrame:
     """Per table: can the principal read it, see its metadata, and which level is missing?
 
     Traversal needs USE_CATALOG and USE_SCHEMA (held there or above), then SELECT at table,
-    schema or catalog. BROWSE reveals metadata only. An owner needs nothing. Grants are folded
-    to one row per object first, so every join is to a unique key.
+    schema or catalog. BROWSE reveals metadata only. The owner of a table or of the catalog
+    needs nothing. Grants are folded to one row per object first, so every join is to a unique
+    key.
     """
     mine = privileges.where(F.col("grantee").isin(sorted(principal.grantees)))
 
@@ -102,7 +107,8 @@ def effective(tables: DataFrame, privileges: DataFrame, principal: Principal) ->
     joined = (keyed.join(at("CATALOG", "c"), "c_key", "left")
               .join(at("SCHEMA", "s"), "s_key", "left")
               .join(at("TABLE", "t"), "t_key", "left"))
-    owner = F.col("table_owner").isin(sorted(principal.grantees))
+    owner = (F.col("table_owner").isin(sorted(principal.grantees))
+             | F.lit(principal.holds(catalog_owner)))
     use_catalog = held("c_use_catalog")
     use_schema = held("s_use_schema", "c_use_schema")
     select = held("t_select", "s_select", "c_select")
@@ -132,14 +138,17 @@ def visible(relation: DataFrame, tables: DataFrame, privileges: DataFrame,
 
 
 def missing_level(grants: Iterable[tuple[str, str, str, str]], principal: Principal,
-                  catalog: str, schema: str, table: str, owner: str | None = None) -> str | None:
+                  catalog: str, schema: str, table: str, owner: str | None = None,
+                  catalog_owner: str = OWNERS) -> str | None:
     """The same rule for one table and the few grants on its path; None means readable."""
-    if owner is not None and owner in principal.grantees:
+    if principal.holds(catalog_owner) or (owner is not None and owner in principal.grantees):
         return None
     path = {catalog: "CATALOG", f"{catalog}.{schema}": "SCHEMA",
             f"{catalog}.{schema}.{table}": "TABLE"}
-    held = {(privilege, level) for grantee, privilege, level, key in grants
-            if grantee in principal.grantees and path.get(key) == level}
+    held = {(each, level) for grantee, privilege, level, key in grants
+            if grantee in principal.grantees and path.get(key) == level
+            for each in (("USE_CATALOG", "USE_SCHEMA", "SELECT") if privilege == ALL
+                         else (privilege,))}
     if ("USE_CATALOG", "CATALOG") not in held:
         return "USE_CATALOG"
     if not held & {("USE_SCHEMA", "SCHEMA"), ("USE_SCHEMA", "CATALOG")}:

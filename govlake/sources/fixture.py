@@ -93,7 +93,7 @@ def bronze_customers(spark: SparkSession, sf_dir: str, ingested_at: str | None =
     nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     region = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
     return (table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "k")
-            .join(nation.join(region, "n_regionkey"), "c_nationkey")
+            .join(nation, "c_nationkey").join(region, "n_regionkey")
             .selectExpr(*_CUSTOMER).withColumn("_ingested_at", as_time(ingested_at)))
 
 
@@ -103,12 +103,11 @@ def order_customer_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_orders(spark: SparkSession, sf_dir: str, ingested_at: str | None = None) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
-    region_of = (table(spark, sf_dir, "customer").join(nation, "c_nationkey")
-                 .selectExpr("c_custkey AS o_custkey", "n_regionkey"))
+    nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_regionkey")
+    nation_of = table(spark, sf_dir, "customer").selectExpr("c_custkey AS o_custkey", "c_nationkey")
     orders = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS o", "o_custkey", _ORDER_CUSTOMER, "o_orderdate",
         "string(CAST(o_totalprice AS decimal(12,2))) AS a")
     # both sides shuffle plainly, so adaptive execution may split a customer with many orders
-    return (orders.join(region_of, "o_custkey")
+    return (orders.join(nation_of, "o_custkey").join(nation, "c_nationkey")
             .selectExpr(*_ORDER).withColumn("_ingested_at", as_time(ingested_at)))
