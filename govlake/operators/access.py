@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govlake.design import ALL_USERS, CATALOG, OWNERS
+from govlake.functions.rows import literal
 from govlake.operators.evolve import snapshot_diff
 from govlake.principal import AccessDenied, Principal
 
@@ -21,7 +22,7 @@ _GRANT = ["grantee", "privilege_type", "object_type", "object_key"]
 
 
 def grant_rows(spark: SparkSession, grants: Iterable[tuple[str, str, str, str]]) -> DataFrame:
-    return spark.createDataFrame([(*g, "NONE") for g in grants], GRANT_SCHEMA)
+    return literal(spark, [(*g, "NONE") for g in grants], GRANT_SCHEMA)
 
 
 def grant(privileges: DataFrame, grants: Iterable[tuple[str, str, str, str]]) -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from govlake.functions.rows import literal
+
 TABLE_EDGES = ("source_table string, source_path string, source_type string, "
                "target_schema string, target_table string, event_time timestamp")
 COLUMN_EDGES = ("source_table string, source_column string, target_table string, "
@@ -31,13 +33,13 @@ def record(spark: SparkSession, sources: Sequence[str], target: str, at: str,
     schema = target.split(".")[0]
     edges = [(None if "/" in s else s, s if "/" in s else None,
               "PATH" if "/" in s else "TABLE", schema, target) for s in sources]
-    table_rows = spark.createDataFrame(
-        edges, "source_table string, source_path string, source_type string, "
+    table_rows = literal(
+        spark, edges, "source_table string, source_path string, source_type string, "
                "target_schema string, target_table string"
     ).withColumn("event_time", F.lit(at).cast("timestamp"))
     pairs = [(*s.rsplit(".", 1), target, column)
              for column, origins in (column_map or {}).items() for s in origins]
-    return table_rows, spark.createDataFrame(pairs, COLUMN_EDGES)
+    return table_rows, literal(spark, pairs, COLUMN_EDGES)
 
 
 def edges(lineage: DataFrame, schema: str | None = None) -> DataFrame:

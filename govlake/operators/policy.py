@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from govlake.design import (CATALOG, GRANTS, OWNERS, POLICIES, TAG_VOCABULARY, VIEWS, ColumnMask,
                             RowFilter)
 from govlake.functions.masks import FUNCTIONS
+from govlake.functions.rows import literal
 from govlake.operators import access
 from govlake.operators.tags import require_allowed
 from govlake.principal import Principal
@@ -210,7 +211,7 @@ def policy_rows(spark: SparkSession, policies: Sequence[Policy] = POLICIES) -> D
         takes, gives = FUNCTIONS[p.function][1:3] if p.function in FUNCTIONS else (None, None)
         rows += [(p.name, kind, p.function, k, v, p.to, p.exempt or "", takes, gives)
                  for k, v in p.match]
-    return spark.createDataFrame(rows, (
+    return literal(spark, rows, (
         "policy_name string, kind string, function_name string, tag_name string, "
         "tag_value string, granted_to string, exempt string, takes string, gives string"))
 
@@ -233,7 +234,7 @@ def usage(tags: DataFrame, policies: Sequence[Policy] = POLICIES,
     per_policy = (policy_rows(spark, policies).join(hits, ["tag_name", "tag_value"], "left")
                   .groupBy("policy_name", "kind", "function_name")
                   .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("columns_matched")))
-    known = spark.createDataFrame([(r,) for r in routines], "function_name string")
+    known = literal(spark, [(r,) for r in routines], "function_name string")
     joined = per_policy.join(known.withColumn("_known", F.lit(True)), "function_name", "full")
     return joined.select(
         "policy_name", "kind", "function_name",

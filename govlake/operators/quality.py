@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from govlake.design import Constraint, Expectation
+from govlake.functions.rows import literal
 
 
 class ConstraintViolation(ValueError):
@@ -128,7 +129,7 @@ def profile(df: DataFrame, column: str, weight: str | None = None) -> DataFrame:
 def vocabulary_diff(df: DataFrame, column: str, allowed: Sequence[str],
                     weight: str | None = None) -> DataFrame:
     """Values in the data against the approved list: ok, unexpected, or absent."""
-    listed = (df.sparkSession.createDataFrame([(v,) for v in allowed], "value string")
+    listed = (literal(df.sparkSession, [(v,) for v in allowed], "value string")
               .select("value", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("listed")))
     found = _counted(df, column, weight).select("value", "n", F.lit(False).alias("listed"))
     merged = found.unionByName(listed).groupBy("value").agg(
@@ -198,8 +199,8 @@ def enforce(df: DataFrame, rules: Sequence[Constraint]) -> None:
 
 def constraint_rows(df_or_session, rules: Iterable[Constraint]) -> DataFrame:
     spark = getattr(df_or_session, "sparkSession", df_or_session)
-    return spark.createDataFrame([(r.table, r.name, r.expr) for r in rules],
-                                 "table_name string, constraint_name string, expression string")
+    return literal(spark, [(r.table, r.name, r.expr) for r in rules],
+                   "table_name string, constraint_name string, expression string")
 
 
 def constraint_diff(actual: DataFrame, expected: DataFrame) -> DataFrame:
@@ -265,7 +266,8 @@ def metric_rows(spark, run: str, table: str, rules: Sequence[Expectation],
                 metrics: dict) -> DataFrame:
     """Rows for the expectation log: one per rule and run."""
     total = metrics.get("total", 0)
-    return spark.createDataFrame(
-        [(run, table, r.name, r.mode, total - metrics.get(f"failed_{r.name}", 0),
-          metrics.get(f"failed_{r.name}", 0)) for r in rules],
-        "run string, table_name string, expectation string, mode string, passed long, failed long")
+    return literal(
+        spark, [(run, table, r.name, r.mode, total - metrics.get(f"failed_{r.name}", 0),
+                 metrics.get(f"failed_{r.name}", 0)) for r in rules],
+        "run string, table_name string, expectation string, mode string, passed bigint, "
+        "failed bigint")

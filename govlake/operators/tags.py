@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govlake.design import SENSITIVITY_RANK, TABLES, TAG_VOCABULARY, column_tags
+from govlake.functions.rows import literal
 
 TAG_SCHEMA = ("table_schema string, table_name string, column_name string, "
               "tag_name string, tag_value string")
@@ -35,8 +36,7 @@ def require_allowed(tags: Mapping[str, str],
 
 def _rows(spark: SparkSession, table: str, column: str, tags: Mapping[str, str]) -> DataFrame:
     schema, name = table.split(".")
-    return spark.createDataFrame([(schema, name, column, k, v) for k, v in tags.items()],
-                                 TAG_SCHEMA)
+    return literal(spark, [(schema, name, column, k, v) for k, v in tags.items()], TAG_SCHEMA)
 
 
 def set_tags(meta: DataFrame, table: str, column: str, tags: Mapping[str, str],
@@ -57,13 +57,13 @@ def unset_tags(meta: DataFrame, table: str, column: str, *names: str) -> DataFra
 def designed_tags(spark: SparkSession, *tables: str) -> DataFrame:
     rows = [(*t.split("."), column, k, v) for t in (tables or TABLES)
             for column, tags in column_tags(t).items() for k, v in tags.items()]
-    return spark.createDataFrame(rows, TAG_SCHEMA)
+    return literal(spark, rows, TAG_SCHEMA)
 
 
 def vocabulary_rows(spark: SparkSession,
                     vocabulary: Mapping[str, tuple[str, ...]] = TAG_VOCABULARY) -> DataFrame:
-    return spark.createDataFrame([(k, v) for k, values in vocabulary.items() for v in values],
-                                 "tag_name string, tag_value string")
+    return literal(spark, [(k, v) for k, values in vocabulary.items() for v in values],
+                   "tag_name string, tag_value string")
 
 
 def violations(meta: DataFrame,
@@ -96,8 +96,8 @@ def propagate(meta: DataFrame, source: str, target: str,
     """Copy the source columns' tags onto the target columns (target column -> source column)."""
     schema, name = source.split(".")
     to_schema, to_name = target.split(".")
-    pairs = meta.sparkSession.createDataFrame(
-        [(s, t) for t, s in column_map.items()], "column_name string, target string")
+    pairs = literal(meta.sparkSession, [(s, t) for t, s in column_map.items()],
+                    "column_name string, target string")
     copied = (meta.where((F.col("table_schema") == schema) & (F.col("table_name") == name))
               .join(pairs, "column_name")
               .select(F.lit(to_schema).alias("table_schema"), F.lit(to_name).alias("table_name"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from govlake import design
 from govlake.design import AS_OF, CONSTRAINTS, EXPECTATIONS, K, OWNERS, PERSONAS, POLICIES
 from govlake.functions import masks
+from govlake.functions.rows import literal
 from govlake.functions.values import day, present
 from govlake.operators import (access, anonymize, coverage, evolve, gold, lineage, policy, quality,
                                silver, tags)
@@ -717,7 +718,7 @@ _BAD_ORDERS = (
 
 
 def _bad_order(spark: SparkSession, row: tuple) -> DataFrame:
-    return spark.createDataFrame([row[1:]], "order_id string, order_date string, amount string, "
+    return literal(spark, [row[1:]], "order_id string, order_date string, amount string, "
                                  "currency string, status string").select(
         "order_id", F.col("order_date").cast("date").alias("order_date"),
         F.col("amount").cast("decimal(12,2)").alias("amount"), "currency", "status")
@@ -759,7 +760,7 @@ FROM (SELECT count(*) AS customers FROM sc GROUP BY region, segment
 def _disable_test(spark, sf):
     """With the group-size rule dropped a group of three lands; deleting it restores the table."""
     groups = gold.segments(Layers(spark, sf).customers(), k=0, built_at=PINNED).select("customers")
-    landed = groups.unionByName(spark.createDataFrame([(3,)], "customers bigint"))
+    landed = groups.unionByName(literal(spark, [(3,)], "customers bigint"))
     small = F.coalesce(F.col("customers") < K, F.lit(False))
     return landed.agg(F.count(F.lit(1)).alias("groups_with_rule_off"),
                       F.count_if(small).alias("small_groups_landed"),

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from govlake import design
 from govlake.design import CONSTRAINTS, GRANTS, K, LAYERS, OWNERS, ROUTINES, TAG_VOCABULARY
+from govlake.functions.rows import literal
 from govlake.operators import access, coverage, quality, tags
 from govlake.principal import Principal
 
@@ -46,150 +47,167 @@ def designed_meta(spark: SparkSession) -> Meta:
     cols = [(*split(t), c, kind, design.DESCRIPTIONS[c])
             for t, columns in design.TABLES.items() for c, kind in columns.items()]
     return Meta(
-        schemata=spark.createDataFrame([(s,) for s in LAYERS], "schema_name string"),
-        tables=spark.createDataFrame(objects, "table_catalog string, table_schema string, "
-                                     "table_name string, table_type string, table_owner string"),
-        columns=spark.createDataFrame(cols, "table_schema string, table_name string, "
-                                      "column_name string, data_type string, comment string"),
+        schemata=literal(spark, [(s,) for s in LAYERS], "schema_name string"),
+        tables=literal(spark, objects, "table_catalog string, table_schema string, "
+                       "table_name string, table_type string, table_owner string"),
+        columns=literal(spark, cols, "table_schema string, table_name string, "
+                        "column_name string, data_type string, comment string"),
         column_tags=tags.designed_tags(spark),
         privileges=access.grant_rows(spark, GRANTS),
-        routines=spark.createDataFrame([(r,) for r in ROUTINES], "routine_name string"),
+        routines=literal(spark, [(r,) for r in ROUTINES], "routine_name string"),
         constraints=quality.constraint_rows(spark, CONSTRAINTS))
 
 
-def _status(passed: Column) -> Column:
-    return F.when(passed, "PASS").otherwise("FAIL")
+@dataclass(frozen=True)
+class Control:
+    """One control over a one-row aggregate: what is shown, and when it passes."""
+
+    id: str
+    title: str
+    expected: str
+    actual: Column
+    passed: Column
+
+    def row(self) -> Column:
+        return F.struct(
+            F.lit(self.id).alias("id"), F.lit(self.title).alias("control"),
+            F.lit(self.expected).alias("expected"), self.actual.cast("string").alias("actual"),
+            F.when(self.passed, "PASS").otherwise("FAIL").alias("status"))
+
+
+def emit(measured: DataFrame, *controls: Control) -> DataFrame:
+    """Controls that share a scan share one aggregate; each becomes a row."""
+    return measured.select(F.inline(F.array(*[c.row() for c in controls])))
+
+
+def _zero(id_: str, title: str, column: str) -> Control:
+    return Control(id_, title, "0", F.col(column), F.col(column) == 0)
 
 
-def _row(df: DataFrame, id_: str, control: str, expected: str | Column, actual: Column,
-         passed: Column) -> DataFrame:
-    wanted = F.lit(expected) if isinstance(expected, str) else expected
-    return df.select(F.lit(id_).alias("id"), F.lit(control).alias("control"),
-                     wanted.alias("expected"), actual.cast("string").alias("actual"),
-                     _status(passed).alias("status"))
+class _Listing:
+    """Distinct values against a designed list: which are there, and how many others.
 
+    One flag per designed value, so nothing is collected however many values there are.
+    """
 
-def _count_control(df: DataFrame, id_: str, control: str, wanted: int = 0) -> DataFrame:
-    return _row(df.agg(F.count(F.lit(1)).alias("n")), id_, control, str(wanted), F.col("n"),
-                F.col("n") == wanted)
+    def __init__(self, name: str, column: str, allowed: Sequence[str], where: Column | None = None):
+        self.name, self.allowed = name, sorted(allowed)
+        value = F.col(column)
+        self._value = value if where is None else F.when(where, value)
 
+    def aggregates(self) -> list[Column]:
+        seen = [F.coalesce(F.bool_or(self._value == v), F.lit(False)).alias(f"{self.name}{i}")
+                for i, v in enumerate(self.allowed)]
+        return [*seen, F.count_if(~self._value.isin(self.allowed)).alias(f"{self.name}_others")]
 
-def _listing(df: DataFrame, column: str, allowed: Sequence[str], id_: str, control: str,
-             all_required: bool) -> DataFrame:
-    """Distinct values against a designed list: which are there, and how many others."""
-    allowed = sorted(allowed)
-    value = F.col(column)
-    found = df.agg(
-        *[F.coalesce(F.bool_or(value == v), F.lit(False)).alias(f"v{i}")
-          for i, v in enumerate(allowed)],
-        F.count_if(~value.isin(allowed)).alias("others"))
-    there = [F.when(F.col(f"v{i}"), v) for i, v in enumerate(allowed)]
-    others = F.when(F.col("others") > 0, F.concat(F.lit("+"), F.col("others").cast("string"),
-                                                  F.lit(" other")))
-    passed = F.col("others") == 0
-    if all_required:
-        for i in range(len(allowed)):
-            passed = passed & F.col(f"v{i}")
-    return _row(found, id_, control, ", ".join(allowed), F.concat_ws(", ", *there, others), passed)
+    def control(self, id_: str, title: str, all_required: bool) -> Control:
+        others, flags = F.col(f"{self.name}_others"), [F.col(f"{self.name}{i}")
+                                                       for i in range(len(self.allowed))]
+        shown = [F.when(f, v) for f, v in zip(flags, self.allowed)]
+        more = F.when(others > 0, F.concat(F.lit("+"), others.cast("string"), F.lit(" other")))
+        passed = others == 0
+        for flag in flags if all_required else ():
+            passed = passed & flag
+        return Control(id_, title, ", ".join(self.allowed), F.concat_ws(", ", *shown, more), passed)
 
 
 def structure(meta: Meta, principal: Principal) -> list[DataFrame]:
-    spark = meta.tables.sparkSession
     exempt = principal.holds(OWNERS)
-    who = spark.range(1)
+    owned = _Listing("owned", "table_name", design.OWNER_EXCEPTIONS,
+                     ~F.col("table_owner").eqNullSafe(OWNERS))
+    layers = _Listing("layer", "schema_name", LAYERS)
+    objects = meta.tables.agg(F.count(F.lit(1)).alias("n"), *owned.aggregates())
+    schemas = meta.schemata.agg(F.count_if(F.col("schema_name") == "default").alias("strays"),
+                                *layers.aggregates())
+    wanted = len(design.TABLES)
     return [
-        _row(who, "A0", "Suite runs as an exempt identity", f"a member of {OWNERS}",
-             F.lit(f"{principal.name} | owner={str(exempt).lower()}"), F.lit(exempt)),
-        _count_control(meta.tables, "A1", "Objects the suite can inspect", len(design.TABLES)),
-        _listing(meta.schemata, "schema_name", LAYERS, "A2", "Schemas are those designed", True),
-        _count_control(meta.schemata.where(F.col("schema_name") == "default"), "A3",
-                       "No stray default schema"),
-        _listing(meta.tables.where(~F.col("table_owner").eqNullSafe(OWNERS)), "table_name",
-                 design.OWNER_EXCEPTIONS, "A4", "Objects owned outside the owner group", True),
+        emit(objects,
+             Control("A0", "Suite runs as an exempt identity", f"a member of {OWNERS}",
+                     F.lit(f"{principal.name} | owner={str(exempt).lower()}"), F.lit(exempt)),
+             Control("A1", "Objects the suite can inspect", str(wanted), F.col("n"),
+                     F.col("n") == wanted),
+             owned.control("A4", "Objects owned outside the owner group", True)),
+        emit(schemas, layers.control("A2", "Schemas are those designed", True),
+             _zero("A3", "No stray default schema", "strays")),
     ]
 
 
 def classification(meta: Meta) -> list[DataFrame]:
-    cover = coverage.totals(meta.columns, meta.column_tags)
-
-    def values_of(tag: str) -> DataFrame:
-        return meta.column_tags.where(F.col("tag_name") == tag)
-
-    retired = [F.struct(F.lit(k).alias("tag_name"), F.lit(v).alias("tag_value"))
-               for k, v in design.RETIRED_TAG_VALUES]
-    gone = meta.column_tags.where(F.struct("tag_name", "tag_value").isin(*retired))
+    tag, value = F.col("tag_name"), F.col("tag_value")
+    levels = _Listing("level", "tag_value", TAG_VOCABULARY["classification"],
+                      tag == "classification")
+    pii = _Listing("pii", "tag_value", TAG_VOCABULARY["pii_type"], tag == "pii_type")
+    retired = F.lit(False)
+    for name, old in design.RETIRED_TAG_VALUES:
+        retired = retired | ((tag == name) & (value == old))
+    on_anonymized = ((F.col("table_schema") == "gold") & (tag == "pii_type")
+                     & (F.col("table_name") == "customer_profile_anonymized"))
+    used = meta.column_tags.agg(F.count_if(retired).alias("retired"),
+                                F.count_if(on_anonymized).alias("masked_gold"),
+                                *levels.aggregates(), *pii.aggregates())
     return [
-        _row(cover, "B1", "Columns without a classification", "0",
-             F.col("missing_classification"), F.col("missing_classification") == 0),
-        _row(cover, "B2", "Columns without a description", "0",
-             F.col("missing_description"), F.col("missing_description") == 0),
-        _listing(values_of("classification"), "tag_value", TAG_VOCABULARY["classification"],
-                 "B3", "Classification values stay in the vocabulary", False),
-        _listing(values_of("pii_type"), "tag_value", TAG_VOCABULARY["pii_type"], "B4",
-                 "PII type values stay in the vocabulary", False),
-        _count_control(gone, "B5", "Retired tag values are unused"),
+        emit(coverage.totals(meta.columns, meta.column_tags),
+             _zero("B1", "Columns without a classification", "missing_classification"),
+             _zero("B2", "Columns without a description", "missing_description")),
+        emit(used, levels.control("B3", "Classification values stay in the vocabulary", False),
+             pii.control("B4", "PII type values stay in the vocabulary", False),
+             _zero("B5", "Retired tag values are unused", "retired"),
+             _zero("D6", "The anonymized table matches no mask", "masked_gold")),
     ]
 
 
 def privileges(meta: Meta, expected: Sequence[tuple[str, str, str, str]] = GRANTS
                ) -> list[DataFrame]:
-    spark = meta.privileges.sparkSession
-    actual = access.direct_grants(meta.privileges)
-    designed = access.direct_grants(access.grant_rows(spark, expected))
-    diff = access.matrix_diff(actual, designed).agg(
-        F.count_if(F.col("side") == "missing").alias("missing"),
-        F.count_if(F.col("side") == "extra").alias("extra"))
-
-    def text(column: str) -> Column:
+    designed = access.direct_grants(access.grant_rows(meta.privileges.sparkSession, expected))
+    sides = (access.direct_grants(meta.privileges).withColumn("held", F.lit(True))
+             .unionByName(designed.withColumn("held", F.lit(False)))
+             .groupBy("grant").agg(F.bool_or("held").alias("held"),
+                                   F.bool_or(~F.col("held")).alias("designed")))
+    counts = sides.agg(F.count_if("held").alias("seen"),
+                       F.count_if(~F.col("held")).alias("missing"),
+                       F.count_if(~F.col("designed")).alias("extra"))
+    routines = _Listing("routine", "routine_name", ROUTINES)
+
+    def none_or_count(column: str) -> Column:
         n = F.col(column)
         return F.when(n == 0, f"(none {column})").otherwise(
             F.concat(n.cast("string"), F.lit(f" {column}")))
 
-    seen = actual.agg(F.count(F.lit(1)).alias("n"))
+    everyone = access.forbidden(meta.privileges).agg(F.count(F.lit(1)).alias("n"))
+    wanted = quality.constraint_rows(meta.constraints.sparkSession, CONSTRAINTS)
+    rules = quality.constraint_diff(meta.constraints, wanted).agg(
+        F.count_if(F.col("status") != "ok").alias("n"))
     return [
-        _row(seen, "C0", "The grant scan sees the matrix", f">= {len(expected)}", F.col("n"),
-             F.col("n") >= len(expected)),
-        _row(diff, "C1", "No designed grant is missing", "0 missing", text("missing"),
-             F.col("missing") == 0),
-        _row(diff, "C2", "No grant exists outside the design", "0 extra", text("extra"),
-             F.col("extra") == 0),
-        _count_control(access.forbidden(meta.privileges), "C3",
-                       "No BROWSE for everyone on the catalog"),
-        _listing(meta.routines, "routine_name", ROUTINES, "C4",
-                 "Governance functions are those designed", True),
-        _constraint_control(meta),
+        emit(counts,
+             Control("C0", "The grant scan sees the matrix", f">= {len(expected)}",
+                     F.col("seen"), F.col("seen") >= len(expected)),
+             Control("C1", "No designed grant is missing", "0 missing", none_or_count("missing"),
+                     F.col("missing") == 0),
+             Control("C2", "No grant exists outside the design", "0 extra",
+                     none_or_count("extra"), F.col("extra") == 0)),
+        emit(everyone, _zero("C3", "No BROWSE for everyone on the catalog", "n")),
+        emit(meta.routines.agg(*routines.aggregates()),
+             routines.control("C4", "Governance functions are those designed", True)),
+        # by expression, not by name: a weakened rule keeps its name
+        emit(rules, _zero("C5", "CHECK rules equal the design", "n")),
     ]
 
 
-def _constraint_control(meta: Meta) -> DataFrame:
-    """C5: rules present and not weakened, by expression rather than by name."""
-    wanted = quality.constraint_rows(meta.constraints.sparkSession, CONSTRAINTS)
-    bad = quality.constraint_diff(meta.constraints, wanted).where(F.col("status") != "ok")
-    return _count_control(bad, "C5", "CHECK rules equal the design")
-
-
-def data(counts: DataFrame, published: Mapping[str, DataFrame], meta: Meta, k: int = K
-         ) -> list[DataFrame]:
+def data(counts: DataFrame, published: Mapping[str, DataFrame], k: int = K) -> list[DataFrame]:
     """`counts`: one row per entity, as `quality.reconcile` gives. `published`: gold tables."""
-    out = []
-    for id_, tbl in (("D1", "customers"), ("D2", "orders")):
-        actual = F.concat(F.col("silver_rows").cast("string"), F.lit(" + "),
-                          F.col("quarantined").cast("string"), F.lit(" vs "),
-                          F.col("bronze_rows").cast("string"))
-        out.append(_row(counts.where(F.col("tbl") == tbl), id_,
-                        f"Nothing lost between bronze and silver: {tbl}",
-                        "silver + quarantined = bronze", actual,
-                        F.col("difference_must_be_zero") == 0))
+    text = F.concat(F.col("silver_rows").cast("string"), F.lit(" + "),
+                    F.col("quarantined").cast("string"), F.lit(" vs "),
+                    F.col("bronze_rows").cast("string"))
+    out = [counts.select(
+        F.when(F.col("tbl") == "customers", "D1").otherwise("D2").alias("id"),
+        F.concat(F.lit("Nothing lost between bronze and silver: "), "tbl").alias("control"),
+        F.lit("silver + quarantined = bronze").alias("expected"), text.alias("actual"),
+        F.when(F.col("difference_must_be_zero") == 0, "PASS").otherwise("FAIL").alias("status"))]
     for id_, table, size in (("D3", "revenue_by_region_month", "customers_active"),
                              ("D4", "customer_segment_profile", "customers"),
                              ("D5", "customer_profile_anonymized", "people_in_group")):
-        smallest = published[table].agg(F.min(size).alias("n"))
-        out.append(_row(smallest, id_, f"Smallest published group: {table}", f">= {k}",
-                        F.col("n"), F.col("n") >= k))
-    tagged = meta.column_tags.where(
-        (F.col("table_schema") == "gold") & (F.col("tag_name") == "pii_type")
-        & (F.col("table_name") == "customer_profile_anonymized"))
-    out.append(_count_control(tagged, "D6", "The anonymized table matches no mask"))
+        out.append(emit(published[table].agg(F.min(size).alias("n")), Control(
+            id_, f"Smallest published group: {table}", f">= {k}", F.col("n"), F.col("n") >= k)))
     return out
 
 
@@ -197,10 +215,10 @@ def run(meta: Meta, counts: DataFrame, published: Mapping[str, DataFrame], princ
         k: int = K) -> DataFrame:
     """All controls as one relation."""
     rows = (structure(meta, principal) + classification(meta) + privileges(meta)
-            + data(counts, published, meta, k))
+            + data(counts, published, k))
     out = rows[0]
     for row in rows[1:]:
-        out = out.unionByName(row)
+        out = out.union(row)
     return out
 
 
