@@ -6,7 +6,7 @@ four visible digits, the `-**-**` suffix and the hash input order are part of th
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -57,3 +57,29 @@ FUNCTIONS = {
     "mask_dob_date": (mask_dob_date, "DATE", "DATE", 1),
     "filter_by_region": (filter_by_region, "STRING", "BOOLEAN", 2),
 }
+
+
+# the same functions for readers who write SQL; bodies are plain expressions, so they inline
+SQL_BODIES = {
+    "mask_full": ("val STRING", "'***'"),
+    "mask_email": ("val STRING", "IF(val IS NULL OR val = '', val, "
+                                 "left(val, 1) || '***@' || split_part(val, '@', 2))"),
+    "mask_last4": ("val STRING", "'****' || right(val, 4)"),
+    "pseudonymize": ("val STRING, version INT", "sha2(val || string(version), 256)"),
+    "mask_dob": ("val STRING", "left(val, 4) || '-**-**'"),
+    "mask_dob_date": ("val DATE", "make_date(year(val), 1, 1)"),
+    "filter_by_region": ("region STRING, allowed STRING",
+                         "array_contains(split(allowed, ','), lower(region))"),
+}
+
+
+def register_sql(spark: SparkSession, database: str | None = None) -> list[str]:
+    """Create the functions for SQL: temporary, or kept in `database`. Returns their names."""
+    made = []
+    for name, (arguments, body) in SQL_BODIES.items():
+        full = name if database is None else f"{database}.{name}"
+        kind = "TEMPORARY FUNCTION" if database is None else "FUNCTION"
+        spark.sql(f"CREATE OR REPLACE {kind} {full}({arguments}) "
+                  f"RETURNS {FUNCTIONS[name][2]} RETURN {body}")
+        made.append(full)
+    return made

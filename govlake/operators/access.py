@@ -26,9 +26,15 @@ def grant_rows(spark: SparkSession, grants: Iterable[tuple[str, str, str, str]])
 
 
 def grant(privileges: DataFrame, grants: Iterable[tuple[str, str, str, str]]) -> DataFrame:
-    """Add direct grants; one already held is not held twice."""
+    """Add direct grants; one already held is not held twice.
+
+    The few new grants are looked for by broadcasting them, so the relation is not shuffled.
+    """
     new = grant_rows(privileges.sparkSession, grants)
-    return privileges.unionByName(new.join(privileges, _GRANT, "left_anti"))
+    held = (privileges.where(F.col("inherited_from") == "NONE")
+            .join(F.broadcast(new.select(*_GRANT)), _GRANT, "left_semi")
+            .select(*_GRANT).distinct())
+    return privileges.unionByName(new.join(held, _GRANT, "left_anti"))
 
 
 def revoke(privileges: DataFrame, grants: Iterable[tuple[str, str, str, str]]) -> DataFrame:

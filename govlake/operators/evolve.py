@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from govlake.design import TAG_VOCABULARY
+
 
 class MigrationRefused(RuntimeError):
     """The state a migration starts from is not there (it ran already, or never could)."""
@@ -42,24 +44,63 @@ def object_set_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     return snapshot_diff(before, after, ["table_schema", "table_name"], ["table_type"])
 
 
-def metadata_snapshot(columns: DataFrame, tags: DataFrame) -> DataFrame:
-    """Per column its comment and a sorted `tag=value` list.
+_COLUMN_KEY = ["table_schema", "table_name", "column_name"]
+
+
+def _column_facts(columns: DataFrame, tags: DataFrame) -> DataFrame:
+    """Comments and tags as one relation with one row per fact about a column."""
+    text = F.lit(None).cast("string")
+    return columns.select(*_COLUMN_KEY, "comment", text.alias("tag_name"),
+                          text.alias("tag_value")).unionByName(
+        tags.select(*_COLUMN_KEY, text.alias("comment"), "tag_name", "tag_value"))
 
-    A column holds one value per governed tag, and copies collapse map-side, so each list is
-    as long as the number of governed tags at most.
+
+def tag_text(names: Sequence[str], where: Column | None = None,
+             template: str = "%s=%s") -> Column:
+    """Aggregate: the sorted `tag=value` list of one column.
+
+    A column holds one value per governed tag, so the list is one maximum per tag name: it
+    stays in hash aggregation and collects nothing.
     """
-    key = ["table_schema", "table_name", "column_name"]
-    facts = columns.select(*key, "comment", F.lit(None).cast("string").alias("tag")).unionByName(
-        tags.select(*key, F.lit(None).cast("string").alias("comment"),
-                    F.concat("tag_name", F.lit("="), "tag_value").alias("tag")))
-    return facts.groupBy(*key).agg(
-        F.max("comment").alias("comment"),
-        F.concat_ws(", ", F.sort_array(F.collect_set("tag"))).alias("tags"))
+    parts = []
+    for name in sorted(names):
+        hit = F.col("tag_name") == name
+        value = F.max(F.when(hit if where is None else hit & where, F.col("tag_value")))
+        parts.append(F.when(value.isNotNull(),
+                            F.format_string(template, F.lit(name), value)))
+    return F.concat_ws(", ", *parts)
+
+
+def metadata_snapshot(columns: DataFrame, tags: DataFrame,
+                      names: Sequence[str] = tuple(TAG_VOCABULARY)) -> DataFrame:
+    """Per column its comment and its tags as text, to be stored before a change."""
+    return _column_facts(columns, tags).groupBy(*_COLUMN_KEY).agg(
+        F.max("comment").alias("comment"), tag_text(names).alias("tags"))
 
 
 def metadata_diff(before: DataFrame, after: DataFrame) -> DataFrame:
-    return snapshot_diff(before, after, ["table_schema", "table_name", "column_name"],
-                         ["comment", "tags"])
+    """Difference of two stored snapshots, by value and not by count."""
+    return snapshot_diff(before, after, _COLUMN_KEY, ["comment", "tags"])
+
+
+def metadata_change(before: tuple[DataFrame, DataFrame], after: tuple[DataFrame, DataFrame],
+                    names: Sequence[str] = tuple(TAG_VOCABULARY)) -> DataFrame:
+    """`metadata_diff` of two live states, each (columns, tags), in a single grouping.
+
+    Snapshotting each side and comparing would group the same keys three times.
+    """
+    facts = _column_facts(*before).withColumn("_before", F.lit(True)).unionByName(
+        _column_facts(*after).withColumn("_before", F.lit(False)))
+    then, now = F.col("_before"), ~F.col("_before")
+    merged = facts.groupBy(*_COLUMN_KEY).agg(
+        F.bool_or(then).alias("in_before"), F.bool_or(now).alias("in_after"),
+        F.max(F.when(then, F.col("comment"))).alias("comment_before"),
+        tag_text(names, then).alias("tags_before"),
+        F.max(F.when(now, F.col("comment"))).alias("comment_after"),
+        tag_text(names, now).alias("tags_after"))
+    return merged.where((F.col("in_before") != F.col("in_after"))
+                        | ~F.col("comment_before").eqNullSafe(F.col("comment_after"))
+                        | (F.col("tags_before") != F.col("tags_after")))
 
 
 def fingerprint(df: DataFrame, column: str | Column) -> DataFrame:

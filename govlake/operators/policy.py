@@ -24,6 +24,7 @@ from govlake.functions.rows import literal
 from govlake.operators import access
 from govlake.operators.tags import require_allowed
 from govlake.principal import Principal
+from govlake.session import prepare_checkpoints
 
 Policy = ColumnMask | RowFilter
 Tags = Mapping[str, Mapping[str, str]]
@@ -171,6 +172,7 @@ class GovernedCatalog:
         plan = self.plan(table, principal)
         rows = filter_rows(self.tables[table], plan)
         if barrier and plan.filters:
+            prepare_checkpoints(rows.sparkSession)
             rows = rows.checkpoint()
         return mask_columns(rows, plan)
 

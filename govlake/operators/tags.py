@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from govlake.design import SENSITIVITY_RANK, TABLES, TAG_VOCABULARY, column_tags
 from govlake.functions.rows import literal
+from govlake.operators.evolve import tag_text
 
 TAG_SCHEMA = ("table_schema string, table_name string, column_name string, "
               "tag_name string, tag_value string")
@@ -47,6 +48,36 @@ def set_tags(meta: DataFrame, table: str, column: str, tags: Mapping[str, str],
         _rows(meta.sparkSession, table, column, tags))
 
 
+def assign(meta: DataFrame, assignments: DataFrame,
+           vocabulary: Mapping[str, tuple[str, ...]] = TAG_VOCABULARY) -> DataFrame:
+    """`set_tags` for many columns at once: the relation after all allowed assignments.
+
+    An assigned value replaces the one held. Old and new rows meet in one grouping per column
+    and tag. Assignments outside the vocabulary change nothing; see `refused`.
+    """
+    allowed = assignments.join(F.broadcast(vocabulary_rows(meta.sparkSession, vocabulary)),
+                               ["tag_name", "tag_value"], "left_semi")
+    new = F.col("_new")
+    merged = (meta.withColumn("_new", F.lit(False))
+              .unionByName(allowed.select(*meta.columns).withColumn("_new", F.lit(True)))
+              .groupBy(*_COLUMN, "tag_name").agg(
+                  F.max(F.when(new, F.col("tag_value"))).alias("_assigned"),
+                  F.max(F.when(~new, F.col("tag_value"))).alias("_held")))
+    return merged.select(*_COLUMN, "tag_name",
+                         F.coalesce("_assigned", "_held").alias("tag_value"))
+
+
+def refused(assignments: DataFrame,
+            vocabulary: Mapping[str, tuple[str, ...]] = TAG_VOCABULARY) -> DataFrame:
+    """Assignments outside the vocabulary, each with the values it could have used."""
+    rows = [(k, ", ".join(values)) for k, values in vocabulary.items()]
+    listed = literal(assignments.sparkSession, rows, "tag_name string, allowed string")
+    pairs = vocabulary_rows(assignments.sparkSession, vocabulary)
+    return (assignments.join(F.broadcast(pairs), ["tag_name", "tag_value"], "left_anti")
+            .join(F.broadcast(listed), "tag_name", "left")
+            .select(*_COLUMN, "tag_name", "tag_value", "allowed"))
+
+
 def unset_tags(meta: DataFrame, table: str, column: str, *names: str) -> DataFrame:
     schema, name = table.split(".")
     hit = ((F.col("table_schema") == schema) & (F.col("table_name") == name)
@@ -106,13 +137,10 @@ def propagate(meta: DataFrame, source: str, target: str,
 
 
 def statements(meta: DataFrame) -> DataFrame:
-    """One `ALTER TABLE ... SET TAGS` text per tagged column.
-
-    The list inside a statement holds one entry per governed tag; copies collapse map-side.
-    """
-    tag = F.format_string("'%s' = '%s'", F.col("tag_name"), F.col("tag_value"))
-    return meta.groupBy(*_COLUMN).agg(F.sort_array(F.collect_set(tag)).alias("t")).select(
+    """One `ALTER TABLE ... SET TAGS` text per tagged column."""
+    return meta.groupBy(*_COLUMN).agg(
+        tag_text(tuple(TAG_VOCABULARY), template="'%s' = '%s'").alias("t")).select(
         *_COLUMN,
         F.concat(F.lit("ALTER TABLE "), F.concat_ws(".", "table_schema", "table_name"),
                  F.lit(" ALTER COLUMN "), F.col("column_name"), F.lit(" SET TAGS ("),
-                 F.concat_ws(", ", "t"), F.lit(");")).alias("stmt"))
+                 F.col("t"), F.lit(");")).alias("stmt"))

@@ -12,11 +12,15 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from govlake import design
 from govlake.design import CONSTRAINTS, K
+from govlake.functions.masks import FUNCTIONS, register_sql
+from govlake.functions.rows import literal
 from govlake.functions.values import as_time
-from govlake.operators import anonymize, gold, lineage, policy, quality, silver
+from govlake.operators import anonymize, gold, lineage, policy, quality, silver, tags
+from govlake.plans import suite
 from govlake.plans.publish import Lake, RunReport, publish
 from govlake.principal import Principal, require_exempt
 
@@ -44,13 +48,38 @@ class Build:
         self.edges = rows if self.edges is None else self.edges.unionByName(rows)
         return self.lake.read(table)
 
+    def meta(self, privileges: DataFrame) -> suite.Meta:
+        """The metadata of what was built, read back from the session catalog.
+
+        Ownership follows the builder's group, except where the design names an exception; tags
+        are those registered during the build, functions those created in governance.
+        """
+        spark = self.lake.spark
+        owner = F.when(F.col("table_name").isin(list(design.OWNER_EXCEPTIONS)), "platform").otherwise(
+            design.OWNERS)
+        tagged = [(*t.split("."), c, k, v) for t, columns in self.tags.items()
+                  for c, found in columns.items() for k, v in found.items()]
+        functions = [(f.name,) for f in spark.catalog.listFunctions(f"{self.lake.env}governance")
+                     if not f.isTemporary and f.name in FUNCTIONS]
+        return suite.Meta(
+            schemata=self.lake.schemas(),
+            tables=self.lake.objects(*design.LAYERS).select(
+                F.lit(design.CATALOG).alias("table_catalog"), "*", owner.alias("table_owner")),
+            columns=self.lake.columns(*design.LAYERS),
+            column_tags=literal(spark, tagged, tags.TAG_SCHEMA),
+            privileges=privileges,
+            routines=literal(spark, functions, "routine_name string"),
+            constraints=quality.constraint_rows(spark, CONSTRAINTS))
+
     def catalog(self) -> policy.GovernedCatalog:
         return policy.GovernedCatalog({t: self.lake.read(t) for t in self.tags}, dict(self.tags))
 
 
 def run(lake: Lake, bronze_customers: DataFrame, bronze_orders: DataFrame, principal: Principal,
-        at: str, as_of: dt.date = design.AS_OF, k: int = K) -> Build:
-    """Build or refill every layer (actions). Bronze frames may come from any reader."""
+        at: str, as_of: dt.date = design.AS_OF, k: int = K,
+        audit_source: str | None = None) -> Build:
+    """Build or refill every layer (actions). Bronze frames may come from any reader;
+    `audit_source` names a table of audit events outside the layers."""
     require_exempt(principal)
     lake.create_schemas(*design.LAYERS)
     b = Build(lake, principal, at, as_of)
@@ -78,9 +107,24 @@ def run(lake: Lake, bronze_customers: DataFrame, bronze_orders: DataFrame, princ
           ["silver.customers"])
     b.put("gold.customer_profile_anonymized", anonymize.publish_profile(people, k),
           ["silver.customers"])
+    register_sql(lake.spark, f"{lake.env}governance")
+    lake.spark.sql(f"DROP FUNCTION {lake.env}governance.mask_dob_date")     # retired
+    if audit_source is not None:
+        _audit_view(b, audit_source)
     return b
 
 
+def _audit_view(b: Build, source: str) -> None:
+    """The audit view over a stored event table; a view is tagged but carries no mask."""
+    name = "governance.audit_log"
+    b.tags[name] = design.column_tags(name)
+    b.lake.create_view(name, f"""
+        SELECT event_time, user_identity.email, service_name, action_name, request_params,
+               response.status_code
+        FROM {source} WHERE contains(to_json(request_params), '{design.CATALOG}')""",
+        {c: design.DESCRIPTIONS[c] for c in design.TABLES[name]})
+
+
 def reconciliation(lake: Lake) -> DataFrame:
     return quality.reconcile(
         "customers", lake.read("bronze.customers"), lake.read("silver.customers"),

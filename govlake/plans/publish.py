@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govlake.design import Constraint, Expectation
+from govlake.functions.rows import literal
 from govlake.operators import evolve, quality
 from govlake.principal import Principal, require_exempt
 
@@ -69,6 +70,12 @@ class Lake:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(_name(table, self.env))
 
+    def create_view(self, view: str, query: str, comments: Mapping[str, str]) -> None:
+        """A stored view, read with the rights of whoever created it; columns as commented."""
+        listed = ", ".join(f"`{c}` COMMENT '{text.replace(chr(39), chr(39) * 2)}'"
+                           for c, text in comments.items())
+        self.spark.sql(f"CREATE OR REPLACE VIEW {_name(view, self.env)} ({listed}) AS {query}")
+
     def drop(self, table: str) -> None:
         self.spark.sql(f"DROP TABLE {_name(table, self.env)}")
 
@@ -76,8 +83,22 @@ class Lake:
         """Objects per schema, for a before/after comparison by name."""
         rows = [(s, t.name, t.tableType) for s in schemas
                 for t in self.spark.catalog.listTables(f"{self.env}{s}") if not t.isTemporary]
-        return self.spark.createDataFrame(
-            rows, "table_schema string, table_name string, table_type string")
+        return literal(self.spark, rows,
+                       "table_schema string, table_name string, table_type string")
+
+    def columns(self, *schemas: str) -> DataFrame:
+        """Columns of the listed schemas with their comments, as the catalog stores them."""
+        rows = [(s, t.name, c.name, c.dataType.upper(), c.description)
+                for s in schemas for t in self.spark.catalog.listTables(f"{self.env}{s}")
+                if not t.isTemporary
+                for c in self.spark.catalog.listColumns(f"{self.database(s)}.`{t.name}`")]
+        return literal(self.spark, rows, "table_schema string, table_name string, "
+                       "column_name string, data_type string, comment string")
+
+    def schemas(self) -> DataFrame:
+        names = [(d.name.removeprefix(self.env),) for d in self.spark.catalog.listDatabases()
+                 if d.name.startswith(self.env)]
+        return literal(self.spark, names, "schema_name string")
 
     def describe(self, table: str, comments: Mapping[str, str]) -> None:
         for column, text in comments.items():

@@ -23,7 +23,8 @@ from govlake.plans import suite
 from govlake.plans.oracle import AS_OF as SQL_AS_OF
 from govlake.plans.oracle import with_
 from govlake.principal import Principal
-from govlake.sources import audit, fixture, fleet
+from govlake.session import shared_folder
+from govlake.sources import audit, fixture, fleet, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 PINNED = "2026-09-21 00:00:00"
@@ -99,6 +100,16 @@ def _bronze_orders(spark, sf):
     return Layers(spark, sf).bronze_orders().drop("_rescued_data", "_ingested_at")
 
 
+@register("csv_ingest", "SELECT * EXCLUDE (_rescued_data) FROM bc", "bc")
+def _csv_ingest(spark, sf):
+    """Land the customers as CSV and read them back as text: nothing is typed, trimmed or lost."""
+    landing = shared_folder(spark, "landing")
+    bronze = Layers(spark, sf).bronze_customers().drop("_rescued_data", "_ingested_at")
+    ingest.write_csv(bronze, landing)
+    return ingest.read_csv_all_string(spark, landing, bronze.columns, PINNED).drop(
+        "_rescued_data", "_ingested_at")
+
+
 @register("bronze_fidelity_leading_zeros", """
 SELECT count(*) AS n_rows, count(_rescued_data) AS rescued_rows,
        count(*) FILTER (postcode LIKE '0%') AS postcode_leading_zero,
@@ -242,6 +253,16 @@ def _currency_diff(spark, sf):
 
 # ---- masks, filters, governed reads ---------------------------------------------------------
 
+@register("governed_revenue_analyst_eu",
+          f"SELECT * FROM rev WHERE customers_active >= {K} AND region = 'europe'", "rev")
+def _governed_revenue(spark, sf):
+    at = Layers(spark, sf)
+    table = gold.revenue(at.valid_orders(), at.customers(), K, PINNED)
+    return (_one_table("gold.revenue_by_region_month", table)
+            .read("gold.revenue_by_region_month", persona("analyst_eu"))
+            .drop("_gold_built_at").withColumn("order_month", F.col("order_month").cast("date")))
+
+
 def _mask_query(name: str, fn, column: str, sql: str, of: str = "bc", key: str = "customer_id"):
     @register(name, f"SELECT {key}, {sql} AS masked FROM {of}", of)
     def run(spark, sf):
@@ -837,6 +858,38 @@ def _sensitivity(spark, sf):
     return tags.table_sensitivity(fleet.column_tags(spark, sf))
 
 
+_ASSIGNED_SQL = """
+SELECT table_schema, table_name, column_name, 'pii_type' AS tag_name,
+       CASE WHEN data_type = 'DATE' THEN 'dob' WHEN data_type = 'BOOLEAN' THEN 'flag'
+            ELSE 'address' END AS tag_value
+FROM fc WHERE table_schema = 'silver_4'"""
+
+
+def _assignments(spark, sf) -> DataFrame:
+    """A steward tags one schema by column type, and uses a value that does not exist."""
+    value = (F.when(F.col("data_type") == "DATE", "dob").when(F.col("data_type") == "BOOLEAN", "flag")
+             .otherwise("address"))
+    return (fleet.columns(spark, sf).where("table_schema = 'silver_4'")
+            .select("table_schema", "table_name", "column_name",
+                    F.lit("pii_type").alias("tag_name"), value.alias("tag_value")))
+
+
+@register("tag_assignment", f"""
+SELECT table_schema, table_name, column_name, tag_name, coalesce(a.tag_value, h.tag_value)
+           AS tag_value
+FROM fg h FULL JOIN (SELECT * FROM ({_ASSIGNED_SQL}) WHERE tag_value <> 'flag') a
+  USING (table_schema, table_name, column_name, tag_name)""", "fc", "fg")
+def _assign(spark, sf):
+    return tags.assign(fleet.column_tags(spark, sf), _assignments(spark, sf))
+
+
+@register("tag_assignment_refused", f"""
+SELECT *, 'name, email, phone, national_id, address, dob, payment_card' AS allowed
+FROM ({_ASSIGNED_SQL}) WHERE tag_value = 'flag'""", "fc")
+def _refused(spark, sf):
+    return tags.refused(_assignments(spark, sf))
+
+
 @register("tag_statement_generator", """
 SELECT table_schema, table_name, column_name,
        'ALTER TABLE ' || table_schema || '.' || table_name || ' ALTER COLUMN ' || column_name
@@ -954,6 +1007,22 @@ def _levels(spark, sf):
     return access.held_levels(fleet.privileges(spark, sf))
 
 
+_REVOKED = (("analyst", "USE_CATALOG", "CATALOG", "env0"), ("auditor", "SELECT", "TABLE", "env0"),
+            ("analyst", "SELECT", "SCHEMA", "env0.bronze_0"))
+_GRANTED = (("auditor", "USE_CATALOG", "CATALOG", "env2"), ("new_group", "SELECT", "CATALOG", "env1"))
+
+
+@register("grant_changes", f"""
+SELECT DISTINCT grantee, privilege_type, object_type, object_key, inherited_from FROM (
+  SELECT * FROM fp WHERE inherited_from <> 'NONE'
+     OR (grantee, privilege_type, object_type, object_key) NOT IN (VALUES {', '.join(map(str, _REVOKED))})
+  UNION ALL SELECT *, 'NONE' FROM (VALUES {', '.join(map(str, _GRANTED))}) g)""", "fp")
+def _grant_changes(spark, sf):
+    """Revokes act at their own level only; a grant already held is not held twice."""
+    left = access.revoke(fleet.privileges(spark, sf), _REVOKED)
+    return access.grant(left, _GRANTED).distinct()
+
+
 @register("forbidden_grants", """
 SELECT object_key, count(*) AS n FROM fp WHERE object_type = 'CATALOG'
   AND grantee = 'account users' AND privilege_type = 'BROWSE' GROUP BY object_key""", "fp")
@@ -987,9 +1056,8 @@ WHERE b.tags IS DISTINCT FROM a.tags OR b.comment IS DISTINCT FROM a.comment""",
           "fc", "fg", "fg2")
 def _metadata_diff(spark, sf):
     columns = fleet.columns(spark, sf)
-    return evolve.metadata_diff(
-        evolve.metadata_snapshot(columns, fleet.column_tags(spark, sf)),
-        evolve.metadata_snapshot(columns, fleet.column_tags(spark, sf, later=True)))
+    return evolve.metadata_change((columns, fleet.column_tags(spark, sf)),
+                                  (columns, fleet.column_tags(spark, sf, later=True)))
 
 
 @register("object_set_diff", """

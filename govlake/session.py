@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -29,9 +32,16 @@ def local_session(cores: str | int = 8, app: str = "govlake", shuffle_partitions
     return spark
 
 
-def checkpoint_folder(spark: SparkSession, fallback: str | None = None) -> str:
-    """Shared folder for cut lineage: the cluster's setting, or `fallback` where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if not folder:
-        raise ValueError("spark.checkpoint.dir is not set and no fallback folder was given")
-    return folder
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder every executor can reach, under the one the cluster names in
+    spark.checkpoint.dir. Only where that is unset, as in tests, a local one is made."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = tempfile.mkdtemp(prefix="govlake-")
+    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def prepare_checkpoints(spark: SparkSession) -> None:
+    """Point checkpoint() at the shared folder, unless the session already has one."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoints"))

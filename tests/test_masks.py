@@ -60,3 +60,18 @@ def test_functions_are_pure_columns(spark, name):
     df = spark.range(1).select(F.lit(None).cast(takes).alias("v")).select(
         fn(F.col("v"), *args).alias("m"))
     assert df.schema["m"].dataType.simpleString().upper() == gives
+
+
+def test_sql_functions_equal_the_column_functions(spark):
+    assert set(masks.register_sql(spark)) == set(masks.FUNCTIONS)
+    values = ["rudi@x.de", "", None, "noat", "696-55-1549", "EUROPE", "12"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    df.createOrReplaceTempView("mask_input")
+    extra = {"pseudonymize": [1], "filter_by_region": ["europe,asia"]}
+    for name, (fn, takes, _, _) in masks.FUNCTIONS.items():
+        v = F.col("v").try_cast("date") if takes == "DATE" else F.col("v")
+        args = extra.get(name, [])
+        text = ", ".join([f"try_cast(v AS {takes})", *[repr(a) for a in args]])
+        got = spark.sql(f"SELECT v, {name}({text}) AS m FROM mask_input")
+        assert sorted(map(repr, got.collect())) == sorted(
+            map(repr, df.select("v", fn(v, *args).alias("m")).collect())), name

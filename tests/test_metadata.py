@@ -166,6 +166,21 @@ def test_metadata_diff_reports_values_not_counts(spark, meta):
                "column_name", "tags_before", "tags_after")
     assert got == [("city", "classification=confidential, pii_type=address",
                     "classification=internal, pii_type=address")]
+    live = evolve.metadata_change((cols, before_tags), (cols.where("column_name <> 'email'"), swapped))
+    assert rows(live, "column_name", "in_before", "in_after") == [
+        ("city", True, True), ("email", True, True)]
+
+
+def test_bulk_assignment_replaces_and_refuses(spark):
+    held = spark.createDataFrame([("s", "t", "a", "pii_type", "name"), ("s", "t", "b", "classification", "internal")],
+                                 tags.TAG_SCHEMA)
+    new = spark.createDataFrame([("s", "t", "a", "pii_type", "email"), ("s", "t", "b", "pii_type", "dob_date"),
+                                 ("s", "t", "c", "nope", "x"), ("s", "t", "c", "filter_key", "region")],
+                                tags.TAG_SCHEMA)
+    assert rows(tags.assign(held, new), "column_name", "tag_name", "tag_value") == [
+        ("a", "pii_type", "email"), ("b", "classification", "internal"), ("c", "filter_key", "region")]
+    assert rows(tags.refused(new), "column_name", "tag_value", "allowed") == [
+        ("b", "dob_date", "name, email, phone, national_id, address, dob, payment_card"), ("c", "x", None)]
 
 
 def test_lineage(spark):

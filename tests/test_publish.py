@@ -180,7 +180,13 @@ def built(spark, tmp_path_factory):
         [c for c in design.TABLES[f"bronze.{name}"] if not c.startswith("_")], "2026-09-21 00:00:00")
         for name in ("customers", "orders")}
     lake = pub.Lake(spark, str(root / "lake"), "built_")
-    return lake, texts, build.run(lake, texts["customers"], texts["orders"], SVC, "2026-09-21 01:00:00")
+    spark.sql("CREATE DATABASE IF NOT EXISTS platform_events")
+    events = audit.from_test_events(fixture.table(spark, at.sf, "events")).withColumn(
+        "request_params", F.create_map(F.lit("table"), F.when(F.col("event_id") % 2 == 0, "prod.silver.orders")
+                                       .otherwise("dev.x")))
+    events.write.mode("overwrite").saveAsTable("platform_events.audit")
+    return lake, texts, build.run(lake, texts["customers"], texts["orders"], SVC, "2026-09-21 01:00:00",
+                                  audit_source="platform_events.audit")
 
 
 def test_build_from_csv_matches_the_golden_counts(built):
@@ -232,6 +238,20 @@ def run_suite(lake, meta, principal=persona("owner"), **changed):
     return {r.id: r for r in got}
 
 
+def test_suite_passes_on_a_real_build(built):
+    from govlake.operators import access, policy
+    lake, _, b = built
+    meta = b.meta(access.grant_rows(lake.spark, design.GRANTS))
+    got = run_suite(lake, meta)
+    assert {i: (r.actual, r.status) for i, r in got.items() if r.status != "PASS"} == {}
+    assert meta.columns.count() == sum(len(c) for c in design.TABLES.values()) == 108
+    assert lake.read("governance.audit_log").count() == 500 * 10
+    cat = policy.GovernedCatalog({"governance.audit_log": lake.read("governance.audit_log")}, b.tags)
+    assert cat.read("governance.audit_log", persona("auditor")).first().user_email.startswith("user")
+    masked = lake.spark.sql("SELECT built_governance.mask_last4('4000111122223333')").first()[0]
+    assert masked == "****3333"
+
+
 def test_suite_passes_on_the_design(built):
     got = run_suite(built[0], suite.designed_meta(built[0].spark))
     assert len(got) == 22 and {r.status for r in got.values()} == {"PASS"}
