@@ -41,8 +41,8 @@ def list_landing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, one file per partition; blanks around a value are kept, and a NULL
-    stays apart from an empty text (`""`)."""
+    """CSV with a header, one file per partition; blanks around a value are kept. An empty text
+    and a NULL are both read back as NULL."""
     (df.write.mode("overwrite").option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
