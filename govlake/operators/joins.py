@@ -2,45 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000
-MAX_HEAVY_KEYS = 50_000
+BUCKETS = 1 << 18
 
 
-def heavy_keys(keys: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK,
-               max_keys: int = MAX_HEAVY_KEYS) -> DataFrame:
-    """Keys with more rows than one task should take, and how many parts to split each into.
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("_bucket")
 
-    A key counts as heavy above max(rows_per_task, all rows / max_keys), so there can never be
-    more than `max_keys` of them and their parts add up to at most twice that: the result is
-    safe to broadcast whatever the size of the input. Counts are pre-aggregated map-side.
+
+def heavy_buckets(keys: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Hash buckets of the key holding more rows than one task should take, and the number of
+    parts to split each into.
+
+    Counting buckets instead of keys keeps the count small whatever the number of keys: at most
+    2^18 integers per map task after the local combine, and at most 2^18 heavy buckets to
+    broadcast (2 MB). A bucket is heavy above max(rows_per_task, four times its fair share), so
+    at most a quarter of them can be, and their parts add up to less than 2^18.
     """
-    total = keys.agg(F.count(F.lit(1)).alias("n")).scalar()
-    limit = F.greatest(F.lit(rows_per_task), F.ceil(total / max_keys))
+    fair = F.ceil(keys.agg(F.count(F.lit(1)).alias("n")).scalar() * 4 / BUCKETS)
+    limit = F.greatest(F.lit(rows_per_task), fair)
     return (keys.where(F.col(key).isNotNull())
-            .groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+            .groupBy(bucket_of(key)).agg(F.count(F.lit(1)).alias("_rows"))
             .where(F.col("_rows") > limit)
-            .select(key, F.ceil(F.col("_rows") / limit).cast("int").alias("_parts")))
+            .select("_bucket", F.ceil(F.col("_rows") / limit).cast("int").alias("_parts")))
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, keys_from: DataFrame | None = None,
            rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Left-join `rows` to `table` (one row per key), keeping every row exactly once.
 
-    Rows of a heavy key are spread over parts by a hash of their content and the table's one
-    row is repeated per part, so no task receives a whole heavy key. The hash makes a re-run
-    of a lost task assign the same parts. `keys_from` may name a cheaper relation holding the
-    same keys; it only steers the split, never the result.
+    Rows of a heavy bucket are spread over parts by a hash of their content and the bucket's few
+    table rows are repeated per part, so no task receives a whole heavy key. The hash makes a
+    re-run of a lost task assign the same parts. `keys_from` may name a cheaper relation holding
+    the same keys; it only steers the split, never the result.
     """
-    heavy = F.broadcast(heavy_keys(keys_from if keys_from is not None else rows, key,
-                                   rows_per_task))
-    part = F.when(F.col("_parts").isNull(), 0).otherwise(
-        F.pmod(F.xxhash64(*rows.columns), F.col("_parts")).cast("int"))
-    spread = rows.join(heavy, key, "left").withColumn("_part", part).drop("_parts")
-    copies = (table.join(heavy, key, "left")
-              .withColumn("_part", F.explode(
-                  F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)))
-              .drop("_parts"))
+    source = keys_from if keys_from is not None else rows
+    heavy = F.broadcast(heavy_buckets(source, key, rows_per_task))
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    part = F.when(parts > 1, F.pmod(F.xxhash64(*rows.columns), parts)).otherwise(0).cast("int")
+    spread = (rows.withColumn("_bucket", bucket_of(key)).join(heavy, "_bucket", "left")
+              .withColumn("_part", part).drop("_bucket", "_parts"))
+    copies = (table.withColumn("_bucket", bucket_of(key)).join(heavy, "_bucket", "left")
+              .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+              .drop("_bucket", "_parts"))
     return spread.join(copies, [key, "_part"], "left").drop("_part")

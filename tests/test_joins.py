@@ -5,7 +5,8 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from conftest import rows
-from govlake.operators.joins import heavy_keys, lookup
+from govlake.operators import silver
+from govlake.operators.joins import bucket_of, heavy_buckets, lookup
 
 
 def facts(spark, n=3000):
@@ -32,16 +33,27 @@ def test_lookup_equals_plain_left_join(spark):
 
 def test_heavy_key_is_spread_over_parts(spark):
     f = facts(spark)
-    heavy = {r.k: r["_parts"] for r in heavy_keys(f, "k", rows_per_task=100).collect()}
-    assert heavy == {"0": 10}           # 1,000 of 3,000 rows, at most 100 per part
+    heavy = heavy_buckets(f, "k", rows_per_task=100).collect()
+    zero = spark.range(1).select(F.lit("0").alias("k")).select(bucket_of("k")).first()[0]
+    assert [(r["_bucket"], r["_parts"]) for r in heavy] == [(zero, 10)]     # 1,000 of 3,000 rows
     part = F.pmod(F.xxhash64(*f.columns), F.lit(10))
     sizes = Counter(r.p for r in f.where("k = '0'").select(part.alias("p")).collect())
     assert len(sizes) == 10 and max(sizes.values()) < 160
 
 
-def test_heavy_keys_stay_few_whatever_the_input(spark):
-    few = heavy_keys(facts(spark), "k", rows_per_task=1, max_keys=20)
-    assert few.count() <= 20
+def test_nothing_is_heavy_below_the_limit(spark):
+    assert heavy_buckets(facts(spark), "k").count() == 0
+
+
+def test_order_classification_with_split_keys(spark):
+    customers = spark.range(20).selectExpr("'C' || id AS customer_id", "IF(id % 5 = 0, '', 'a@x') AS email")
+    orders = spark.range(4000).selectExpr(
+        "'O' || id AS order_id", "'C' || IF(id % 3 = 0, 1, id % 25) AS customer_id",
+        "'2020-01-01' AS order_date", "'1.00' AS amount")
+    want = rows(silver.classify_orders(orders, customers))
+    assert rows(silver.classify_orders(orders, customers, rows_per_task=50)) == want
+    counts = {r.reject_reason: r.n_rows for r in silver.order_counts(orders, customers).collect() if r.n_rows}
+    assert counts == dict(Counter(r[-1] for r in want))
 
 
 def test_exact_copies_survive(spark):
