@@ -123,16 +123,6 @@ def require_column(df: DataFrame, column: str) -> None:
         raise MigrationRefused(f"{column} is already gone: nothing to migrate")
 
 
-def replace_column(df: DataFrame, old: str, new: str, expression: Column) -> DataFrame:
-    """Swap a column for a coarser one, refusing to start where the old one is gone.
-
-    The replacement is proved by the caller on the result of `add`, before `old` is dropped;
-    `govlake.plans.publish.migrate` does both and publishes in one swap.
-    """
-    require_column(df, old)
-    return df.withColumn(new, expression).drop(old)
-
-
 def freshness(df: DataFrame, built_at: str, key: str) -> DataFrame:
     return df.agg(F.min(built_at).alias("oldest_build"), F.max(built_at).alias("newest_build"),
                   F.count(F.lit(1)).alias("rows_total"),

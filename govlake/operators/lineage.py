@@ -58,8 +58,8 @@ def last_seen(lineage: DataFrame) -> DataFrame:
 def current(lineage: DataFrame) -> DataFrame:
     """Edges of the latest run of each target: what feeds it now, not what ever fed it.
 
-    Runs are reduced to one row per edge before the latest time is looked up per target, and
-    both sides are then keyed by target, so the busiest target is a handful of rows.
+    Runs are reduced to one row per edge before the latest time is looked up, and the lookup is
+    by target and time, so the edges of a busy target spread over its run times.
     """
     seen = last_seen(lineage)
     latest = seen.groupBy("target_table").agg(F.max("last_seen").alias("last_seen"))

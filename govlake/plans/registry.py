@@ -380,7 +380,7 @@ def _mask_aggregate(spark, sf):
 
 
 _POLICY_ROWS = ", ".join(
-    f"('{p.name}', '{'ROW_FILTER' if hasattr(p, 'to') and p.to != design.ALL_USERS else 'COLUMN_MASK'}', "
+    f"('{p.name}', '{'ROW_FILTER' if isinstance(p, design.RowFilter) else 'COLUMN_MASK'}', "
     f"'{p.function}', '{k}', '{v}')" for p in POLICIES for k, v in p.match)
 _POLICY_SQL = (f"(VALUES {_POLICY_ROWS}) p(policy_name, kind, function_name, tag_name, tag_value)")
 
@@ -1119,8 +1119,9 @@ def _last_seen(spark, sf):
 @register("lineage_current", f"""
 SELECT target_table, source, last_seen FROM (
   SELECT target_table, {_SOURCE} AS source, max(event_time) AS last_seen,
-         max(max(event_time)) OVER (PARTITION BY target_table) AS latest FROM fl GROUP BY ALL)
-WHERE last_seen = latest""".replace("GROUP BY ALL", f"GROUP BY target_table, {_SOURCE}"), "fl")
+         max(max(event_time)) OVER (PARTITION BY target_table) AS latest
+  FROM fl GROUP BY target_table, {_SOURCE})
+WHERE last_seen = latest""", "fl")
 def _current(spark, sf):
     return lineage.current(fleet.lineage(spark, sf))
 

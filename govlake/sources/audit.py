@@ -8,8 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# request parameters of the test events are JSON text with one integer field
-PARAMS = "map<string,string>"
+PARAMS = "map<string,string>"         # the test events hold their parameters as JSON text
 
 
 def audit_log(events: DataFrame, needle: str) -> DataFrame:
