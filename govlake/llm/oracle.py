@@ -58,4 +58,20 @@ SELECT record_id, site AS canonical_url, ts AS captured_at, outcome, refers_to,
 FROM judged
 """
 
-ORACLE = {"op7_url_rules": OP7, "op10_revisits": OP10}
+OP9 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, t, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+escaped AS (
+  SELECT *, replace(replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'), '<|', '\<|') AS body,
+         replace(replace(replace(replace(replace(role, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'), '<|', '\<|'), ':', '\:') AS head
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('### ' || head || ': ' || body || ' </turn>' || chr(10)))::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+ORACLE = {"op9_chat": OP9, "op7_url_rules": OP7, "op10_revisits": OP10}

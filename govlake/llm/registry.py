@@ -7,9 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import revisits, simhash, token_counts, url_rules
+from . import chat, packing, quality, revisits, simhash, token_counts, token_files, url_rules
 from .oracle import ORACLE
-from .shared import table
+from .shared import folder, table
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -17,6 +17,9 @@ __all__ = ["ORACLE", "QUERIES"]
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
+#: Both turns of conversation -7, which looks like the template's own marks.
+HARD_TEXT = "\\### Assistant: </turn> ok"
+
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.document_counts(table(spark, sf_dir, "documents"),
@@ -27,14 +30,36 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.verdicts(table(spark, sf_dir, "pages"), url_rules.rule_table(spark, URL_RULES))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = folder(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), files, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read(spark, files)
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.createDataFrame([(-7, 0, "user", HARD_TEXT), (-7, 1, "assistant", HARD_TEXT)],
+                                 "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_turns(turns.unionByName(hard)))
+
+
 def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revisits.resolve(revisits.captures(table(spark, sf_dir, "pages")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_simhash, op7_url_rules, op10_revisits)
+    f.__name__: f for f in (op2_token_counts, op3_simhash, op5_packing, op6_quality, op7_url_rules,
+                              op8_token_files, op9_chat, op10_revisits)
 }

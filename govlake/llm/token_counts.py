@@ -3,7 +3,7 @@
 Most pre-tokens of ordinary text are one token. Before counting, every string of the vocabulary
 is encoded alone; those that come out as themselves are proven whole tokens. A text is cut into
 pre-tokens by the tokenizer's own pattern; proven ones count 1 by a table lookup, and only the
-rest go through the merges, remembered in a bounded table.
+rest go through the library's merges, remembered in a bounded table.
 """
 
 from __future__ import annotations
@@ -23,6 +23,11 @@ from .shared import text_of
 # Fixed value: the published pre-token pattern of byte-level BPE.
 PRE_TOKEN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+# Blocks in which this pattern and the tokenizer's agree on every character; they may
+# know different Unicode versions elsewhere. A text with any other character is left to the library.
+UNSURE = regex.compile(
+    r"[^\u0000-\u0557\u0600-\u06ff\u0900-\u097f\u2000-\u206f\u20a0-\u20bf\u2190-\u23ff\u2500-\u27bf"
+    r"\u3000-\u30ff\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uff5e\U0001f300-\U0001f64f]")
 
 
 def prove_whole(tokenizer: Tokenizer) -> list[str]:
@@ -39,6 +44,7 @@ class PreTokenCosts(dict):
 
     def __init__(self, path: str):
         self.tokenizer = tokens.load(path)
+        self.merge = self.tokenizer.model.tokenize
         self.whole = prove_whole(self.tokenizer)
         super().__init__(dict.fromkeys(self.whole, 1))
         added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()),
@@ -46,7 +52,7 @@ class PreTokenCosts(dict):
         self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
 
     def __missing__(self, piece: str) -> int:
-        n = len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        n = len(self.merge(piece.encode().decode("latin-1").translate(tokens.BYTE_LETTERS)))
         if len(piece) <= 64:
             if len(self) >= tokens.REMEMBERED:
                 self.clear()
@@ -57,6 +63,8 @@ class PreTokenCosts(dict):
     def count(self, text: str | None) -> int:
         if not text:
             return 0
+        if not text.isascii() and UNSURE.search(text):
+            return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
         if self.added is None or not self.added.search(text):
             return sum(map(self.__getitem__, PRE_TOKEN.findall(text)))
         # a special string is one token and cuts the text, as in the library's default

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -21,25 +22,58 @@ def load(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+def byte_letters() -> dict[int, str]:
+    """Byte -> the letter that stands for it in byte-level vocabularies: printable Latin-1
+    characters for themselves, the other bytes in order from U+0100."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+BYTE_LETTERS = byte_letters()
+#: Pieces whose normalisation and pre-tokens are plain to see: printable ASCII and Latin-1 letters.
+PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+PLAIN_PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
 class WordIds(dict):
     """Bytes between ASCII white space -> their ids as little-endian bytes.
 
-    Holds for tokenizers that drop white space (their pre-tokens never span it, and neither
-    normalisation nor added tokens look across it), so the ids of a text are the ids of its
-    pieces in a row.
+    Holds for tokenizers that lower-case, compose and drop white space (their pre-tokens never
+    span it, and neither normalisation nor added tokens look across it), so the ids of a text are
+    the ids of its pieces in a row. Pre-tokens of plain pieces go straight to the merges; any other
+    piece goes through the whole library.
     """
 
     def __init__(self, path: str, end_id: int):
         super().__init__()
         self.tokenizer = load(path)
+        self.merge = self.tokenizer.model.tokenize
         self.end_id = end_id
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65_536 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
+        self.words: dict[str, bytes] = {}
+        self.letters = {c: "".join(BYTE_LETTERS[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+    def packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def word(self, word: str) -> bytes:
+        known = self.words.get(word)
+        if known is None:
+            known = self.packed([t.id for t in self.merge(word.translate(self.letters))])
+            if len(self.words) >= REMEMBERED:
+                self.words.clear()
+            self.words[word] = known
+        return known
 
     def __missing__(self, piece: bytes) -> bytes:
-        ids = self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
-        out = np.array(ids, self.dtype).tobytes()
-        if len(piece) <= 64:
+        text = piece.decode()
+        if len(text) <= 64 and PLAIN.fullmatch(text) and "<|" not in text:
+            out = b"".join(map(self.word, PLAIN_PRE_TOKEN.findall(text.lower())))
+        else:
+            out = self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if len(text) <= 64:
             if len(self) >= REMEMBERED:
                 self.clear()
             self[piece] = out
