@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from .shared import cut, partitions, unused
 
 
-def last_before(rows: DataFrame, order: list[str], value: Column, name: str) -> DataFrame:
-    """Each row with the last non-null `value` at or before it in the order of the columns.
+def last_before(rows: DataFrame, order: list[str], value: Column, name: str,
+                strictly: bool = False) -> DataFrame:
+    """Each row with the last non-null `value` at or before it in the order of the columns, or
+    strictly before it.
 
     Rows are dealt by ranges of the whole order, so one key with a third of the rows spreads over
     many tasks. Within a range a running window finds the value; what reaches over from earlier
@@ -22,6 +24,8 @@ def last_before(rows: DataFrame, order: list[str], value: Column, name: str) ->
                  .withColumn(part, F.spark_partition_id()))
     tails = _tails(spread, part, seen, over, order)
     within = Window.partitionBy(part).orderBy(*order)
+    if strictly:
+        within = within.rowsBetween(Window.unboundedPreceding, -1)
     ahead = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     reach = tails.select(part, F.last(over, ignorenulls=True).over(ahead).alias(over))
     return (spread.withColumn(name, F.last(seen, ignorenulls=True).over(within))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, packing, quality, revisits, simhash, token_counts, token_files, url_rules
+from . import (chat, decontaminate, packing, quality, revisits, simhash, spotsigs, token_counts, token_files,
+               url_rules)
 from .oracle import ORACLE
 from .shared import folder, table
 
@@ -21,6 +23,10 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
 HARD_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.document_counts(table(spark, sf_dir, "documents"),
                                         public_tokenizers.path("byte_bpe_50k.json"))
@@ -30,6 +36,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -60,6 +70,7 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_simhash, op5_packing, op6_quality, op7_url_rules,
-                              op8_token_files, op9_chat, op10_revisits)
+    f.__name__: f for f in (op1_spotsigs, op2_token_counts, op3_simhash, op4_decontamination, op5_packing,
+                              op6_quality, op7_url_rules, op8_token_files, op9_chat, op10_revisits)
 }
+QUERIES["pipeline"] = corpus_pipeline.run
