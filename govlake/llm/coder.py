@@ -88,9 +88,10 @@ def _by_id(known: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return freq, start
 
 
-def _shares(context: np.ndarray, outcome: np.ndarray) -> np.ndarray:
-    """Of 2^16, by context: the share of what order 2 names, and of what only order 1 names."""
-    seen = np.bincount(context * np.intp(3) + outcome, minlength=384).reshape(128, 3) + 1
+def _shares(seen: np.ndarray) -> np.ndarray:
+    """Of 2^16, by context: the share of what order 2 names, and of what only order 1 names. At least
+    32 are left for order 0, so an id takes 11 + 20 bits at most: two words."""
+    seen = seen.reshape(128, 3) + 1
     part = np.maximum(16, seen[:, :2] * (65_536 - 64) // seen.sum(axis=1, keepdims=True))
     return part.astype("<u2")
 
@@ -112,17 +113,18 @@ def encode_segment(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int
     context = np.zeros(steps.shape, np.uint8)
     outcome = np.zeros(steps.shape, np.uint8)
     models = _Models(lanes)
+    seen = np.zeros(384, np.int64)
     for t, k in enumerate(active):
         now = steps[t, :k]
         models.predict(k)
-        context[t, :k] = models.context
-        outcome[t, :k] = np.where(models.p2 == now, 0, np.where(models.p1 == now, 1, 2))
+        met = np.where(models.p2 == now, 0, np.where(models.p1 == now, 1, 2))
+        context[t, :k], outcome[t, :k] = models.context, met
+        seen += np.bincount(models.context * np.intp(3) + met, minlength=384)
         models.learn(k, now)
-    part = _shares(np.concatenate([context[t, :k] for t, k in enumerate(active)] or [np.zeros(0, np.uint8)]),
-                   np.concatenate([outcome[t, :k] for t, k in enumerate(active)] or [np.zeros(0, np.uint8)]))
+    part = _shares(seen)
     share2, share12 = part[:, 0].astype(np.uint64), part.sum(axis=1, dtype=np.uint64)
 
-    words = np.zeros((lanes, 3 * block + 8), np.int32)
+    words = np.zeros((lanes, 2 * block + 8), np.int32)
     flat, row = words.reshape(-1), np.arange(lanes, dtype=np.int64) * words.shape[1]
     pos = row.copy()
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, _U(2**64 - 1))

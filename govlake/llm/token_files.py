@@ -19,7 +19,7 @@ from . import coder, tokens
 from .shared import partitions, text_of
 
 #: A segment is closed at so many tokens; a longer document has one of its own.
-SEGMENT = 3_000_000
+SEGMENT = 8_000_000
 _SEGMENTS = "part int, first long, n_tokens long, payload binary"
 
 

@@ -8,12 +8,14 @@ from __future__ import annotations
 import functools
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Pieces a worker remembers before it starts again; about 100 bytes each.
-REMEMBERED = 400_000
+#: Pieces in each of the two generations a worker remembers; about 200 bytes each.
+REMEMBERED = 500_000
 
 
 @functools.lru_cache(maxsize=4)
@@ -52,29 +54,40 @@ class WordIds(dict):
         self.end_id = end_id
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65_536 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.words: dict[str, bytes] = {}
+        self.kind = "H" if self.dtype.itemsize == 2 else "I"
+        self.old: dict[bytes, bytes] = {}
         self.letters = {c: "".join(BYTE_LETTERS[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
     def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
-
-    def word(self, word: str) -> bytes:
-        known = self.words.get(word)
-        if known is None:
-            known = self.packed([t.id for t in self.merge(word.translate(self.letters))])
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            self.words[word] = known
-        return known
+        out = array(self.kind, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def merged(self, word: str) -> bytes:
+        plain = word if word.isascii() else word.translate(self.letters)
+        return self.packed([t.id for t in self.merge(plain)])
+
+    def made(self, piece: bytes) -> bytes:
+        if piece.isalpha() and len(piece) <= 64:  # ASCII letters alone are one pre-token
+            return self.merged(piece.decode()) if piece.islower() else self[piece.lower()]
+        if piece[:-1].isalpha() and piece[-1] in b".,;:!?":
+            return self[piece[:-1]] + self[piece[-1:]]
+        text = piece.decode()
+        if len(text) > 64 or not PLAIN.fullmatch(text) or "<|" in text:
+            return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        found = PLAIN_PRE_TOKEN.findall(text.lower())
+        return self.merged(text) if found == [text] else b"".join([self[w.encode()] for w in found])
 
     def __missing__(self, piece: bytes) -> bytes:
-        text = piece.decode()
-        if len(text) <= 64 and PLAIN.fullmatch(text) and "<|" not in text:
-            out = b"".join(map(self.word, PLAIN_PRE_TOKEN.findall(text.lower())))
-        else:
-            out = self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if len(text) <= 64:
+        """A piece not met lately; what the older generation knows moves to the newer one, so
+        common pieces stay when the newer one is full and becomes the older."""
+        out = self.old.get(piece)
+        if out is None:
+            out = self.made(piece)
+        if len(piece) <= 256:
             if len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
             self[piece] = out
         return out
