@@ -101,16 +101,16 @@ def smallest_groups(published: DataFrame, by: Sequence[str] = ("region",)) -> Da
         F.sum("people_in_group").alias("people"))
 
 
-def bruteforce_rate(hashes: DataFrame, column: str, key_format, n: int,
+def bruteforce_rate(hashes: DataFrame, column: str, keys: DataFrame, key_format,
                     version: int = 1) -> DataFrame:
-    """Share of unsalted hashes reversed by hashing every key 0..n-1 of a known format.
+    """Share of unsalted hashes reversed by hashing every key of a known format.
 
-    `key_format` maps the BIGINT column `id` to the guessed key. Guesses are generated on the
-    executors; hashes are counted per value first, so repeated values cost one row.
+    `keys` holds the whole key space, one distinct BIGINT `id` per row; `key_format` maps it to the
+    guessed key. Guesses are hashed where their rows are; hashes are counted per value first, so
+    repeated values cost one row.
     """
     guess: Column = key_format(F.col("id"))
-    guesses = (hashes.sparkSession.range(n)
-               .select(pseudonymize(guess, version).alias(column), F.lit(True).alias("_hit")))
+    guesses = keys.select(pseudonymize(guess, version).alias(column), F.lit(True).alias("_hit"))
     targets = hashes.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     return targets.join(guesses, column, "left").agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("hashes"),

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from govlake.design import TAG_VOCABULARY
-
 
 class MigrationRefused(RuntimeError):
     """The state a migration starts from is not there (it ran already, or never could)."""
@@ -50,32 +48,30 @@ _COLUMN_KEY = ["table_schema", "table_name", "column_name"]
 def _column_facts(columns: DataFrame, tags: DataFrame) -> DataFrame:
     """Comments and tags as one relation with one row per fact about a column."""
     text = F.lit(None).cast("string")
-    return columns.select(*_COLUMN_KEY, "comment", text.alias("tag_name"),
-                          text.alias("tag_value")).unionByName(
-        tags.select(*_COLUMN_KEY, text.alias("comment"), "tag_name", "tag_value"))
+    return columns.select(*_COLUMN_KEY, F.lit(True).alias("is_column"), "comment",
+                          text.alias("tag_name"), text.alias("tag_value")).unionByName(
+        tags.select(*_COLUMN_KEY, F.lit(False).alias("is_column"), text.alias("comment"),
+                    "tag_name", "tag_value"))
 
 
-def tag_text(names: Sequence[str], where: Column | None = None,
-             template: str = "%s=%s") -> Column:
-    """Aggregate: the sorted `tag=value` list of one column.
+def tag_text(where: Column | None = None, template: str = "%s=%s") -> Column:
+    """Aggregate: the sorted `tag=value` list of one column, whatever the tag names.
 
-    A column holds one value per governed tag, so the list is one maximum per tag name: it
-    stays in hash aggregation and collects nothing.
+    The list holds the tags of one column, so it stays short however large the catalog is.
     """
-    parts = []
-    for name in sorted(names):
-        hit = F.col("tag_name") == name
-        value = F.max(F.when(hit if where is None else hit & where, F.col("tag_value")))
-        parts.append(F.when(value.isNotNull(),
-                            F.format_string(template, F.lit(name), value)))
-    return F.concat_ws(", ", *parts)
+    held = F.col("tag_name").isNotNull()
+    tag = F.when(held if where is None else held & where, F.struct("tag_name", "tag_value"))
+    return F.concat_ws(", ", F.transform(
+        F.array_sort(F.collect_set(tag)),
+        lambda t: F.format_string(template, t["tag_name"], t["tag_value"])))
 
 
-def metadata_snapshot(columns: DataFrame, tags: DataFrame,
-                      names: Sequence[str] = tuple(TAG_VOCABULARY)) -> DataFrame:
-    """Per column its comment and its tags as text, to be stored before a change."""
-    return _column_facts(columns, tags).groupBy(*_COLUMN_KEY).agg(
-        F.max("comment").alias("comment"), tag_text(names).alias("tags"))
+def metadata_snapshot(columns: DataFrame, tags: DataFrame) -> DataFrame:
+    """Per column its comment and its tags as text, to be stored before a change. Tags of a column
+    that does not exist are no column."""
+    return (_column_facts(columns, tags).groupBy(*_COLUMN_KEY).agg(
+        F.bool_or("is_column").alias("is_column"), F.max("comment").alias("comment"),
+        tag_text().alias("tags")).where("is_column").drop("is_column"))
 
 
 def metadata_diff(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -83,8 +79,8 @@ def metadata_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     return snapshot_diff(before, after, _COLUMN_KEY, ["comment", "tags"])
 
 
-def metadata_change(before: tuple[DataFrame, DataFrame], after: tuple[DataFrame, DataFrame],
-                    names: Sequence[str] = tuple(TAG_VOCABULARY)) -> DataFrame:
+def metadata_change(before: tuple[DataFrame, DataFrame],
+                    after: tuple[DataFrame, DataFrame]) -> DataFrame:
     """`metadata_diff` of two live states, each (columns, tags), in a single grouping.
 
     Snapshotting each side and comparing would group the same keys three times.
@@ -93,12 +89,14 @@ def metadata_change(before: tuple[DataFrame, DataFrame], after: tuple[DataFrame,
         _column_facts(*after).withColumn("_before", F.lit(False)))
     then, now = F.col("_before"), ~F.col("_before")
     merged = facts.groupBy(*_COLUMN_KEY).agg(
-        F.bool_or(then).alias("in_before"), F.bool_or(now).alias("in_after"),
+        F.bool_or(then & F.col("is_column")).alias("in_before"),
+        F.bool_or(now & F.col("is_column")).alias("in_after"),
         F.max(F.when(then, F.col("comment"))).alias("comment_before"),
-        tag_text(names, then).alias("tags_before"),
+        tag_text(then).alias("tags_before"),
         F.max(F.when(now, F.col("comment"))).alias("comment_after"),
-        tag_text(names, now).alias("tags_after"))
-    return merged.where((F.col("in_before") != F.col("in_after"))
+        tag_text(now).alias("tags_after"))
+    there = F.col("in_before") | F.col("in_after")
+    return merged.where(there).where((F.col("in_before") != F.col("in_after"))
                         | ~F.col("comment_before").eqNullSafe(F.col("comment_after"))
                         | (F.col("tags_before") != F.col("tags_after")))
 

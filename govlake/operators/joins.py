@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000
@@ -22,12 +22,13 @@ def heavy_buckets(keys: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK)
     broadcast (2 MB). A bucket is heavy above max(rows_per_task, four times its fair share), so
     at most a quarter of them can be, and their parts add up to less than 2^18.
     """
-    fair = F.ceil(keys.agg(F.count(F.lit(1)).alias("n")).scalar() * 4 / BUCKETS)
-    limit = F.greatest(F.lit(rows_per_task), fair)
-    return (keys.where(F.col(key).isNotNull())
-            .groupBy(bucket_of(key)).agg(F.count(F.lit(1)).alias("_rows"))
-            .where(F.col("_rows") > limit)
-            .select("_bucket", F.ceil(F.col("_rows") / limit).cast("int").alias("_parts")))
+    counts = (keys.where(F.col(key).isNotNull())
+              .groupBy(bucket_of(key)).agg(F.count(F.lit(1)).alias("_rows")))
+    # the total is summed over the buckets, 2^18 rows at most, instead of counting the keys again
+    total = F.sum("_rows").over(Window.partitionBy())
+    limit = F.greatest(F.lit(rows_per_task), F.ceil(total * 4 / BUCKETS))
+    return (counts.withColumn("_limit", limit).where("_rows > _limit")
+            .select("_bucket", F.ceil(F.col("_rows") / F.col("_limit")).cast("int").alias("_parts")))
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, keys_from: DataFrame | None = None,

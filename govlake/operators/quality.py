@@ -145,7 +145,8 @@ _UNSTABLE = re.compile(
     r"\b(current_date|current_timestamp|curdate|now|localtimestamp|unix_timestamp|rand|randn|"
     r"random|uuid|shuffle|monotonically_increasing_id|spark_partition_id|input_file_name|"
     r"current_user|session_user|user|count|count_if|sum|avg|mean|min|max|collect_list|"
-    r"collect_set|row_number|rank|dense_rank|lag|lead)\s*\(|\bover\b|\bselect\b|"
+    r"collect_set|row_number|rank|dense_rank|lag|lead|first|first_value|last|last_value|any_value|"
+    r"percentile\w*|approx_\w+|uniform|randstr|mode|median|bool_and|bool_or|every|some|stddev\w*|var\w*)\s*\(|\bover\b|\bselect\b|"
     r"\bcurrent_(date|timestamp|user)\b", re.IGNORECASE)
 
 
@@ -191,6 +192,17 @@ def raise_on(rules: Sequence[Constraint], found: dict) -> None:
                 f"{found[f'n{i}']} row(s), e.g. {found[f'sample{i}']}")
 
 
+def counted(df: DataFrame, rules: Sequence[Constraint]) -> dict:
+    """`rows` of a frame whose rules all hold, from one scan of the rules' columns; else raise, for
+    which one offending row is fetched (actions)."""
+    found = df.agg(F.count(F.lit(1)).alias("rows"),
+                   *[F.count_if(_broken(validate_constraint(r).expr)).alias(f"n{i}")
+                     for i, r in enumerate(rules)]).first().asDict()
+    if any(found[f"n{i}"] for i in range(len(rules))):
+        enforce(df, rules)
+    return found
+
+
 def enforce(df: DataFrame, rules: Sequence[Constraint]) -> None:
     """Check now and raise, naming the rule, its expression and an offending row (action)."""
     if rules:

@@ -70,12 +70,12 @@ def assign(meta: DataFrame, assignments: DataFrame,
 def refused(assignments: DataFrame,
             vocabulary: Mapping[str, tuple[str, ...]] = TAG_VOCABULARY) -> DataFrame:
     """Assignments outside the vocabulary, each with the values it could have used."""
-    rows = [(k, ", ".join(values)) for k, values in vocabulary.items()]
-    listed = literal(assignments.sparkSession, rows, "tag_name string, allowed string")
-    pairs = vocabulary_rows(assignments.sparkSession, vocabulary)
-    return (assignments.join(F.broadcast(pairs), ["tag_name", "tag_value"], "left_anti")
-            .join(F.broadcast(listed), "tag_name", "left")
-            .select(*_COLUMN, "tag_name", "tag_value", "allowed"))
+    listed = F.create_map(*(F.lit(x) for k, values in vocabulary.items() for x in (k, ", ".join(values))))
+    allowed = F.create_map(*(F.lit(x) for k, values in vocabulary.items() for v in values
+                             for x in (f"{k}={v}", True)))
+    known = allowed[F.concat_ws("=", "tag_name", "tag_value")]
+    return (assignments.where(known.isNull())
+            .select(*_COLUMN, "tag_name", "tag_value", listed[F.col("tag_name")].alias("allowed")))
 
 
 def unset_tags(meta: DataFrame, table: str, column: str, *names: str) -> DataFrame:
@@ -139,7 +139,7 @@ def propagate(meta: DataFrame, source: str, target: str,
 def statements(meta: DataFrame) -> DataFrame:
     """One `ALTER TABLE ... SET TAGS` text per tagged column."""
     return meta.groupBy(*_COLUMN).agg(
-        tag_text(tuple(TAG_VOCABULARY), template="'%s' = '%s'").alias("t")).select(
+        tag_text(template="'%s' = '%s'").alias("t")).where("t <> ''").select(
         *_COLUMN,
         F.concat(F.lit("ALTER TABLE "), F.concat_ws(".", "table_schema", "table_name"),
                  F.lit(" ALTER COLUMN "), F.col("column_name"), F.lit(" SET TAGS ("),

@@ -99,7 +99,9 @@ def run(lake: Lake, bronze_customers: DataFrame, bronze_orders: DataFrame, princ
     b.put("silver.quarantine_orders",
           rejected.withColumn("_quarantined_at", as_time(at)),
           ["bronze.orders", "bronze.customers", "silver.customers"])
+    # the working copy holds raw card numbers: its files go with it
     lake.drop("governance.classified_orders")
+    lake.delete_folder(f"{lake.root}/governance/classified_orders")
 
     b.put("gold.revenue_by_region_month", gold.revenue(orders, people, k, at),
           ["silver.orders", "silver.customers"])

@@ -167,21 +167,24 @@ _LEVEL = (f"CASE WHEN o_orderkey % 97 = 0 THEN 'secret' ELSE "
 _PII = _pick(("name", "email", "phone", "national_id", "address", "dob", "payment_card",
               "dob_date"), "(o_orderkey // 7) % 8")
 _COLKEY = (f"{_schema('o_custkey')} AS table_schema, {_table('o_custkey')} AS table_name, "
-           "'c' || o_orderkey::VARCHAR AS column_name")
+           "CASE WHEN o_orderkey % 173 = 0 THEN 'gone' ELSE 'c' END || o_orderkey::VARCHAR AS column_name")
 
 
-def _tags(level: str, has_level: str) -> str:
+def _tags(level: str, has_level: str, moved: int = 0) -> str:
     return f"""
 SELECT {_COLKEY}, 'classification' AS tag_name, {level} AS tag_value FROM orders WHERE {has_level}
 UNION ALL
 SELECT {_COLKEY}, 'pii_type', {_PII} FROM orders WHERE o_orderkey % 7 = 0
 UNION ALL
-SELECT {_COLKEY}, 'filter_key', 'region' FROM orders WHERE o_orderkey % 31 = 0"""
+SELECT {_COLKEY}, 'filter_key', 'region' FROM orders WHERE o_orderkey % 31 = 0
+UNION ALL
+SELECT {_COLKEY}, 'cost_center', 'cc' || ((o_orderkey + {moved} * (o_orderkey % 2)) % 5)::VARCHAR
+FROM orders WHERE o_orderkey % 61 = 0"""
 
 
 _cte("fg", _tags(_LEVEL, "o_orderkey % 59 <> 0"))
 _cte("fg2", _tags(f"CASE WHEN o_orderkey % 71 = 0 THEN 'restricted' ELSE {_LEVEL} END",
-                  "o_orderkey % 59 <> 0 AND o_orderkey % 67 <> 0"))
+                  "o_orderkey % 59 <> 0 AND o_orderkey % 67 <> 0", 1))
 
 _GRANTEES = ("analyst", "data_engineer", "auditor", "account users", "analyst_eu", "contractor")
 

@@ -2,7 +2,8 @@
 
 Parquet tables have no transactions, so every write goes to a new version folder first, is
 checked there, and only then becomes the table by one change of its location. A failed check
-leaves the published version untouched. Readers of the old version keep their files; removing
+leaves the published version untouched. CHECK rules belong to the table: they are kept as rows of
+RULES and read by every write, whoever calls it. Readers of the old version keep their files; removing
 old versions is left to the platform's retention job.
 
 Every step requires an exempt principal: a masked identity would store masked values.
@@ -11,6 +12,7 @@ Every step requires an exempt principal: a masked identity would store masked va
 from __future__ import annotations
 
 import posixpath
+import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -24,6 +26,9 @@ from govlake.operators import evolve, quality
 from govlake.principal import Principal, require_exempt
 
 
+RULES = "governance.table_rules"
+
+
 class SchemaMismatch(ValueError):
     """Columns offered to a table are not the columns it has."""
 
@@ -95,6 +100,23 @@ class Lake:
         return literal(self.spark, rows, "table_schema string, table_name string, "
                        "column_name string, data_type string, comment string")
 
+    def rules(self, table: str) -> list[Constraint]:
+        """The CHECK rules bound to a table; a handful, read for each write to it."""
+        if not self.exists(RULES):
+            return []
+        kept = self.read(RULES).where(F.col("table_name") == table).orderBy("constraint_name")
+        return [Constraint(r.constraint_name, r.table_name, r.expression) for r in kept.collect()]
+
+    def _keep_rules(self, rows: DataFrame) -> None:
+        self.create_schemas(RULES.split(".")[0])
+        self._swap(RULES, self._stage(RULES, rows.coalesce(1)))
+
+    def delete_folder(self, path: str) -> None:
+        """Remove a folder that no table points to."""
+        jvm = self.spark._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
     def schemas(self) -> DataFrame:
         names = [(d.name.removeprefix(self.env),) for d in self.spark.catalog.listDatabases()
                  if d.name.startswith(self.env)]
@@ -137,6 +159,42 @@ def require_same_columns(target: DataFrame, offered: DataFrame, table: str) -> N
         raise SchemaMismatch(f"{table} and the offered rows differ in {wrong}")
 
 
+def add_constraint(lake: Lake, rule: Constraint, principal: Principal) -> None:
+    """Bind a CHECK rule to its table (action). Rows already stored must pass; from then on every
+    write has to. A second rule of one name on a table is refused."""
+    require_exempt(principal)
+    quality.validate_constraint(rule)
+    if any(r.name == rule.name for r in lake.rules(rule.table)):
+        raise ValueError(f"{rule.table} has a CHECK named {rule.name} already")
+    if lake.exists(rule.table):
+        quality.enforce(lake.read(rule.table), [rule])
+    new = quality.constraint_rows(lake.spark, [rule])
+    lake._keep_rules(lake.read(RULES).unionByName(new) if lake.exists(RULES) else new)
+
+
+def drop_constraint(lake: Lake, table: str, name: str, principal: Principal) -> None:
+    """Unbind a rule; later writes are no longer held to it (action)."""
+    require_exempt(principal)
+    if not any(r.name == name for r in lake.rules(table)):
+        raise ValueError(f"{table} has no CHECK named {name}")
+    gone = (F.col("table_name") == table) & (F.col("constraint_name") == name)
+    lake._keep_rules(lake.read(RULES).where(~gone))
+
+
+def _rules(lake: Lake, table: str, more: Sequence[Constraint]) -> list[Constraint]:
+    bound = lake.rules(table)
+    return bound + [r for r in more if r.table == table and r not in bound]
+
+
+def _discard(lake: Lake, version: str, check: Callable[[], None]) -> None:
+    """Run a check on a staged version; if it fails, the version's files go."""
+    try:
+        check()
+    except Exception:
+        lake.delete_folder(version)
+        raise
+
+
 def publish(lake: Lake, df: DataFrame, table: str, principal: Principal,
             constraints: Sequence[Constraint] = (), expectations: Sequence[Expectation] = (),
             replace: bool = False) -> RunReport:
@@ -144,7 +202,8 @@ def publish(lake: Lake, df: DataFrame, table: str, principal: Principal,
 
     A refill matches columns by name against the existing table; `replace=True` lets the
     columns change. Expectations act on the rows as they are written and are counted in the
-    same pass. CHECK rules are evaluated on the staged files, reading only their columns.
+    same pass. The table's CHECK rules, and those given, are counted on the staged files, reading
+    only their columns; an offending row is looked for only after a failure.
     """
     require_exempt(principal)
     spark = lake.spark
@@ -157,14 +216,13 @@ def publish(lake: Lake, df: DataFrame, table: str, principal: Principal,
         df, observed = quality.apply(df, expectations)
         version = lake._stage(table, df)
         metrics = dict(observed.get)
-        quality.raise_on_failed(expectations, metrics)
+        _discard(lake, version, lambda: quality.raise_on_failed(expectations, metrics))
     else:
         version = lake._stage(table, df)
     staged = spark.read.schema(df.schema).parquet(version)
-    rules = [r for r in constraints if r.table == table]
-    found = staged.agg(F.count(F.lit(1)).alias("rows"),
-                       *quality.violation_aggregates(staged, rules)).first().asDict()
-    quality.raise_on(rules, found)
+    rules = _rules(lake, table, constraints)
+    found: dict = {}
+    _discard(lake, version, lambda: found.update(quality.counted(staged, rules)))
     if replace and lake.exists(table) and list(_types(lake.read(table)).items()) != list(
             _types(df).items()):
         lake.drop(table)                # other columns need a new definition; files stay
@@ -176,7 +234,8 @@ def append(lake: Lake, rows: DataFrame, table: str, principal: Principal,
            constraints: Sequence[Constraint] = ()) -> RunReport:
     """Add rows after checking only them; a bad batch fails whole and leaves the table as it was.
 
-    Columns not offered are NULL. The files are added to the current version.
+    The batch is staged first, so what is checked is what is added. Columns not offered are NULL.
+    The files are added to the current version.
     """
     require_exempt(principal)
     target = lake.read(table)
@@ -186,13 +245,14 @@ def append(lake: Lake, rows: DataFrame, table: str, principal: Principal,
         raise SchemaMismatch(f"{table}: columns {wrong} are unknown or of another type")
     full = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None))
                          .cast(f.dataType).alias(f.name) for f in target.schema.fields])
-    quality.enforce(full, [r for r in constraints if r.table == table])
-    full.createOrReplaceTempView("_govlake_append")
+    batch = lake._stage(f"{table}_batch", full)
     try:
-        lake.spark.sql(f"INSERT INTO {_name(table, lake.env)} BY NAME SELECT * FROM _govlake_append")
+        staged = lake.spark.read.schema(full.schema).parquet(batch)
+        found = quality.counted(staged, _rules(lake, table, constraints))
+        staged.select(*target.columns).write.insertInto(_name(table, lake.env))
     finally:
-        lake.spark.catalog.dropTempView("_govlake_append")
-    return RunReport(table, "", full.count())
+        lake.delete_folder(batch)
+    return RunReport(table, "", found["rows"])
 
 
 def rewrite(lake: Lake, table: str, change: Callable[[DataFrame], DataFrame],
@@ -221,28 +281,39 @@ def add_column(lake: Lake, table: str, column: str, value: Column,
 
 def drop_column(lake: Lake, table: str, column: str, principal: Principal) -> RunReport:
     evolve.require_column(lake.read(table), column)
+    held = [r.name for r in lake.rules(table) if re.search(rf"\b{re.escape(column)}\b", r.expr)]
+    if held:
+        raise ValueError(f"{column} of {table} is read by CHECK {', '.join(held)}: drop those first")
     return rewrite(lake, table, lambda df: df.drop(column), principal)
 
 
 def migrate(lake: Lake, table: str, old: str, new: str, expression: Column,
-            principal: Principal) -> RunReport:
+            principal: Principal, derivation: Column | None = None,
+            expected: Mapping[str, object] | None = None) -> RunReport:
     """Replace `old` by the coarser `new`, proved equal, in one swap (actions).
 
-    Refuses to start when `old` is gone, so a second run changes nothing. The new column is
-    proved twice: no null-safe mismatch row by row, and the same fingerprint as an independent
-    measurement of the expression.
+    Refuses to start when `old` is gone, so a second run changes nothing. Both columns are staged
+    and read back before anything is published, and the stored one is proved twice: against
+    `derivation`, which reads the old column another way (the expression itself where none is
+    given), row by row, and by its fingerprint against one taken earlier (`expected`) or, without
+    one, of the derivation on the published rows.
     """
     require_exempt(principal)
     before = lake.read(table)
     evolve.require_column(before, old)
-    wanted = evolve.fingerprint(before, expression).first()
-    both = before.withColumn(new, expression)
-    mismatches = evolve.equivalent(both, new, expression).first().mismatches
-    got = evolve.fingerprint(both, new).first()
-    if mismatches or got != wanted:
-        raise evolve.MigrationRefused(f"{new} is not equivalent to {old}: {mismatches} mismatches, "
-                                      f"{got} against {wanted}")
-    return publish(lake, both.drop(old), table, principal, replace=True)
+    other = expression if derivation is None else derivation
+    wanted = evolve.fingerprint(before, other).first().asDict() if expected is None else dict(expected)
+    staging = lake._stage(f"{table}_migration", before.withColumn(new, expression))
+    try:
+        both = lake.spark.read.parquet(staging)
+        mismatches = evolve.equivalent(both, new, other).first().mismatches
+        got = evolve.fingerprint(both, new).first().asDict()
+        if mismatches or got != wanted:
+            raise evolve.MigrationRefused(f"{new} is not equivalent to {old}: {mismatches} mismatches, "
+                                          f"{got} against {wanted}")
+        return publish(lake, both.drop(old), table, principal, replace=True)
+    finally:
+        lake.delete_folder(staging)
 
 
 def refresh_view(lake: Lake, name: str, query: DataFrame, principal: Principal,

@@ -37,6 +37,8 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     spark.checkpoint.dir. Only where that is unset, as in tests, a local one is made."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="govlake-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 

@@ -15,7 +15,7 @@ def audit_log(events: DataFrame, needle: str) -> DataFrame:
     """`events` columns: event_time, user_identity.email, service_name, action_name,
     request_params MAP, response.status_code."""
     return (events.where(F.to_json("request_params").contains(needle))
-            .select("event_time", F.col("user_identity.email").alias("user_email"),
+            .select(*(c for c in ("event_id",) if c in events.columns), "event_time", F.col("user_identity.email").alias("user_email"),
                     "service_name", "action_name", "request_params",
                     F.col("response.status_code").alias("status_code")))
 
@@ -34,4 +34,6 @@ def from_test_events(events: DataFrame) -> DataFrame:
 
 
 def recent(log: DataFrame, n: int) -> DataFrame:
-    return log.orderBy(F.col("event_time").desc(), "user_email", "action_name").limit(n)
+    """The last `n` events; those of one time and user in a fixed order where they have an id."""
+    ties = ["user_email", "action_name", *(c for c in ("event_id",) if c in log.columns)]
+    return log.orderBy(F.col("event_time").desc(), *ties).limit(n)

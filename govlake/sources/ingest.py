@@ -14,8 +14,12 @@ RESCUED = "_rescued_data"
 
 
 def read_csv_all_string(spark: SparkSession, path: str, columns: Sequence[str],
-                        ingested_at: str | None = None) -> DataFrame:
-    """CSV with a header: every column a string, an empty field NULL.
+                        ingested_at: str | None = None, multi_line: bool = False) -> DataFrame:
+    """CSV with a header: every column a string, an empty field NULL. A quote inside a quoted field
+    is doubled, and a backslash is a character like any other.
+
+    `multi_line` reads quoted line breaks; a file is then one task, so land many files. Without it
+    files are split and each line is a record.
 
     A line that does not fit the columns keeps its good prefix and puts the whole raw line in
     `_rescued_data`. Names come from the caller and are checked against the header.
@@ -24,6 +28,7 @@ def read_csv_all_string(spark: SparkSession, path: str, columns: Sequence[str],
     return (spark.read.schema(schema)
             .option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
             .option("columnNameOfCorruptRecord", RESCUED)
+            .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
             .csv(path)
             .withColumn("_ingested_at", as_time(ingested_at)))
 
@@ -45,4 +50,5 @@ def write_csv(df: DataFrame, path: str) -> None:
     and a NULL are both read back as NULL."""
     (df.write.mode("overwrite").option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("quote", '"').option("escape", '"').option("escapeQuotes", True)
      .csv(path))

@@ -160,5 +160,5 @@ def test_bruteforce_finds_exactly_the_guessable(spark):
     ids = [f"C{i:06d}" for i in (1, 1, 5, 999, 1000)] + ["other"]
     hashes = spark.createDataFrame([(i,) for i in ids], "id string").select(
         pseudonymize(F.col("id")).alias("h"))
-    got = anonymize.bruteforce_rate(hashes, "h", fixture.customer_key_column, 1000).first()
+    got = anonymize.bruteforce_rate(hashes, "h", hashes.sparkSession.range(1000), fixture.customer_key_column).first()
     assert tuple(got) == (6, 4, 0.6667)

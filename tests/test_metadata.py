@@ -168,7 +168,20 @@ def test_metadata_diff_reports_values_not_counts(spark, meta):
                     "classification=internal, pii_type=address")]
     live = evolve.metadata_change((cols, before_tags), (cols.where("column_name <> 'email'"), swapped))
     assert rows(live, "column_name", "in_before", "in_after") == [
-        ("city", True, True), ("email", True, True)]
+        ("city", True, True), ("email", True, False)]      # its tags are left, the column is gone
+
+
+def test_any_tag_is_kept_and_orphans_are_no_columns(spark):
+    columns = spark.createDataFrame([("s", "t", "c1", "x"), ("s", "t", "c2", None)],
+                                    "table_schema string, table_name string, column_name string, comment string")
+    held = spark.createDataFrame([("s", "t", "c1", "cost_center", "42"), ("s", "t", "gone", "pii_type", "name")],
+                                 tags.TAG_SCHEMA)
+    later = spark.createDataFrame([("s", "t", "c1", "cost_center", "43"), ("s", "t", "c1", "a_tag", "z")], tags.TAG_SCHEMA)
+    assert rows(evolve.metadata_snapshot(columns, held), "column_name", "tags") == [("c1", "cost_center=42"), ("c2", "")]
+    assert rows(evolve.metadata_change((columns, held), (columns, later)), "column_name", "tags_before", "tags_after") == [
+        ("c1", "cost_center=42", "a_tag=z, cost_center=43")]
+    assert [r.stmt for r in tags.statements(later).collect()] == [
+        "ALTER TABLE s.t ALTER COLUMN c1 SET TAGS ('a_tag' = 'z', 'cost_center' = '43');"]
 
 
 def test_bulk_assignment_replaces_and_refuses(spark):

@@ -57,6 +57,59 @@ def test_masked_identity_cannot_build(lake, spark):
     assert not lake.exists("s.t")
 
 
+def test_rules_belong_to_the_table(lake, spark):
+    adult = Constraint("adult", "s.t", "year < 2010")
+    pub.publish(lake, people(spark, ("a", 1990, True), ("b", 2015, None)), "s.t", SVC)
+    with pytest.raises(quality.ConstraintViolation, match="adult"):
+        pub.add_constraint(lake, adult, SVC)                        # stored rows must pass
+    assert lake.rules("s.t") == []
+    pub.delete(lake, "s.t", F.col("year") >= 2010, SVC)
+    pub.add_constraint(lake, adult, SVC)
+    with pytest.raises(ValueError, match="already"):
+        pub.add_constraint(lake, adult, SVC)
+    late = people(spark, ("c", 2020, None))
+    for write in (lambda: pub.append(lake, late, "s.t", SVC), lambda: pub.publish(lake, late, "s.t", SVC),
+                  lambda: pub.update(lake, "s.t", "year", F.lit(2020), SVC),
+                  lambda: pub.rewrite(lake, "s.t", lambda df: df.unionByName(late), SVC)):
+        with pytest.raises(quality.ConstraintViolation, match="adult"):
+            write()
+        assert rows(lake.read("s.t"), "id") == [("a",)]
+    with pytest.raises(ValueError, match="adult"):
+        pub.drop_column(lake, "s.t", "year", SVC)
+    other = pub.Lake(spark, lake.root, lake.env)                    # another session's handle
+    assert other.rules("s.t") == [adult] and other.rules("s.u") == []
+    pub.drop_constraint(lake, "s.t", "adult", SVC)
+    assert pub.append(lake, late, "s.t", SVC).rows == 1
+    with pytest.raises(quality.ConstraintViolation):
+        pub.add_constraint(lake, adult, SVC)
+    with pytest.raises(ValueError, match="no CHECK"):
+        pub.drop_constraint(lake, "s.t", "adult", SVC)
+
+
+def test_migration_is_proved_on_what_is_stored(lake, spark):
+    pub.publish(lake, people(spark, ("a", 1990, True), ("b", None, None)), "s.t", SVC)
+    wrong = F.floor(F.col("year") / 10).cast("int")
+    with pytest.raises(evolve.MigrationRefused):
+        pub.migrate(lake, "s.t", "year", "decade", wrong, SVC, derivation=(wrong + 1))
+    with pytest.raises(evolve.MigrationRefused):
+        pub.migrate(lake, "s.t", "year", "decade", wrong, SVC, expected={"rows_total": 3})
+    assert lake.read("s.t").columns == ["id", "year", "flag"]
+    text = F.left(F.col("year").cast("string"), F.lit(3)).cast("int")
+    pub.migrate(lake, "s.t", "year", "decade", wrong, SVC, derivation=text)
+    assert rows(lake.read("s.t"), "id", "decade") == [("a", 199), ("b", None)]
+
+
+def test_csv_keeps_quotes_commas_backslashes_and_line_breaks(spark, tmp_path):
+    hard = [("1", 'say "hi", ok'), ("2", "ends in \\"), ("3", "two\nlines"), ("4", '"'), ("5", " , "), ("6", None)]
+    df = spark.createDataFrame(hard, "id string, v string")
+    ingest.write_csv(df, str(tmp_path / "out"))
+    back = ingest.read_csv_all_string(spark, str(tmp_path / "out"), ["id", "v"], multi_line=True)
+    assert rows(back, "id", "v", "_rescued_data") == sorted(((i, v, None) for i, v in hard), key=repr)
+    (tmp_path / "in.csv").write_text('id,v\n1,"say ""hi"", ok"\n2,b,c\n')
+    got = ingest.read_csv_all_string(spark, str(tmp_path / "in.csv"), ["id", "v"])
+    assert rows(got, "id", "v", "_rescued_data") == [("1", 'say "hi", ok', None), ("2", "b", "2,b,c")]
+
+
 def test_failed_check_leaves_the_published_version(lake, spark):
     rule = [Constraint("plausible", "s.t", "year > 1900")]
     pub.publish(lake, people(spark, ("a", 1990, True), ("n", None, True)), "s.t", SVC, rule)
