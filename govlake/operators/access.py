@@ -6,7 +6,7 @@ object_key (`catalog[.schema[.table]]`), inherited_from (`'NONE'` for a direct g
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from govlake.design import ALL_USERS, CATALOG, OWNERS
 from govlake.functions.rows import literal
 from govlake.operators.evolve import snapshot_diff
+from govlake.operators.joins import lookup
 from govlake.principal import AccessDenied, Principal
 
 GRANT_SCHEMA = ("grantee string, privilege_type string, object_type string, "
@@ -82,18 +83,33 @@ def _holds(privilege: str):
 
 def effective(tables: DataFrame, privileges: DataFrame, principal: Principal,
               catalog_owner: str = OWNERS) -> DataFrame:
-    """Per table: can the principal read it, see its metadata, and which level is missing?
+    """Per table: can the principal read it, see its metadata, and which level is missing?"""
+    return effective_for(tables, privileges, [principal], catalog_owner).drop("who")
+
+
+def effective_for(tables: DataFrame, privileges: DataFrame, principals: Sequence[Principal],
+                  catalog_owner: str = OWNERS) -> DataFrame:
+    """`effective` for several principals in one plan, with `who` in front.
 
     Traversal needs USE_CATALOG and USE_SCHEMA (held there or above), then SELECT at table,
     schema or catalog. BROWSE reveals metadata only. The owner of a table or of the catalog
-    needs nothing. Grants are folded to one row per object first, so every join is to a unique
-    key.
+    needs nothing. Grants meet the principals' group memberships and are folded to one row per
+    principal and object. What is held on catalogs and schemas is worked out per distinct schema
+    and looked up, so objects are never dealt by their few catalog or schema names.
     """
-    mine = privileges.where(F.col("grantee").isin(sorted(principal.grantees)))
+    members = [(p.name, g) for p in principals for g in sorted(p.grantees)]
+    groups = {}
+    for who, group in members:
+        groups.setdefault(group, []).append(who)
+    belongs = F.create_map(*(F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x))
+                             for pair in groups.items() for x in pair)) if groups else None
+    # the principals a grant or an ownership reaches: a lookup in a short list, no join
+    reached = (lambda c: belongs[F.col(c)]) if groups else (lambda c: F.lit(None).cast("array<string>"))
+    mine = privileges.withColumn("who", F.explode(reached("grantee")))
 
     def at(level: str, prefix: str) -> DataFrame:
         return (mine.where(F.col("object_type") == level)
-                .groupBy(F.col("object_key").alias(f"{prefix}_key"))
+                .groupBy(F.concat_ws("|", "who", "object_key").alias(f"{prefix}_key"))
                 .agg(_holds("USE_CATALOG").alias(f"{prefix}_use_catalog"),
                      _holds("USE_SCHEMA").alias(f"{prefix}_use_schema"),
                      _holds("SELECT").alias(f"{prefix}_select"),
@@ -106,16 +122,22 @@ def effective(tables: DataFrame, privileges: DataFrame, principal: Principal,
             out = out | flag
         return out
 
-    keyed = tables.select(
-        "table_catalog", "table_schema", "table_name", "table_owner",
-        F.col("table_catalog").alias("c_key"),
-        F.concat_ws(".", "table_catalog", "table_schema").alias("s_key"),
-        F.concat_ws(".", "table_catalog", "table_schema", "table_name").alias("t_key"))
-    joined = (keyed.join(at("CATALOG", "c"), "c_key", "left")
-              .join(at("SCHEMA", "s"), "s_key", "left")
-              .join(at("TABLE", "t"), "t_key", "left"))
-    owner = (F.col("table_owner").isin(sorted(principal.grantees))
-             | F.lit(principal.holds(catalog_owner)))
+    place = F.concat_ws(".", "table_catalog", "table_schema")
+    names = F.array(*(F.lit(p.name) for p in principals))
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return (df.withColumn("who", F.explode(names))
+                .withColumn("s_key", F.concat_ws("|", "who", place)))
+
+    schemas = (keyed(tables.select("table_catalog", "table_schema").distinct())
+               .select("s_key", F.concat_ws("|", "who", "table_catalog").alias("c_key"))
+               .join(at("CATALOG", "c"), "c_key", "left").join(at("SCHEMA", "s"), "s_key", "left")
+               .drop("c_key"))
+    objects = keyed(tables.select("table_catalog", "table_schema", "table_name", "table_owner")).withColumn(
+        "t_key", F.concat_ws("|", "who", F.concat_ws(".", place, "table_name")))
+    joined = lookup(objects, schemas, "s_key").join(at("TABLE", "t"), "t_key", "left")
+    rulers = [p.name for p in principals if p.holds(catalog_owner)]
+    owner = F.coalesce(F.array_contains(reached("table_owner"), F.col("who")), F.lit(False)) | F.col("who").isin(rulers)
     use_catalog = held("c_use_catalog")
     use_schema = held("s_use_schema", "c_use_schema")
     select = held("t_select", "s_select", "c_select")
@@ -124,22 +146,28 @@ def effective(tables: DataFrame, privileges: DataFrame, principal: Principal,
                .when(~select, "SELECT"))
     sees = owner | held("c_browse", "s_browse", "t_browse") | (
         use_catalog & (use_schema | held("t_select")))
-    return joined.select("table_catalog", "table_schema", "table_name",
+    return joined.select("who", "table_catalog", "table_schema", "table_name",
                          missing.isNull().alias("can_read"), sees.alias("can_see"),
                          missing.alias("missing_level"))
 
 
 def visible_schemas(tables: DataFrame, privileges: DataFrame, principal: Principal) -> DataFrame:
     """Schemas whose objects the principal can see, with how many it can read."""
-    seen = effective(tables, privileges, principal).where("can_see")
-    return seen.groupBy("table_schema").agg(F.count(F.lit(1)).alias("objects_visible"),
-                                            F.count_if("can_read").alias("objects_readable"))
+    return visible_schemas_for(tables, privileges, [principal]).drop("who")
+
+
+def visible_schemas_for(tables: DataFrame, privileges: DataFrame, principals: Sequence[Principal]) -> DataFrame:
+    """`visible_schemas` for several principals at once."""
+    seen = effective_for(tables, privileges, principals).where("can_see")
+    return seen.groupBy("who", "table_schema").agg(F.count(F.lit(1)).alias("objects_visible"),
+                                                   F.count_if("can_read").alias("objects_readable"))
 
 
 def visible(relation: DataFrame, tables: DataFrame, privileges: DataFrame,
             principal: Principal) -> DataFrame:
-    """A metadata relation as the principal sees it: rows of objects it may not see are absent."""
-    keys = ["table_schema", "table_name"]
+    """A metadata relation as the principal sees it: rows of objects it may not see are absent.
+    Where the relation names its catalog, an object of another catalog is another object."""
+    keys = [c for c in ("table_catalog", "table_schema", "table_name") if c in relation.columns]
     seen = effective(tables, privileges, principal).where("can_see").select(*keys)
     return relation.join(seen, keys, "left_semi")
 

@@ -69,6 +69,12 @@ class Layers:
         """Orders passing their own rules, for aggregates that join silver customers anyway."""
         return silver.row_valid_orders(self.bronze_orders(), AS_OF, PINNED)
 
+    def order_outcomes(self) -> DataFrame:
+        """Orders per reason as the split itself labels them, NULL for the accepted ones."""
+        labelled = silver.classify_orders(self.bronze_orders(), self.bronze_customers(), AS_OF,
+                                          fixture.order_customer_ids(self.spark, self.sf))
+        return labelled.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
     def order_counts(self) -> DataFrame:
         return silver.order_counts(self.bronze_orders(), self.bronze_customers(), AS_OF)
 
@@ -169,8 +175,7 @@ def _reconciliation(at: Layers) -> DataFrame:
     labelled = silver.classify_customers(at.bronze_customers()).groupBy("reject_reason").agg(
         F.count(F.lit(1)).alias("n_rows"))
     return (quality.reconcile_outcomes("customers", at.bronze_customers(), labelled)
-            .unionByName(quality.reconcile_outcomes("orders", at.bronze_orders(),
-                                                    at.order_counts())))
+            .unionByName(quality.reconcile_outcomes("orders", at.bronze_orders(), at.order_outcomes())))
 
 
 @register("reconciliation", """
@@ -742,48 +747,75 @@ def _constraint_inventory(spark, sf):
         "table_name", "constraint_name", "status", "violations")
 
 
-# one unacceptable order per rule, and the batch it would arrive in
-_BAD_ORDERS = (
-    ("amount_non_negative", "TEST-NEG", "2024-06-01", "-1.00", "EUR", "completed"),
-    ("status_known", "TEST-STATUS", "2024-06-01", "10.00", "EUR", "shipped"),
-    ("currency_known", "TEST-CCY", "2024-06-01", "10.00", "GBP", "completed"),
-    ("order_date_plausible", "TEST-DATE", "1985-01-01", "10.00", "EUR", "completed"),
-)
+# per constrained table a row that every rule accepts, and per rule a value it has to refuse
+_GOOD_ROWS = {
+    "silver.customers": {"email": "a@x.example", "region": "europe"},
+    "silver.orders": {"amount": "10.00", "status": "completed", "currency": "EUR", "order_date": "2024-06-01"},
+    "gold.customer_segment_profile": {"customers": "50", "consent_rate": "0.5"},
+    "gold.revenue_by_region_month": {"customers_active": "50", "revenue": "10.00"},
+    "gold.customer_profile_anonymized": {"people_in_group": "50"},
+}
+_BAD_VALUES = {
+    ("silver.customers", "email_present"): {"email": ""},
+    ("silver.customers", "region_known"): {"region": "atlantis"},
+    ("silver.orders", "amount_non_negative"): {"amount": "-1.00"},
+    ("silver.orders", "status_known"): {"status": "shipped"},
+    ("silver.orders", "currency_known"): {"currency": "GBP"},
+    ("silver.orders", "order_date_plausible"): {"order_date": "1985-01-01"},
+    ("gold.customer_segment_profile", "k_anonymity_min_group"): {"customers": "3"},
+    ("gold.customer_segment_profile", "consent_rate_is_a_rate"): {"consent_rate": "1.5"},
+    ("gold.revenue_by_region_month", "k_anonymity_min_customers"): {"customers_active": "3"},
+    ("gold.revenue_by_region_month", "revenue_non_negative"): {"revenue": "-1.00"},
+    ("gold.customer_profile_anonymized", "k_anonymity_min_group"): {"people_in_group": "3"},
+}
 
 
-def _bad_order(spark: SparkSession, row: tuple) -> DataFrame:
-    return literal(spark, [row[1:]], "order_id string, order_date string, amount string, "
-                                 "currency string, status string").select(
-        "order_id", F.col("order_date").cast("date").alias("order_date"),
-        F.col("amount").cast("decimal(12,2)").alias("amount"), "currency", "status")
+def _constrained(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Every table that has CHECK rules, with the columns they read."""
+    at = Layers(spark, sf)
+    people, valid = at.customers(), at.valid_orders()
+    made = {"silver.customers": people, "silver.orders": at.orders(),
+            "gold.customer_segment_profile": gold.segments(people, AS_OF, K, PINNED),
+            "gold.revenue_by_region_month": gold.revenue(valid, people, K, PINNED),
+            "gold.customer_profile_anonymized": anonymize.publish_profile(people)}
+    return {t: df.select(*_GOOD_ROWS[t]) for t, df in made.items()}
+
+
+def _bad_rows(like: DataFrame, table: str) -> DataFrame:
+    """One row for each rule of the table that breaks this rule alone."""
+    names = list(_GOOD_ROWS[table])
+    texts = [tuple((_GOOD_ROWS[table] | bad)[n] for n in names) for (t, _), bad in _BAD_VALUES.items() if t == table]
+    return literal(like.sparkSession, texts, ", ".join(f"{n} string" for n in names)).select(
+        *(F.col(n).cast(like.schema[n].dataType).alias(n) for n in names))
+
+
+_REJECTION_COUNTS = {
+    "silver.customers": "FROM sc", "silver.orders": "FROM so",
+    "gold.customer_segment_profile": f"FROM (SELECT 1 FROM sc GROUP BY region, segment HAVING count(*) >= {K})",
+    "gold.revenue_by_region_month": f"FROM rev WHERE customers_active >= {K}",
+    "gold.customer_profile_anonymized": "FROM anon",
+}
 
 
-@register("constraint_rejections", """
-SELECT constraint_name, (SELECT count(*) FROM so) AS rows_before, 0::BIGINT AS violations_before,
-       1::BIGINT AS violations_in_batch, true AS rejected
-FROM (VALUES ('amount_non_negative'), ('status_known'), ('currency_known'),
-             ('order_date_plausible')) r(constraint_name)""", "so")
+@register("constraint_rejections", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{name}' AS constraint_name, (SELECT count(*) {_REJECTION_COUNTS[t]}) AS rows_before, "
+    "0::BIGINT AS violations_before, 1::BIGINT AS violations_in_batch, true AS rejected"
+    for t, name in _BAD_VALUES), "sc", "so", "rev", "anon")
 def _rejections(spark, sf):
-    """Each rule against the whole table plus one bad row: which rule stops it?"""
-    orders = Layers(spark, sf).orders().select("order_id", "order_date", "amount", "currency",
-                                               "status")
-    bad = None
-    for row in _BAD_ORDERS:
-        one = _bad_order(spark, row).withColumn("_for", F.lit(row[0]))
-        bad = one if bad is None else bad.unionByName(one)
-    batch = orders.withColumn("_for", F.lit("")).unionByName(bad)
-    stored = F.col("_for") == ""
-    counts = batch.agg(
-        F.count_if(stored).alias("rows_before"),
-        *[agg for rule in _rules("silver.orders") for agg in (
-            F.count_if(stored & ~F.expr(rule.expr)).alias(f"{rule.name}_before"),
-            F.count_if(~F.expr(rule.expr)).alias(f"{rule.name}_batch"))])
-    entries = [F.struct(F.lit(r.name).alias("constraint_name"), F.col("rows_before"),
-                        F.col(f"{r.name}_before").alias("violations_before"),
-                        F.col(f"{r.name}_batch").alias("violations_in_batch"),
-                        (F.col(f"{r.name}_batch") > 0).alias("rejected"))
-               for r in _rules("silver.orders")]
-    return counts.select(F.inline(F.array(*entries)))
+    """Each of the eleven rules against its stored table, and against that table with one bad row for
+    each rule added: which rule stops the batch?"""
+    out = None
+    for table, stored in _constrained(spark, sf).items():
+        rules = _rules(table)
+        before = quality.check(stored, rules).select("name", F.col("violations").alias("violations_before"))
+        batch = quality.check(stored.unionByName(_bad_rows(stored, table)), rules).select(
+            "name", F.col("violations").alias("violations_in_batch"))
+        rows = stored.agg(F.count(F.lit(1)).alias("n")).scalar()
+        found = before.join(batch, "name").select(
+            F.lit(table).alias("table_name"), F.col("name").alias("constraint_name"), rows.alias("rows_before"),
+            "violations_before", "violations_in_batch", (F.col("violations_in_batch") > 0).alias("rejected"))
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 @register("constraint_disable_test", f"""
@@ -953,12 +985,8 @@ SELECT '{who}' AS who, table_schema, count(*) AS objects_visible,
        count(*) FILTER (can_read) AS objects_readable
 FROM ({_access_sql(who)}) WHERE can_see GROUP BY table_schema""" for who in _VIEWERS), "ft", "fp")
 def _visible_schemas(spark, sf):
-    objects, grants, out = fleet.tables(spark, sf), fleet.privileges(spark, sf), None
-    for who in _VIEWERS:
-        seen = access.visible_schemas(objects, grants, persona(who)).select(
-            F.lit(who).alias("who"), "*")
-        out = seen if out is None else out.unionByName(seen)
-    return out
+    return access.visible_schemas_for(fleet.tables(spark, sf), fleet.privileges(spark, sf),
+                                      [persona(who) for who in _VIEWERS])
 
 
 @register("visible_metadata", f"""
