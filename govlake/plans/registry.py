@@ -1281,3 +1281,58 @@ def _state_suite(spark, sf):
         "customer_segment_profile": gold.segments(people, AS_OF, K, PINNED),
         "customer_profile_anonymized": anonymize.publish_profile(people)}
     return suite.run(suite.designed_meta(spark), _reconciliation(at), published, persona("owner"))
+
+
+# ---- the suite over a whole catalog -----------------------------------------------------------
+
+_TAGGED = "table_schema || '.' || table_name || '.' || column_name || ': ' || tag_name || '=' || tag_value"
+_KEYED = "table_schema || '.' || table_name || '.' || column_name"
+_LEFT_OUT = {n: ", ".join(f"'{v}'" for v in design.TAG_VOCABULARY[n]) for n in ("classification", "pii_type")}
+_OFFENDERS = f"""
+SELECT 'A4' AS control, table_schema || '.' || table_name AS offender FROM ft
+WHERE table_owner <> 'data_owners' AND table_name NOT IN ({', '.join(f"'{t}'" for t in design.OWNER_EXCEPTIONS)})
+UNION ALL
+SELECT 'B1', {_KEYED} FROM fc ANTI JOIN (SELECT * FROM fg WHERE tag_name = 'classification')
+  USING (table_schema, table_name, column_name)
+UNION ALL
+SELECT 'B2', {_KEYED} FROM fc WHERE coalesce(comment, '') = ''
+UNION ALL
+SELECT 'B3', {_TAGGED} FROM fg WHERE tag_name = 'classification' AND tag_value NOT IN ({_LEFT_OUT['classification']})
+UNION ALL
+SELECT 'B4', {_TAGGED} FROM fg WHERE tag_name = 'pii_type' AND tag_value NOT IN ({_LEFT_OUT['pii_type']})
+UNION ALL
+SELECT 'B5', {_TAGGED} FROM fg
+WHERE (tag_name, tag_value) IN (VALUES {', '.join(str(tuple(r)) for r in design.RETIRED_TAG_VALUES)})
+UNION ALL
+SELECT 'B6', {_TAGGED} FROM fg ANTI JOIN fc USING (table_schema, table_name, column_name)
+UNION ALL
+(SELECT 'C1', "grant" FROM ({_direct('fp')} EXCEPT {_direct('fp2')}))
+UNION ALL
+(SELECT 'C2', "grant" FROM ({_direct('fp2')} EXCEPT {_direct('fp')}))
+UNION ALL
+SELECT DISTINCT 'C3', grantee || ' | ' || privilege_type || ' | ' || object_type || ' | ' || object_key FROM fp2
+WHERE object_type = 'CATALOG' AND grantee = 'account users' AND privilege_type = 'BROWSE'"""
+_SUITE_CTES = ("ft", "fc", "fg", "fp", "fp2")
+
+
+def _fleet_offenders(spark, sf) -> DataFrame:
+    """A company-wide catalog after a maintenance run, held against the grants it had before."""
+    meta = suite.Meta(
+        schemata=fleet.tables(spark, sf).select(F.col("table_schema").alias("schema_name")).distinct(),
+        tables=fleet.tables(spark, sf), columns=fleet.columns(spark, sf),
+        column_tags=fleet.column_tags(spark, sf), privileges=fleet.privileges(spark, sf, later=True),
+        routines=suite.designed_meta(spark).routines, constraints=suite.designed_meta(spark).constraints)
+    return suite.offenders(meta, fleet.privileges(spark, sf))
+
+
+@register("suite_offenders", _OFFENDERS, *_SUITE_CTES)
+def _suite_offenders(spark, sf):
+    return _fleet_offenders(spark, sf)
+
+
+@register("state_suite_fleet", f"""
+SELECT control, title, count(offender) AS offenders, CASE WHEN count(offender) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+FROM (VALUES {', '.join(str(i) for i in suite.OFFENCES.items())}) c(control, title)
+LEFT JOIN ({_OFFENDERS}) USING (control) GROUP BY control, title""", *_SUITE_CTES)
+def _suite_fleet(spark, sf):
+    return suite.verdicts(_fleet_offenders(spark, sf))

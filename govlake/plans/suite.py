@@ -233,3 +233,68 @@ def discover(meta: Meta) -> dict[str, DataFrame]:
         "routines": meta.routines,
         "constraints": meta.constraints,
     }
+
+
+# what each control of a whole catalog is about, in the order of the report
+OFFENCES = {
+    "A4": "Objects owned outside the owner group", "B1": "Columns without a classification",
+    "B2": "Columns without a description", "B3": "Classification values stay in the vocabulary",
+    "B4": "PII type values stay in the vocabulary", "B5": "Retired tag values are unused",
+    "B6": "Tags belong to columns that exist", "C1": "No designed grant is missing",
+    "C2": "No grant exists outside the design", "C3": "No BROWSE for everyone on the catalog",
+    "C4": "Governance functions are those designed",
+}
+
+
+def offenders(meta: Meta, expected_grants: DataFrame) -> DataFrame:
+    """control, offender: one row for each thing that makes a control fail, none where it passes.
+
+    Nothing is counted, cut or gathered; tags are looked up in the vocabulary, columns met once."""
+    column = F.concat_ws(".", "table_schema", "table_name", "column_name")
+    tagged = F.concat(column, F.lit(": "), F.concat_ws("=", "tag_name", "tag_value"))
+    tag, value, used = F.col("tag_name"), F.col("tag_value"), meta.column_tags
+
+    def rows(id_: str, df: DataFrame, text: Column | str) -> DataFrame:
+        return df.select(F.lit(id_).alias("control"), (F.col(text) if isinstance(text, str) else text).alias("offender"))
+
+    def outside(id_: str, name: str) -> DataFrame:
+        return rows(id_, used.where((tag == name) & ~value.isin(*TAG_VOCABULARY[name])), tagged)
+
+    retired = F.lit(False)
+    for name, old in design.RETIRED_TAG_VALUES:
+        retired = retired | ((tag == name) & (value == old))
+    foreign = ~F.col("table_owner").eqNullSafe(OWNERS) & ~F.col("table_name").isin(*design.OWNER_EXCEPTIONS)
+    keys = ["table_schema", "table_name", "column_name"]
+    grants = access.matrix_diff(access.direct_grants(meta.privileges), access.direct_grants(expected_grants))
+    everyone = access.forbidden(meta.privileges).select(access_text().alias("offender")).distinct()
+    wanted = literal(meta.routines.sparkSession, [(r,) for r in ROUTINES], "routine_name string")
+    out = [
+        rows("A4", meta.tables.where(foreign), F.concat_ws(".", "table_schema", "table_name")),
+        rows("B1", coverage.untagged(meta.columns, used), column),
+        rows("B2", coverage.undescribed(meta.columns), column),
+        outside("B3", "classification"), outside("B4", "pii_type"),
+        rows("B5", used.where(retired), tagged),
+        rows("B6", used.join(meta.columns.select(*keys).distinct(), keys, "left_anti"), tagged),
+        rows("C1", grants.where(F.col("side") == "missing"), "grant"),
+        rows("C2", grants.where(F.col("side") == "extra"), "grant"),
+        rows("C3", everyone, "offender"),
+        rows("C4", meta.routines.join(wanted, "routine_name", "left_anti"), "routine_name"),
+    ]
+    found = out[0]
+    for more in out[1:]:
+        found = found.unionByName(more)
+    return found
+
+
+def access_text() -> Column:
+    return F.concat_ws(" | ", "grantee", "privilege_type", "object_type", "object_key")
+
+
+def verdicts(found: DataFrame) -> DataFrame:
+    """One row per control of OFFENCES: how many offenders it has, PASS or FAIL."""
+    listed = literal(found.sparkSession, list(OFFENCES.items()), "id string, title string").select(
+        F.col("id").alias("control"), "title", F.lit(0).cast("bigint").alias("n"))
+    counted = found.groupBy("control").agg(F.count(F.lit(1)).alias("n"))
+    return (listed.unionByName(counted.select("control", F.lit(None).cast("string").alias("title"), "n"))
+            .groupBy("control").agg(F.max("title").alias("title"), F.sum("n").alias("offenders"))
+            .withColumn("status", F.when(F.col("offenders") == 0, "PASS").otherwise("FAIL")))

@@ -1,12 +1,14 @@
 """Publishing, changing and building real tables; landing files; the suite over a build."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from govlake import design
 from govlake.design import CONSTRAINTS, OWNERS, Constraint, Expectation
-from govlake.operators import evolve, lineage, quality
+from govlake.operators import access, evolve, lineage, quality
 from govlake.plans import build, suite
 from govlake.plans import publish as pub
 from govlake.plans.registry import Layers, persona
@@ -367,3 +369,22 @@ def test_discovery_lists_every_relation(spark):
     found = suite.discover(suite.designed_meta(spark))
     assert found["grants"].count() == 19 and found["coverage"].count() == 10
     assert found["constraints"].count() == len(CONSTRAINTS)
+
+
+def test_fail_fix_pass(spark):
+    """The order of a repair: the suite fails, its offenders are mended, the suite passes."""
+    meta = suite.designed_meta(spark)
+    expected = meta.privileges
+    assert not suite.verdicts(suite.offenders(meta, expected)).where("status = 'FAIL'").count()
+    broken = replace(
+        meta, column_tags=meta.column_tags.where("column_name <> 'city'").unionByName(
+            spark.createDataFrame([("silver", "orders", "amount", "pii_type", "made_up"), ("silver", "x", "y", "t", "v")],
+                                  meta.column_tags.schema)),
+        privileges=access.revoke(meta.privileges, [("auditor", "SELECT", "TABLE", "x")]).limit(18))
+    found = suite.offenders(broken, expected)
+    status = {r.control: (r.offenders, r.status) for r in suite.verdicts(found).collect()}
+    assert status["B1"][1] == status["B4"][1] == status["B6"][1] == status["C1"][1] == "FAIL" and status["A4"] == (0, "PASS")
+    assert "silver.orders.amount: pii_type=made_up" in {r.offender for r in found.collect()}
+    mended = replace(broken, column_tags=meta.column_tags, privileges=access.grant(
+        broken.privileges, design.GRANTS).distinct())
+    assert not suite.verdicts(suite.offenders(mended, expected)).where("status = 'FAIL'").count()
