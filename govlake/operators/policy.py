@@ -17,8 +17,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govlake.design import (CATALOG, GRANTS, OWNERS, POLICIES, TAG_VOCABULARY, VIEWS, ColumnMask,
-                            RowFilter)
+from govlake.design import (ALL_USERS, CATALOG, GRANTS, OWNERS, PERSONAS, POLICIES, TAG_VOCABULARY, VIEWS,
+                            ColumnMask, RowFilter)
 from govlake.functions.masks import FUNCTIONS
 from govlake.functions.rows import literal
 from govlake.operators import access
@@ -224,7 +224,7 @@ def matched(tags: DataFrame, policies: Sequence[Policy] = POLICIES) -> DataFrame
     return (tags.join(F.broadcast(policy_rows(tags.sparkSession, policies)),
                       ["tag_name", "tag_value"])
             .select("table_schema", "table_name", "column_name", "policy_name", "kind",
-                    "function_name", "takes", "granted_to", "exempt").distinct())
+                    "function_name", "takes", "gives", "granted_to", "exempt").distinct())
 
 
 def usage(tags: DataFrame, policies: Sequence[Policy] = POLICIES,
@@ -245,24 +245,41 @@ def usage(tags: DataFrame, policies: Sequence[Policy] = POLICIES,
          .when(F.col("policy_name").isNull(), "function unused").otherwise("ok").alias("status"))
 
 
-def lint(columns: DataFrame, tags: DataFrame, policies: Sequence[Policy] = POLICIES) -> DataFrame:
+def overlapping(a: Policy, b: Policy, members: Iterable[Iterable[str]] = PERSONAS.values()) -> bool:
+    """Can one reader get both? Never where one acts on just those whom the other exempts; for sure
+    where they name one group or everyone; else where a known member list holds both groups."""
+    if a.to == b.exempt or b.to == a.exempt:
+        return False
+    return a.to == b.to or ALL_USERS in (a.to, b.to) or any({a.to, b.to} <= set(m) for m in members)
+
+
+def lint(columns: DataFrame, tags: DataFrame, policies: Sequence[Policy] = POLICIES,
+         regional: Column | None = None) -> DataFrame:
     """What would deny or surprise a reader, found without reading as one.
 
-    `conflict`: several masks on a column for overlapping readers. `type mismatch`: a mask of
-    another type. `unfiltered region`: a region column no row filter reaches.
+    `conflict`: several masks on a column for overlapping readers. `type mismatch`: a mask that
+    takes or gives another type. `function missing`: a mask whose function does not exist.
+    `unfiltered region`: a region column no row filter reaches; `regional` says which columns
+    those are, by default the ones named region.
     """
     key = ["table_schema", "table_name", "column_name"]
-    masks = matched(tags, policies).where(F.col("kind") == "COLUMN_MASK")
-    folded = masks.groupBy(*key).agg(
-        F.count_distinct("policy_name").alias("n_masks"),
-        F.min("takes").alias("takes_min"), F.max("takes").alias("takes_max"))
+    every = matched(tags, policies)
+    folded = every.where(F.col("kind") == "COLUMN_MASK").groupBy(*key).agg(
+        F.collect_set(F.struct("policy_name", "takes", "gives")).alias("masks"))
     base = F.upper(F.split_part(F.col("data_type"), F.lit("("), F.lit(1)))
-    wrong = (base != F.col("takes_min")) | (base != F.col("takes_max"))
+    names = F.transform("masks", lambda m: m["policy_name"])
+    conflict = F.lit(False)
+    masks = [p for p in policies if isinstance(p, ColumnMask)]
+    for i, one in enumerate(masks):
+        for other in masks[i + 1:]:
+            if overlapping(one, other):
+                conflict = conflict | (F.array_contains(names, one.name) & F.array_contains(names, other.name))
+    wrong = F.exists("masks", lambda m: (m["takes"] != base) | (m["gives"] != base))
     on_masked = columns.join(folded, key).select(*key, F.explode(F.array_compact(F.array(
-        F.when(F.col("n_masks") > 1, "conflict"),
-        F.when(wrong, "type mismatch")))).alias("issue"))
-    filtered = (tags.where(F.col("tag_name") == "filter_key").select(*key).distinct())
-    bare = (columns.where(F.col("column_name") == "region").select(*key)
+        F.when(conflict, "conflict"), F.when(wrong, "type mismatch"),
+        F.when(F.exists("masks", lambda m: m["takes"].isNull()), "function missing")))).alias("issue"))
+    filtered = every.where(F.col("kind") == "ROW_FILTER").select(*key).distinct()
+    bare = (columns.where(F.col("column_name") == "region" if regional is None else regional).select(*key)
             .join(filtered, key, "left_anti").withColumn("issue", F.lit("unfiltered region")))
     return on_masked.unionByName(bare)
 

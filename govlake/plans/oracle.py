@@ -155,7 +155,7 @@ SELECT table_schema, 'backing_' || table_name, table_type FROM ft WHERE k % 31 =
 
 _cte("fc", f"""
 SELECT {_schema('o_custkey')} AS table_schema, {_table('o_custkey')} AS table_name,
-       'c' || o_orderkey::VARCHAR AS column_name,
+       CASE WHEN o_orderkey % 37 = 0 THEN 'region_' ELSE 'c' END || o_orderkey::VARCHAR AS column_name,
        {_pick(('STRING', 'DATE', 'DECIMAL(12,2)', 'STRING', 'BOOLEAN'), 'o_orderkey % 5')}
            AS data_type,
        CASE WHEN o_orderkey % 43 = 0 THEN NULL WHEN o_orderkey % 47 = 0 THEN ''
@@ -167,7 +167,7 @@ _LEVEL = (f"CASE WHEN o_orderkey % 97 = 0 THEN 'secret' ELSE "
 _PII = _pick(("name", "email", "phone", "national_id", "address", "dob", "payment_card",
               "dob_date"), "(o_orderkey // 7) % 8")
 _COLKEY = (f"{_schema('o_custkey')} AS table_schema, {_table('o_custkey')} AS table_name, "
-           "CASE WHEN o_orderkey % 173 = 0 THEN 'gone' ELSE 'c' END || o_orderkey::VARCHAR AS column_name")
+           "CASE WHEN o_orderkey % 173 = 0 THEN 'gone' WHEN o_orderkey % 37 = 0 THEN 'region_' ELSE 'c' END || o_orderkey::VARCHAR AS column_name")
 
 
 def _tags(level: str, has_level: str, moved: int = 0) -> str:

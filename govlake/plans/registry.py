@@ -426,22 +426,32 @@ def _function_inventory(spark, sf):
     return policy.usage(fleet.column_tags(spark, sf), POLICIES, known)
 
 
-_LINTED = (*POLICIES, design.ColumnMask("mask_contact", "mask_full",
-                                        (("pii_type", "email"), ("pii_type", "name"))))
+_LINTED = (*POLICIES,
+           design.ColumnMask("mask_contact", "mask_full", (("pii_type", "email"), ("pii_type", "name"))),
+           # names a function that is not there
+           design.ColumnMask("mask_lost", "mask_nowhere", (("cost_center", "cc1"),)))
 
 
 @register("policy_lint", f"""
 SELECT table_schema, table_name, column_name, issue FROM (
-  SELECT c.*, count(*) AS n_masks FROM fc c JOIN fg USING (table_schema, table_name, column_name)
+  SELECT table_schema, table_name, column_name, count(DISTINCT policy_name) > 1 AS conflict,
+         bool_or(policy_name <> 'mask_lost' AND data_type <> 'STRING') AS mismatch,
+         bool_or(policy_name = 'mask_lost') AS missing
+  FROM fc JOIN fg USING (table_schema, table_name, column_name)
   JOIN (SELECT policy_name, tag_name, tag_value FROM {_POLICY_SQL} WHERE kind = 'COLUMN_MASK'
-        UNION ALL VALUES ('mask_contact', 'pii_type', 'email'),
-                         ('mask_contact', 'pii_type', 'name')) m USING (tag_name, tag_value)
-  GROUP BY ALL) hit
-JOIN (VALUES ('conflict'), ('type mismatch')) i(issue)
-  ON (issue = 'conflict' AND n_masks > 1) OR (issue = 'type mismatch' AND data_type <> 'STRING')
+        UNION ALL VALUES ('mask_contact', 'pii_type', 'email'), ('mask_contact', 'pii_type', 'name'),
+                         ('mask_lost', 'cost_center', 'cc1')) m USING (tag_name, tag_value)
+  GROUP BY table_schema, table_name, column_name) found,
+  (VALUES ('conflict'), ('type mismatch'), ('function missing')) i(issue)
+WHERE (issue = 'conflict' AND conflict) OR (issue = 'type mismatch' AND mismatch) OR (issue = 'function missing' AND missing)
+UNION ALL
+SELECT table_schema, table_name, column_name, 'unfiltered region' FROM fc
+ANTI JOIN (SELECT * FROM fg WHERE tag_name = 'filter_key') USING (table_schema, table_name, column_name)
+WHERE starts_with(column_name, 'region_')
 """, "fc", "fg")
 def _policy_lint(spark, sf):
-    return policy.lint(fleet.columns(spark, sf), fleet.column_tags(spark, sf), _LINTED)
+    return policy.lint(fleet.columns(spark, sf), fleet.column_tags(spark, sf), _LINTED,
+                       F.col("column_name").startswith("region_"))
 
 
 # ---- gold and anonymization -----------------------------------------------------------------

@@ -68,7 +68,7 @@ def tables_after(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _COLUMN = (f"{schema_of('o_custkey')} AS table_schema", f"{table_of('o_custkey')} AS table_name",
-           "'c' || o_orderkey AS column_name")
+           "CASE WHEN o_orderkey % 37 = 0 THEN 'region_' ELSE 'c' END || o_orderkey AS column_name")
 
 
 def columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -166,3 +166,28 @@ def test_matched_covers_the_policy_table(spark):
     assert {r.column_name for r in email.collect()} == {"email", "user_email"}
     unused = policy.usage(tags.designed_tags(spark), POLICIES, ("mask_full", "idle")).where("status <> 'ok'")
     assert ("idle", "function unused") in {(r.function_name, r.status) for r in unused.collect()}
+
+
+def test_lint_looks_at_readers_types_and_functions(spark):
+    columns = spark.createDataFrame([("s", "t", "a", "STRING"), ("s", "t", "b", "DATE"), ("s", "t", "region", "STRING")],
+                                    "table_schema string, table_name string, column_name string, data_type string")
+    meta = spark.createDataFrame([("s", "t", "a", "pii_type", "email"), ("s", "t", "b", "pii_type", "dob")],
+                                 "table_schema string, table_name string, column_name string, tag_name string, tag_value string")
+
+    def masks(*readers, function="mask_full"):
+        return [design.ColumnMask(f"m{i}", function, (("pii_type", "email"),), to=to, exempt=exempt)
+                for i, (to, exempt) in enumerate(readers)]
+
+    def issues(policies):
+        return {(r.column_name, r.issue) for r in policy.lint(columns, meta, policies).collect()} - {("region", "unfiltered region")}
+
+    assert issues(masks(("auditor", None), ("contractor", None))) == set()
+    assert issues(masks(("auditor", None), ("account users", "auditor"))) == set()
+    assert issues(masks(("auditor", None), ("account users", None))) == {("a", "conflict")}
+    assert issues(masks(("analyst", None), ("analyst_eu", None))) == {("a", "conflict")}      # one persona is in both
+    assert issues(masks(("auditor", None), function="filter_by_region")) == {("a", "type mismatch")}
+    assert issues(masks(("auditor", None), function="nowhere")) == {("a", "function missing")}
+    filters = [design.RowFilter("f", "filter_by_region", (("pii_type", "email"),), to="auditor", args=("europe",))]
+    assert policy.lint(columns, meta, filters).collect()[0].issue == "unfiltered region"
+    tagged = meta.unionByName(spark.createDataFrame([("s", "t", "region", "pii_type", "email")], meta.schema))
+    assert policy.lint(columns, tagged, filters).count() == 0
