@@ -26,7 +26,7 @@ SHORTEST, LONGEST = 3, 4
 #: Distances at which a word that comes back counts, each as so many features.
 DISTANCES, WEIGHT = 8, 6
 #: Labelled rows to fit on, at most; chosen by a hash of doc_id.
-SAMPLE = 4000
+SAMPLE = 3000
 _REMEMBERED = 400_000
 _CHARS = 128  # of a longer word the n-grams are left out; the word itself is hashed whole
 
@@ -126,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     rows = texts.mapInPandas(run, "doc_id long, label int, buckets binary, counts binary").collect()
     rows.sort(key=lambda r: (r.doc_id, r.label, bytes(r.buckets)))
-    return train([(np.frombuffer(r.buckets, "<i4").astype(np.int64), np.frombuffer(r.counts, "<f4"), r.label)
+    return train([(np.frombuffer(r.buckets, "<i4"), np.frombuffer(r.counts, "<f4"), r.label)
                   for r in rows])
 
 
