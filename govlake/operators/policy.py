@@ -203,6 +203,26 @@ def tags_of(meta: DataFrame, table: str) -> dict[str, dict[str, str]]:
     return out
 
 
+class StoredTags(Mapping):
+    """The tags of a stored relation by table; those of one table are read when asked for."""
+
+    def __init__(self, meta: DataFrame):
+        self.meta = meta
+
+    def __getitem__(self, table: str) -> Tags:
+        found = tags_of(self.meta, table)
+        if not found:
+            raise KeyError(table)
+        return found
+
+    def __iter__(self):
+        names = F.concat_ws(".", "table_schema", "table_name").alias("name")
+        return (r.name for r in self.meta.select(names).distinct().toLocalIterator())
+
+    def __len__(self) -> int:
+        return self.meta.select("table_schema", "table_name").distinct().count()
+
+
 # ---- policies as rows: the same rules over every column of a catalog ------------------------
 
 def policy_rows(spark: SparkSession, policies: Sequence[Policy] = POLICIES) -> DataFrame:

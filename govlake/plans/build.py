@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from govlake.functions.rows import literal
 from govlake.functions.values import as_time
 from govlake.operators import anonymize, gold, lineage, policy, quality, silver, tags
 from govlake.plans import suite
-from govlake.plans.publish import Lake, RunReport, publish
+from govlake.plans.publish import COLUMN_LINEAGE, LINEAGE, RULES, TAGS, Lake, RunReport, publish
 from govlake.principal import Principal, require_exempt
 
 
@@ -36,18 +37,38 @@ class Build:
     tags: dict[str, Mapping[str, Mapping[str, str]]] = field(default_factory=dict)
     reports: dict[str, RunReport] = field(default_factory=dict)
     edges: DataFrame | None = None
+    column_edges: DataFrame | None = None
 
-    def put(self, table: str, df: DataFrame, sources: list[str]) -> DataFrame:
-        """Tag, publish with its CHECK rules, describe, record lineage; return the table."""
+    def put(self, table: str, df: DataFrame, sources: list[str],
+            renamed: Mapping[str, str] = MappingProxyType({})) -> DataFrame:
+        """Tag, publish with its CHECK rules, describe, record lineage; return the table.
+
+        A column comes from the column of its name in each source, or from the one `renamed` gives."""
         self.tags[table] = design.column_tags(table)
         fresh = not self.lake.exists(table)
         self.reports[table] = publish(self.lake, df, table, self.principal, CONSTRAINTS)
         if fresh:
             self.lake.describe(table, {c: design.DESCRIPTIONS[c] for c in design.TABLES[table]})
-        rows, _ = lineage.record(self.lake.spark, sources, table, self.at)
+        origins = {s: design.TABLES[s] for s in sources if s in design.TABLES}
+        made_from = {c: [f"{s}.{renamed.get(c, c)}" for s, has in origins.items() if renamed.get(c, c) in has]
+                     for c in df.columns}
+        rows, columns = lineage.record(self.lake.spark, sources, table, self.at, made_from)
         self.edges = rows if self.edges is None else self.edges.unionByName(rows)
+        self.column_edges = columns if self.column_edges is None else self.column_edges.unionByName(columns)
         return self.lake.read(table)
 
+    def open_books(self) -> None:
+        """Store the designed tags and CHECK rules before anything is published."""
+        held = [r for t in design.TABLES for r in self.lake.rules(t)]
+        self.lake.keep(TAGS, tags.designed_tags(self.lake.spark))
+        self.lake.keep(RULES, quality.constraint_rows(
+            self.lake.spark, [*held, *(r for r in CONSTRAINTS if r not in held)]))
+
+    def close_books(self) -> None:
+        """Add this run's lineage to the history."""
+        self.lake.keep(LINEAGE, self.edges, add=True)
+        self.lake.keep(COLUMN_LINEAGE, self.column_edges.withColumn("event_time", as_time(self.at)), add=True)
+
     def meta(self, privileges: DataFrame) -> suite.Meta:
         """The metadata of what was built, read back from the session catalog.
 
@@ -75,6 +96,12 @@ class Build:
         return policy.GovernedCatalog({t: self.lake.read(t) for t in self.tags}, dict(self.tags))
 
 
+def reopen(lake: Lake) -> policy.GovernedCatalog:
+    """The governed catalog of a lake built in any session, from the tags stored with it."""
+    return policy.GovernedCatalog({t: lake.read(t) for t in design.TABLES if lake.exists(t)},
+                                  policy.StoredTags(lake.read(TAGS)))
+
+
 def run(lake: Lake, bronze_customers: DataFrame, bronze_orders: DataFrame, principal: Principal,
         at: str, as_of: dt.date = design.AS_OF, k: int = K,
         audit_source: str | None = None) -> Build:
@@ -83,10 +110,12 @@ def run(lake: Lake, bronze_customers: DataFrame, bronze_orders: DataFrame, princ
     require_exempt(principal)
     lake.create_schemas(*design.LAYERS)
     b = Build(lake, principal, at, as_of)
+    b.open_books()
     people_raw = b.put("bronze.customers", bronze_customers, ["/landing/customers.csv"])
     orders_raw = b.put("bronze.orders", bronze_orders, ["/landing/orders.csv"])
 
-    people = b.put("silver.customers", silver.customers(people_raw, at), ["bronze.customers"])
+    people = b.put("silver.customers", silver.customers(people_raw, at), ["bronze.customers"],
+                   {"birth_year": "date_of_birth"})
     b.put("silver.quarantine_customers", silver.quarantine_customers(people_raw, at),
           ["bronze.customers"])
 
@@ -113,6 +142,7 @@ def run(lake: Lake, bronze_customers: DataFrame, bronze_orders: DataFrame, princ
     lake.spark.sql(f"DROP FUNCTION {lake.env}governance.mask_dob_date")     # retired
     if audit_source is not None:
         _audit_view(b, audit_source)
+    b.close_books()
     return b
 
 

@@ -26,7 +26,10 @@ from govlake.operators import evolve, quality
 from govlake.principal import Principal, require_exempt
 
 
-RULES = "governance.table_rules"
+# where a lake keeps its own metadata as rows, outside the layers: it outlives the session
+BOOKS = "bookkeeping"
+RULES, TAGS = f"{BOOKS}.table_rules", f"{BOOKS}.column_tags"
+LINEAGE, COLUMN_LINEAGE = f"{BOOKS}.lineage", f"{BOOKS}.column_lineage"
 
 
 class SchemaMismatch(ValueError):
@@ -107,9 +110,12 @@ class Lake:
         kept = self.read(RULES).where(F.col("table_name") == table).orderBy("constraint_name")
         return [Constraint(r.constraint_name, r.table_name, r.expression) for r in kept.collect()]
 
-    def _keep_rules(self, rows: DataFrame) -> None:
-        self.create_schemas(RULES.split(".")[0])
-        self._swap(RULES, self._stage(RULES, rows.coalesce(1)))
+    def keep(self, book: str, rows: DataFrame, add: bool = False) -> None:
+        """Store rows of metadata; with `add`, behind those stored before."""
+        self.create_schemas(BOOKS)
+        if add and self.exists(book):
+            rows = self.read(book).unionByName(rows)
+        self._swap(book, self._stage(book, rows.coalesce(1)))
 
     def delete_folder(self, path: str) -> None:
         """Remove a folder that no table points to."""
@@ -119,7 +125,7 @@ class Lake:
 
     def schemas(self) -> DataFrame:
         names = [(d.name.removeprefix(self.env),) for d in self.spark.catalog.listDatabases()
-                 if d.name.startswith(self.env)]
+                 if d.name.startswith(self.env) and d.name != f"{self.env}{BOOKS}"]
         return literal(self.spark, names, "schema_name string")
 
     def describe(self, table: str, comments: Mapping[str, str]) -> None:
@@ -169,7 +175,7 @@ def add_constraint(lake: Lake, rule: Constraint, principal: Principal) -> None:
     if lake.exists(rule.table):
         quality.enforce(lake.read(rule.table), [rule])
     new = quality.constraint_rows(lake.spark, [rule])
-    lake._keep_rules(lake.read(RULES).unionByName(new) if lake.exists(RULES) else new)
+    lake.keep(RULES, new, add=True)
 
 
 def drop_constraint(lake: Lake, table: str, name: str, principal: Principal) -> None:
@@ -178,7 +184,7 @@ def drop_constraint(lake: Lake, table: str, name: str, principal: Principal) ->
     if not any(r.name == name for r in lake.rules(table)):
         raise ValueError(f"{table} has no CHECK named {name}")
     gone = (F.col("table_name") == table) & (F.col("constraint_name") == name)
-    lake._keep_rules(lake.read(RULES).where(~gone))
+    lake.keep(RULES, lake.read(RULES).where(~gone))
 
 
 def _rules(lake: Lake, table: str, more: Sequence[Constraint]) -> list[Constraint]:

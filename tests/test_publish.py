@@ -272,6 +272,23 @@ def test_governed_reads_of_a_build(built):
         cat.read("bronze.orders", eu)
 
 
+def test_metadata_outlives_the_session(built):
+    lake, _, b = built
+    other = pub.Lake(lake.spark, lake.root, lake.env)               # nothing handed over but the place
+    cat, eu = build.reopen(other), persona("analyst_eu")
+    assert cat.read("silver.customers", eu).count() == 294
+    assert cat.read("silver.orders", eu).first().card_number.startswith("****")
+    assert dict(cat.tags["silver.customers"]) == {c: dict(t) for c, t in b.tags["silver.customers"].items() if t}
+    with pytest.raises(quality.ConstraintViolation, match="amount_non_negative"):
+        pub.update(other, "silver.orders", "amount", F.lit(-9).cast("decimal(12,2)"), SVC)
+    with pytest.raises(quality.ConstraintViolation, match="status_known"):
+        pub.append(other, other.read("silver.orders").limit(1).withColumn("status", F.lit("shipped")), "silver.orders", SVC)
+    assert other.read("silver.orders").count() == 14310
+    assert rows(lineage.edges(other.read(pub.LINEAGE), "gold")) == rows(lineage.edges(b.edges, "gold"))
+    assert ("bronze.customers", "date_of_birth", "silver.customers", "birth_year") in rows(
+        lineage.trace(other.read(pub.COLUMN_LINEAGE).drop("event_time")))
+
+
 def test_second_run_refills_in_place(built):
     lake, texts, _ = built
     again = build.run(lake, texts["customers"], texts["orders"], SVC, "2026-09-22 01:00:00")
