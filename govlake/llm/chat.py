@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from .shared import partitions, text_of
 
 OPEN, CLOSE, PLACE = "###", "</turn>", "<|"
-_TURN = re.compile(r"### ((?:[^\\:]|\\.)*): ((?:[^\\]|\\.)*?) </turn>\n", re.S)
+_HEAD = re.compile(r"### ((?:[^\\:]|\\.)*): ", re.S)
+#: Not part of any escaped text: there a backslash, not a blank, stands in front of the mark.
+_TAIL = f" {CLOSE}\n"
 _ESCAPED = re.compile(r"\\(.)", re.S)
 #: A row of formatted text is closed at so many characters, at the end of a turn.
 ROW = 2_000_000
@@ -155,13 +157,13 @@ def format_turns(turns: DataFrame, trained: tuple[str, ...] = ("assistant",)) ->
 def parse(formatted: str) -> Iterator[tuple[str, str, int, int]]:
     """(role, text, start, stop) of each turn, texts unescaped; placeholders stay."""
     at = 0
-    for m in _TURN.finditer(formatted):
-        if m.start() != at:
-            break
-        at = m.end()
-        yield unescape(m[1]), unescape(m[2]), m.start(2), m.end(2)
-    if at != len(formatted):
-        raise ValueError(f"not a formatted turn at character {at}")
+    while at < len(formatted):
+        head = _HEAD.match(formatted, at)
+        stop = formatted.find(_TAIL, head.end()) if head else -1
+        if stop < 0:
+            raise ValueError(f"not a formatted turn at character {at}")
+        yield unescape(head[1]), unescape(formatted[head.end():stop]), head.end(), stop
+        at = stop + len(_TAIL)
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

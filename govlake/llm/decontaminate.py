@@ -35,11 +35,12 @@ def marked(text: Column) -> Column:
 
     A number may have inner points, commas and colons; a unit follows a number or is a sign before
     or after it; a name is a capitalised word inside a sentence."""
-    number = r"[0-9]+(?:[.,:][0-9]+)*"
+    # possessive, and never from within a longer number: linear on long lists of numbers
+    number = r"(?<![0-9])(?<![0-9][.,:])[0-9]++(?:[.,:][0-9]++)*+"
     units = "|".join(sorted(UNITS, key=len, reverse=True))
-    text = F.regexp_replace(text, rf"([$€£¥])\s*(?={number})", f" {UNIT}$1 ")
+    text = F.regexp_replace(text, r"([$€£¥])\s*(?=[0-9])", f" {UNIT}$1 ")
     text = F.regexp_replace(text, rf"({number})\s*([%€$£¥°]|(?i:{units})(?![\p{{L}}\p{{N}}]))", f" {NUMBER}$1 {UNIT}$2 ")
-    text = F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}{NUMBER}.,:])({number})(?![\p{{L}}\p{{N}}])", f" {NUMBER}$1 ")
+    text = F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}{NUMBER}])({number})(?![\p{{L}}\p{{N}}])", f" {NUMBER}$1 ")
     text = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;)] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", f"{NAME}$1")
     return F.regexp_extract_all(
         text, F.lit(rf"{NUMBER}[0-9.,:]*[0-9]|{UNIT}?[$€£¥%°]|[{UNIT}{NAME}]?[\p{{L}}\p{{M}}\p{{N}}]+"), F.lit(0))

@@ -71,3 +71,9 @@ def test_stage_keeps_clean_documents(docs_of, bench, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.keep_clean(docs, none).count() == 6
     assert decontaminate.report(docs_of([]), bench).collect() == []
+
+
+def test_long_lists_of_numbers_and_long_words(docs_of, bench):
+    numbers = ",".join(map(str, range(60_000)))
+    docs = docs_of([(1, f"{numbers} {ITEM} {numbers}"), (2, "x" * 500_000), (3, "1." * 100_000), (4, "$ " * 50_000 + ITEM)])
+    assert {d for d, _ in found(docs, bench)} == {1, 4}
