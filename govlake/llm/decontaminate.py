@@ -18,8 +18,8 @@ WINDOW = 8
 LITERALS = 4
 #: Share of an item's words that has to be covered.
 COVERED = 0.5
-#: Benchmark windows that may be broadcast, at 40 bytes or so; beyond it the join shuffles.
-BROADCAST_WINDOWS = 500_000
+#: Benchmark windows that may be broadcast, at 150 bytes or so; beyond it the join shuffles.
+BROADCAST_WINDOWS = 200_000
 
 #: Marks in front of slots, from the private use area.
 NUMBER, UNIT, NAME = "\ue000", "\ue001", "\ue002"

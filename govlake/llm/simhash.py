@@ -222,8 +222,8 @@ def _cells(radius: int, cell: int):
 def links(fingerprints: DataFrame, radius: int = 4, cell: int = CELL) -> DataFrame:
     """Distinct `fp` -> (a, b) links whose components are those of all pairs within the radius.
 
-    A cell over `cell` rows is dealt anew over the bits it leaves open, half of them per level:
-    after three levels at most 2^8 different fingerprints share a cell.
+    A cell over `cell` rows is dealt anew over the bits it leaves open. Each level keeps about half of
+    those, so cells shrink to a few hundred fingerprints within three or four levels.
     """
     spark = fingerprints.sparkSession
     rows = fingerprints.select("fp", F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("path"))
