@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govlake import design
@@ -829,18 +829,28 @@ def _rejections(spark, sf):
 
 
 @register("constraint_disable_test", f"""
-SELECT count(*) AS groups_with_rule_off, count(*) FILTER (customers < {K}) AS small_groups_landed,
-       count(*) FILTER (customers >= {K}) AS groups_after_delete
-FROM (SELECT count(*) AS customers FROM sc GROUP BY region, segment
-      UNION ALL SELECT 3)""", "sc")
+SELECT n + 1 AS groups_with_rule_off, 0::BIGINT AS violations_with_rule_off,
+       1::BIGINT AS violations_with_rule_on, n AS groups_after_delete, 0::BIGINT AS violations_after_delete
+FROM (SELECT count(*) AS n FROM (SELECT 1 FROM sc GROUP BY region, segment HAVING count(*) >= {K}))""", "sc")
 def _disable_test(spark, sf):
-    """With the group-size rule dropped a group of three lands; deleting it restores the table."""
-    groups = gold.segments(Layers(spark, sf).customers(), k=0, built_at=PINNED).select("customers")
-    landed = groups.unionByName(literal(spark, [(3,)], "customers bigint"))
-    small = F.coalesce(F.col("customers") < K, F.lit(False))
-    return landed.agg(F.count(F.lit(1)).alias("groups_with_rule_off"),
-                      F.count_if(small).alias("small_groups_landed"),
-                      F.count_if(~small).alias("groups_after_delete"))
+    """Without the group-size rule a group of three passes the others and lands; the rule put back names
+    it; deleting it makes every rule hold again. Each step through the check that writes use."""
+    table, name = "gold.customer_segment_profile", "k_anonymity_min_group"
+    stored = _constrained(spark, sf)[table]
+    landed = stored.unionByName(_bad_rows(stored, table).where(F.col("customers") < K))
+    kept, rules = landed.where(F.col("customers") >= K), _rules(table)
+
+    def broken(rows: DataFrame, of: list[design.Constraint], alias: str) -> Column:
+        return quality.check(rows, of).agg(F.sum("violations").alias(alias)).scalar().alias(alias)
+
+    def size(rows: DataFrame, alias: str) -> DataFrame:
+        return rows.agg(F.count(F.lit(1)).alias(alias))
+
+    return size(landed, "groups_with_rule_off").select(
+        "groups_with_rule_off", broken(landed, [r for r in rules if r.name != name], "violations_with_rule_off"),
+        broken(landed, rules, "violations_with_rule_on"),
+        size(kept, "groups_after_delete").scalar().alias("groups_after_delete"),
+        broken(kept, rules, "violations_after_delete"))
 
 
 # ---- metadata over the company-wide catalog -------------------------------------------------
