@@ -9,6 +9,7 @@ averaging and the layer are linear, scoring needs one number per word, kept in a
 from __future__ import annotations
 
 import functools
+import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,17 +29,22 @@ DISTANCES, WEIGHT = 8, 6
 #: Labelled rows to fit on, at most; chosen by a hash of doc_id.
 SAMPLE = 3000
 _REMEMBERED = 400_000
-_CHARS = 128  # of a longer word the n-grams are left out; the word itself is hashed whole
+_CHARS = 128  # longer words are remembered by a digest
+_PIECE = 65_536  # n-grams of a word at a time
 
 
-def subwords(word: str) -> list[int]:
-    """Buckets of a word and of its character n-grams."""
+def subwords(word: str) -> Iterator[list[int]]:
+    """Buckets of a word and of all its character n-grams, in pieces of bounded length."""
+    marked = f"<{word}>"
     out = [zlib.crc32(word.encode()) % BUCKETS]
-    if len(word) <= _CHARS:
-        marked = f"<{word}>"
-        for n in range(SHORTEST, LONGEST + 1):
-            out += [zlib.crc32(marked[i:i + n].encode(), n) % BUCKETS for i in range(len(marked) - n + 1)]
-    return out
+    for n in range(SHORTEST, LONGEST + 1):
+        for at in range(0, len(marked) - n + 1, _PIECE):
+            out += [zlib.crc32(marked[i:i + n].encode(), n) % BUCKETS
+                    for i in range(at, min(at + _PIECE, len(marked) - n + 1))]
+            if len(out) > _PIECE:
+                yield out
+                out = []
+    yield out
 
 
 #: Buckets of the features that are not subwords: the end of the text, and returns by distance.
@@ -57,8 +63,9 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     often = np.bincount(ids, minlength=len(numbers)).tolist()
     total: dict[int, int] = {END: 1}
     for word, n in zip(numbers, often, strict=True):
-        for bucket in subwords(word):
-            total[bucket] = total.get(bucket, 0) + n
+        for piece in subwords(word):
+            for bucket in piece:
+                total[bucket] = total.get(bucket, 0) + n
     for bucket, n in zip(RETURNS, _returns(ids), strict=True):
         if n:
             total[bucket] = total.get(bucket, 0) + WEIGHT * n
@@ -131,7 +138,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 class _Words(dict):
-    """Word -> number of its place in arrays of score and feature count."""
+    """Word -> number of its place in arrays of score and feature count. Long words are kept by a
+    digest, so what is kept does not grow with their length."""
 
     def __init__(self, table: np.ndarray):
         super().__init__()
@@ -140,18 +148,22 @@ class _Words(dict):
         self.count = np.zeros(_REMEMBERED)
 
     def __missing__(self, word: str) -> int:
+        key = word if len(word) <= _CHARS else hashlib.blake2b(word.encode(), digest_size=16).digest()
+        if key is not word and key in self:
+            return self[key]
         place = len(self)
         if place >= len(self.score):
             self.score, self.count = (np.concatenate([a, np.zeros(len(a))]) for a in (self.score, self.count))
-        buckets = subwords(word)
-        self.score[place], self.count[place] = self.table[buckets].sum(), len(buckets)
-        self[word] = place
+        for piece in subwords(word):
+            self.score[place] += self.table[piece].sum()
+            self.count[place] += len(piece)
+        self[key] = place
         return place
 
     def logit(self, text: str | None) -> float:
         if len(self) >= _REMEMBERED:
             self.clear()
-            self.score, self.count = self.score[:_REMEMBERED], self.count[:_REMEMBERED]
+            self.score, self.count = np.zeros(_REMEMBERED), np.zeros(_REMEMBERED)
         ids = np.fromiter(map(self.__getitem__, (text or "").split()), np.int64)
         back = _returns(ids)
         total = self.score[ids].sum() + self.table[END] + WEIGHT * sum(

@@ -58,3 +58,18 @@ def test_small_memory_gives_the_same(monkeypatch, prose):
     monkeypatch.setattr(quality, "_REMEMBERED", 4)
     small = quality._Words(table)
     assert [small.logit(t) for t in prose] == pytest.approx([whole.logit(t) for t in prose])
+
+
+def test_long_words_count_by_their_ngrams():
+    a, b = "数字と文字" * 40, "ゆきのはら" * 40
+    short = [w * 20 for w in ("数字と文字", "ゆきのはら")]
+    model = quality.train([(*quality.features(t), i % 2) for i, t in enumerate(short * 10)], epochs=3)
+    words = quality._Words(model.table())
+    assert words.logit(a) < 0 < words.logit(b)
+    assert words.logit(f"{a} {a}") == pytest.approx(quality._Words(model.table()).logit(f"{a} {a}"))
+    assert all(len(k) <= quality._CHARS for k in words)
+    long = "ab" * 100_000
+    assert sum(map(len, quality.subwords(long))) == 1 + 2 * (len(long) + 2) - 5
+    buckets, counts = quality.features(long)
+    logits = model.layer @ ((counts / counts.sum()) @ model.vectors[buckets])
+    assert words.logit(long) == pytest.approx(logits[1] - logits[0], abs=1e-3)
