@@ -2,13 +2,15 @@
 
 Numbers, units and names are replaced by typed placeholders, which leaves a template. Windows of
 template words of the benchmark are hash-joined with those of the documents. Matches on one
-diagonal (document position less item position) are one occurrence; there every value of the item
-has to stand for one value of the document, or the likeness is chance.
+diagonal (document position less item position) and on neighbouring ones are one occurrence; there
+every value of the item has to stand for one value of the document, or the likeness is chance.
+A second set of windows holds the literal words in lower case, so a verbatim copy is found
+whatever its case, its place and its slots.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import text_of, unused
@@ -18,6 +20,12 @@ WINDOW = 8
 LITERALS = 4
 #: Share of an item's words that has to be covered.
 COVERED = 0.5
+#: A match of so many words in a row counts whatever its share of the item.
+PASSAGE = 15
+#: Diagonals of one item at most so far apart are neighbours: words put in or left out between them.
+SLACK = 3
+#: A literal item of fewer than LITERALS words needs as many letters and digits to prove anything.
+LEAST_CHARS = 12
 #: Benchmark windows that may be broadcast, at 150 bytes or so; beyond it the join shuffles.
 BROADCAST_WINDOWS = 200_000
 
@@ -34,7 +42,8 @@ def marked(text: Column) -> Column:
     """The words of a text; those that are slots carry the mark of their type in front.
 
     A number may have inner points, commas and colons; a unit follows a number or is a sign before
-    or after it; a name is a capitalised word inside a sentence."""
+    or after it; a name is a capitalised word inside a sentence. Numbers in a row are one slot, and
+    so are names."""
     # possessive, and never from within a longer number: linear on long lists of numbers
     number = r"(?<![0-9])(?<![0-9][.,:])[0-9]++(?:[.,:][0-9]++)*+"
     units = "|".join(sorted(UNITS, key=len, reverse=True))
@@ -42,67 +51,124 @@ def marked(text: Column) -> Column:
     text = F.regexp_replace(text, rf"({number})\s*([%€$£¥°]|(?i:{units})(?![\p{{L}}\p{{N}}]))", f" {NUMBER}$1 {UNIT}$2 ")
     text = F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}{NUMBER}])({number})(?![\p{{L}}\p{{N}}])", f" {NUMBER}$1 ")
     text = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;)] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", f"{NAME}$1")
+    # possessive repeats, which Java runs without recursion
+    one, name = rf"{NUMBER}[0-9]++(?:[.,:][0-9]++)*+", rf"{NAME}[\p{{L}}\p{{M}}\p{{N}}]++"
     return F.regexp_extract_all(
-        text, F.lit(rf"{NUMBER}[0-9.,:]*[0-9]|{UNIT}?[$€£¥%°]|[{UNIT}{NAME}]?[\p{{L}}\p{{M}}\p{{N}}]+"), F.lit(0))
+        text, F.lit(rf"{one}(?:\s++{one})*+|{name}(?:\s++{name})*+|{UNIT}?[$€£¥%°]|{UNIT}?[\p{{L}}\p{{M}}\p{{N}}]+"),
+        F.lit(0))
 
 
-def _windows(df: DataFrame, sizes: list[int], keep: list[str]) -> DataFrame:
-    """`keep` columns with a row per window of each size: size, at, window (hash), slots."""
+def literal(text: Column) -> Column:
+    """The words of a text in lower case: numbers, signs of arithmetic between or after digits, and
+    single characters of scripts without spaces."""
+    unspaced = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
+    return F.regexp_extract_all(F.lower(text), F.lit(
+        r"[0-9]++(?:[.,:][0-9]++)*+|(?<=[0-9)] ?)[-+*/=^<>×÷−]"
+        rf"|[{unspaced}]\p{{M}}*+|[\p{{L}}\p{{M}}\p{{N}}&&[^0-9{unspaced}]]++"), F.lit(0))
+
+
+def _windows(df: DataFrame, sizes: list[int], keep: list[str], spoken: bool = False) -> DataFrame:
+    """`keep` columns with a row per window of each size: size, at, window (hash), slots. With
+    `spoken` the windows are over literal words, which have no slots."""
     words, hashes, slots = "__words", "__hashes", "__slots"
     is_slot = lambda w: F.substring(w, 1, 1).isin(NUMBER, UNIT, NAME)
-    df = df.withColumn(words, marked(F.col("text")))
-    df = df.select(*keep,
-                   F.transform(words, lambda w: F.xxhash64(F.when(is_slot(w), F.substring(w, 1, 1))
-                                                           .otherwise(F.lower(w)))).alias(hashes),
-                   F.transform(words, lambda w: F.when(is_slot(w), F.lower(w))).alias(slots))
+    df = df.withColumn(words, literal(F.col("text")) if spoken else marked(F.col("text")))
+    if spoken:
+        df = df.select(*keep, F.transform(words, lambda w: F.xxhash64(w)).alias(hashes))
+    else:
+        df = df.select(*keep,
+                       F.transform(words, lambda w: F.xxhash64(F.when(is_slot(w), F.substring(w, 1, 1))
+                                                               .otherwise(F.lower(w)))).alias(hashes),
+                       F.transform(words, lambda w: F.when(is_slot(w), F.lower(w))).alias(slots))
 
     def of_size(n: int) -> Column:
         places = F.when(F.size(hashes) >= n, F.sequence(F.lit(1), F.size(hashes) - (n - 1))).otherwise(
             F.array().cast("array<int>"))
         return F.transform(places, lambda i: F.struct(
             F.lit(n).alias("size"), i.alias("at"), F.xxhash64(F.slice(hashes, i, n)).alias("window"),
-            F.slice(slots, i, n).alias("slots")))
+            *([] if spoken else [F.slice(slots, i, n).alias("slots")])))
 
     parts = [of_size(n) for n in sizes]
     found = parts[0] if len(parts) == 1 else F.concat(*parts)
     return df.select(*keep, F.explode(found).alias("w")).select(*keep, "w.*")
 
 
+def _wanted(items: DataFrame, sizes: list[int], spoken: bool) -> DataFrame:
+    """Windows of the items, each of its own size, as the side of the join that is broadcast if small."""
+    found = _windows(items, sizes, ["item_id", "words"], spoken).where(f"size = least(words, {WINDOW})")
+    if not spoken:
+        found = found.where(f"size(filter(slots, s -> s is null)) >= {LITERALS}")
+    found = found.select("item_id", "words", "size", F.col("at").alias("item_at"), "window",
+                         *([] if spoken else [F.col("slots").alias("item_slots")]))
+    return F.broadcast(found) if found.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS else found
+
+
+def _sizes(items: DataFrame) -> list[int]:
+    found = items.select(F.least("words", F.lit(WINDOW)).alias("size")).distinct().collect()
+    return sorted(r.size for r in found) or [WINDOW]  # an empty benchmark matches nothing
+
+
+def _cover() -> Column:
+    """The words of the item that its matching places (item_at, size) cover, in order."""
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(
+        "places", lambda p: F.sequence(p["item_at"], p["item_at"] + p["size"] - 1)))))
+
+
+def _run() -> Column:
+    """The most words in a row of those covered."""
+    now = lambda s, at: F.when(at == s["last"] + 1, s["now"] + 1).otherwise(1)
+    start = F.struct(F.lit(-1).alias("last"), F.lit(0).alias("now"), F.lit(0).alias("most"))
+    return F.aggregate("cover", start, lambda s, at: F.struct(
+        at.cast("int").alias("last"), now(s, at).alias("now"), F.greatest(s["most"], now(s, at)).alias("most")),
+        lambda s: s["most"])
+
+
+def _template(rows: DataFrame, items: DataFrame, covered: float) -> DataFrame:
+    """Occurrences of item templates."""
+    items = items.withColumn("words", F.size(marked(F.col("text")))).where(f"words >= {LITERALS}")
+    sizes, key = _sizes(items), ["doc_id", "text_key", "item_id", "words"]
+    wanted = _wanted(items, sizes, False)
+    met = _windows(rows, sizes, ["doc_id", "text_key"]).join(wanted, ["size", "window"])
+    pairs = F.filter(F.zip_with("item_slots", "slots", lambda i, d: F.when(
+        i.isNotNull(), F.struct(i.alias("item"), d.alias("doc")))), lambda p: p.isNotNull())
+    each = (met.groupBy(*key, (F.col("at") - F.col("item_at")).alias("diagonal"))
+            .agg(F.collect_set(F.struct("item_at", "size")).alias("places"),
+                 F.array_distinct(F.flatten(F.collect_set(pairs))).alias("values")))
+    # diagonals with none over SLACK between them are one chain
+    order = Window.partitionBy(*key).orderBy("diagonal")
+    before = F.lag("diagonal").over(order)
+    chained = (each.withColumn("first", F.when(F.col("diagonal") - before <= SLACK, 0).otherwise(1))
+               .withColumn("chain", F.sum("first").over(order)))
+    joined = (chained.groupBy(*key, "chain")
+              .agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
+                   F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"),
+                   F.collect_list(F.struct("places", "values")).alias("alone")))
+    # a diagonal also stands alone, where a chain has values that do not fit together
+    both = joined.select(*key, F.explode(F.when(F.size("alone") == 1, F.col("alone")).otherwise(
+        F.concat(F.array(F.struct("places", "values")), "alone"))).alias("o")).select(*key, "o.*")
+    return (both.where(F.size("values") == F.size(F.array_distinct(F.transform("values", lambda p: p["item"]))))
+            .withColumn("cover", _cover())
+            .withColumn("coverage", F.size("cover") / F.col("words"))
+            .where((F.col("coverage") >= covered) | (_run() >= PASSAGE))
+            .select("doc_id", "text_key", "item_id", F.size("places").alias("windows"), "coverage",
+                    F.forall("values", lambda p: p["item"] == p["doc"]).alias("same_values")))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED) -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, text_key (hash of the text),
     item_id, windows (of the item that match), coverage (share of its words), same_values.
 
     Rows that share doc_id and text give one result; null doc_ids and item_ids are kept; null and
-    empty texts match nothing, and so do items of fewer than LITERALS words that are no slots.
-    Items shorter than WINDOW words are one window of their own length. Of several occurrences
-    the one that covers most counts. Items of one text are all reported.
+    empty texts match nothing, and so do templates of fewer than LITERALS words that are no slots
+    and literal items of fewer than LITERALS words and LEAST_CHARS characters. Items shorter than
+    WINDOW words are one window of their own length. Of several occurrences the one that covers
+    most counts. Items of one text are all reported.
     """
-    items = (benchmark.select("item_id", text_of().alias("text")).distinct()
-             .withColumn("words", F.size(marked(F.col("text")))).where(f"words >= {LITERALS}"))
-    sizes = sorted(r.size for r in items.select(F.least("words", F.lit(WINDOW)).alias("size")).distinct().collect())
-    if not sizes:
-        sizes = [WINDOW]  # an empty benchmark matches nothing
-    wanted = _windows(items, sizes, ["item_id", "words"]).where(
-        f"size = least(words, {WINDOW}) and size(filter(slots, s -> s is null)) >= {LITERALS}")
-    wanted = wanted.select("item_id", "words", "size", F.col("at").alias("item_at"), "window",
-                           F.col("slots").alias("item_slots"))
-    if wanted.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
-        wanted = F.broadcast(wanted)
+    items = benchmark.select("item_id", text_of().alias("text")).distinct()
     rows = docs.select("doc_id", text_of().alias("text")).withColumn("text_key", F.xxhash64("text"))
-    met = _windows(rows, sizes, ["doc_id", "text_key"]).join(wanted, ["size", "window"])
-    pairs = F.filter(F.zip_with("item_slots", "slots", lambda i, d: F.when(
-        i.isNotNull(), F.struct(i.alias("item"), d.alias("doc")))), lambda p: p.isNotNull())
-    each = (met.groupBy("doc_id", "text_key", "item_id", "words", (F.col("at") - F.col("item_at")).alias("diagonal"))
-            .agg(F.collect_set(F.struct("item_at", "size")).alias("places"),
-                 F.array_distinct(F.flatten(F.collect_set(pairs))).alias("values")))
-    cover = F.size(F.array_distinct(F.flatten(F.transform(
-        "places", lambda p: F.sequence(p["item_at"], p["item_at"] + p["size"] - 1)))))
-    found = (each.where(F.size("values") == F.size(F.array_distinct(F.transform("values", lambda p: p["item"]))))
-             .withColumn("coverage", cover / F.col("words"))
-             .where(F.col("coverage") >= covered)
-             .withColumn("same_values", F.forall("values", lambda p: p["item"] == p["doc"])))
+    found = _template(rows, items, covered)
     return (found.groupBy("doc_id", "text_key", "item_id")
-            .agg(F.max(F.size("places")).cast("long").alias("windows"), F.max("coverage").alias("coverage"),
+            .agg(F.max("windows").cast("long").alias("windows"), F.max("coverage").alias("coverage"),
                  F.bool_or("same_values").alias("same_values")))
 
 

@@ -77,3 +77,19 @@ def test_long_lists_of_numbers_and_long_words(docs_of, bench):
     numbers = ",".join(map(str, range(60_000)))
     docs = docs_of([(1, f"{numbers} {ITEM} {numbers}"), (2, "x" * 500_000), (3, "1." * 100_000), (4, "$ " * 50_000 + ITEM)])
     assert {d for d, _ in found(docs, bench)} == {1, 4}
+
+
+def test_values_of_other_lengths_and_edited_copies(docs_of, bench):
+    docs = docs_of([(1, ITEM.replace("Tom", "Ann Lee")), (2, ITEM.replace("25", "1 000")),
+                    (3, ITEM.replace("sells 10", "quickly sells 10")), (4, ITEM.replace("old ", "")),
+                    (5, ITEM.replace("Tom", "Ann Lee", 1).replace("Tom", "Joe"))])
+    got = found(docs, bench)
+    assert {d for d, i in got if i == 1} == {1, 2, 3, 4}
+    assert all(got[d, 1].coverage > .8 for d in (1, 2, 3, 4))
+
+
+def test_a_long_passage_counts_whatever_its_share(docs_of, spark):
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(59)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    docs = docs_of([(1, f"so {' '.join(words[10:35])} it"), (2, f"so {' '.join(words[10:22])} it")])
+    assert {d for d, _ in found(docs, bench)} == {1}
