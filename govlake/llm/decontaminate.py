@@ -154,6 +154,21 @@ def _template(rows: DataFrame, items: DataFrame, covered: float) -> DataFrame:
                     F.forall("values", lambda p: p["item"] == p["doc"]).alias("same_values")))
 
 
+def _verbatim(rows: DataFrame, items: DataFrame, covered: float) -> DataFrame:
+    """Occurrences of literal passages without a gap: a share of the item, or PASSAGE words."""
+    items = (items.withColumn("__found", literal(F.col("text"))).withColumn("words", F.size("__found"))
+             .where((F.col("words") >= LITERALS) | (F.length(F.array_join("__found", "")) >= LEAST_CHARS)))
+    sizes, key = _sizes(items), ["doc_id", "text_key", "item_id", "words"]
+    wanted = _wanted(items.select("item_id", "text", "words"), sizes, True)
+    met = _windows(rows, sizes, ["doc_id", "text_key"], True).join(wanted, ["size", "window"])
+    each = (met.groupBy(*key, (F.col("at") - F.col("item_at")).alias("diagonal"))
+            .agg(F.collect_set(F.struct("item_at", "size")).alias("places")))
+    return (each.withColumn("cover", _cover()).withColumn("run", _run())
+            .where((F.col("run") >= F.col("words") * covered) | (F.col("run") >= PASSAGE))
+            .select("doc_id", "text_key", "item_id", F.size("places").alias("windows"),
+                    (F.size("cover") / F.col("words")).alias("coverage"), F.lit(True).alias("same_values")))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED) -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, text_key (hash of the text),
     item_id, windows (of the item that match), coverage (share of its words), same_values.
@@ -166,7 +181,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED) ->
     """
     items = benchmark.select("item_id", text_of().alias("text")).distinct()
     rows = docs.select("doc_id", text_of().alias("text")).withColumn("text_key", F.xxhash64("text"))
-    found = _template(rows, items, covered)
+    found = _template(rows, items, covered).unionByName(_verbatim(rows, items, covered))
     return (found.groupBy("doc_id", "text_key", "item_id")
             .agg(F.max("windows").cast("long").alias("windows"), F.max("coverage").alias("coverage"),
                  F.bool_or("same_values").alias("same_values")))

@@ -93,3 +93,14 @@ def test_a_long_passage_counts_whatever_its_share(docs_of, spark):
     bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
     docs = docs_of([(1, f"so {' '.join(words[10:35])} it"), (2, f"so {' '.join(words[10:22])} it")])
     assert {d for d, _ in found(docs, bench)} == {1}
+
+
+def test_verbatim_copies_of_any_case_place_and_length(docs_of, spark):
+    short, sums, han, few = "Copper rivers Sing softly", "What is 12 + 35?", "今天天气很好我们去公园", "Photosynthesis explained"
+    rows = [(1, ITEM), (2, short), (3, sums), (4, han), (5, few), (6, "to be"), (7, "12 15 18 21 24 27 30 33 36 39")]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    texts = [ITEM.lower(), ITEM.upper(), ITEM.title(), ITEM.replace(" ", "\n"), f"and then {short} again", sums.lower(),
+             f"他说{han}吧", f"on {few}.", "to be or not", "12 15 18 21 24 27 30 33 36 39", "What is 12 + 36?"]
+    got = found(docs_of(list(enumerate(texts, start=1))), bench)
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 3), (7, 4), (8, 5), (10, 7)}
+    assert all(r.same_values and r.coverage == 1.0 for r in got.values())
