@@ -1,6 +1,6 @@
 """SpotSigs document fingerprints, in DataFrame expressions only.
 
-Anchors are the short words that occur in most documents. A signature is an anchor with the chain
+Anchors are the short words that occur in most documents of each language. A signature is an anchor with the chain
 of content words (words that are no anchors) that follows it, and a fingerprint is the set of
 signatures of the whole text, as 32-bit hashes in order. Fingerprints are compared by Jaccard
 likeness; sets of too different length cannot reach a given likeness, so they are partitioned by
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordered import last_before
@@ -29,12 +29,17 @@ def words(text: Column) -> Column:
 
 
 def anchors(docs: DataFrame, count: int = ANCHORS) -> list[str]:
-    """The `count` words of at most ANCHOR_CHARS characters that most documents of the whole table
-    have; ties in alphabetical order. Counts are combined map-side; `count` words reach the driver."""
-    seen = docs.select(F.explode(F.array_distinct(F.filter(
+    """For each language (`lang`, if there is one; unknown ones are one more) the `count` words of at
+    most ANCHOR_CHARS characters that most of its documents have, ties in alphabetical order; all of
+    them together, in alphabetical order. A common language takes no places from the others. Counts
+    are combined map-side; `count` words for each language reach the driver."""
+    spoken = F.lower(F.trim(F.coalesce(F.col("lang").cast("string"), F.lit("")))) if "lang" in docs.columns else F.lit("")
+    seen = docs.select(spoken.alias("spoken"), F.explode(F.array_distinct(F.filter(
         words(text_of()), lambda w: F.length(w) <= ANCHOR_CHARS))).alias("word"))
-    top = seen.groupBy("word").count().orderBy(F.desc("count"), "word").limit(count)
-    return [r.word for r in top.collect()]
+    order = Window.partitionBy("spoken").orderBy(F.desc("count"), "word")
+    top = (seen.groupBy("spoken", "word").count().withColumn("place", F.row_number().over(order))
+           .where(F.col("place") <= count).select("word").distinct())
+    return sorted(r.word for r in top.collect())
 
 
 def with_signatures(df: DataFrame, text: str, name: str, common: list[str]) -> DataFrame:

@@ -72,3 +72,13 @@ def test_pruning_and_partitions(spark):
     sizes = spark.range(1, 400).selectExpr("cast(id as int) as n")
     part = {r.n: r.p for r in sizes.select("n", spotsigs.length_part(sizes.n, 0.8).alias("p")).collect()}
     assert all(abs(part[n] - part[m]) <= 1 for n in part for m in part if m >= n >= 0.8 * m)
+
+
+def test_every_language_has_anchors(spark):
+    rows = [(i, " ".join(f"en{c} stone{i}{c}" for c in "abcdefghij"), "en") for i in range(40)]
+    rows += [(100 + i, " ".join(f"de{c} stein{i}{c}" for c in "abcdefghij"), "de") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {f"{x}{c}" for x in ("en", "de") for c in "abcdefghij"} == set(spotsigs.anchors(docs, 10))
+    assert len(spotsigs.anchors(docs.drop("lang"), 10)) == 10
+    sizes = {r.doc_id: len(r.fingerprint) // 8 for r in spotsigs.edited_pairs(docs, 10).collect()}
+    assert set(sizes.values()) == {11}
