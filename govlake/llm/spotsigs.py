@@ -3,8 +3,8 @@
 Anchors are the short words that occur in most documents of each language. A signature is an anchor with the chain
 of content words (words that are no anchors) that follows it, and a fingerprint is the set of
 signatures of the whole text, as 32-bit hashes in order. Fingerprints are compared by Jaccard
-likeness; sets of too different length cannot reach a given likeness, so they are partitioned by
-length and pruned before their members are looked at.
+likeness. The pairs of `edited_pairs` are fixed, so it neither partitions nor prunes; `length_part`
+is given out, and `likeness` prunes by length where a bound is asked for.
 """
 
 from __future__ import annotations
