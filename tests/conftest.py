@@ -26,6 +26,3 @@ def spark(tmp_path_factory):
 def sf():
     return SF
 
-
-def rows(df, *order):
-    return sorted((tuple(r) for r in df.select(*(order or df.columns)).collect()), key=repr)

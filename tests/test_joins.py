@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from govlake.operators import silver
 from govlake.operators.joins import bucket_of, heavy_buckets, lookup
 

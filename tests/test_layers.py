@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from govlake.operators import anonymize, gold, quality, silver
 from govlake.plans.registry import Layers
 from govlake.sources import fixture

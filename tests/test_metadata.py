@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from support import rows
 from govlake import design
 from govlake.design import GRANTS, OWNERS, PERSONAS
 from govlake.operators import access, coverage, evolve, lineage, tags

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import rows
+from support import rows
 from govlake import design
 from govlake.design import ColumnMask, POLICIES, RowFilter, TAG_VOCABULARY
 from govlake.operators import policy, tags

@@ -5,7 +5,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from govlake import design
 from govlake.design import CONSTRAINTS, OWNERS, Constraint, Expectation
 from govlake.operators import access, evolve, lineage, quality

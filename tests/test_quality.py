@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from govlake.design import CONSTRAINTS, Constraint, Expectation
 from govlake.operators import quality
 
