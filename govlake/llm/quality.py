@@ -27,7 +27,7 @@ SHORTEST, LONGEST = 3, 4
 #: Distances at which a word that comes back counts, each as so many features.
 DISTANCES, WEIGHT = 8, 6
 #: Labelled rows to fit on, at most; chosen by a hash of doc_id.
-SAMPLE = 3000
+SAMPLE = 4000
 _REMEMBERED = 400_000
 _CHARS = 128  # longer words are remembered by a digest
 _PIECE = 65_536  # n-grams of a word at a time
@@ -115,23 +115,26 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on at most `sample` labelled rows that are not held out.
 
-    The sample is what is gathered on the driver: `sample` lists of buckets. Rows with a null
-    label, a null doc_id or a label other than 0 and 1 are left out. Without any row the model
-    scores everything 0.5."""
+    The sample is what is gathered on the driver: `sample` lists of buckets, as of several texts
+    under one doc_id the one of the least hash is taken. Rows with a null label, a null doc_id or a
+    label other than 0 and 1 are left out. Without any row the model scores everything 0.5."""
     chosen = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
               .select("doc_id", F.col("quality").cast("int").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample))
     # bounded by the sample, whatever the size of the labels
-    texts = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = (docs.select("doc_id", text_of().alias("text"), F.xxhash64(text_of()).alias("key"))
+             .join(F.broadcast(chosen), "doc_id"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             made = [features(t) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"],
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "key": batch["key"],
                                 "buckets": [b.astype("<i4").tobytes() for b, _ in made],
                                 "counts": [c.astype("<f4").tobytes() for _, c in made]})
 
-    rows = texts.mapInPandas(run, "doc_id long, label int, buckets binary, counts binary").collect()
+    made = texts.mapInPandas(run, "doc_id long, label int, key long, buckets binary, counts binary")
+    rows = (made.groupBy("doc_id", "label").agg(F.min_by(F.struct("buckets", "counts"), "key").alias("of"))
+            .select("doc_id", "label", "of.*").collect())
     rows.sort(key=lambda r: (r.doc_id, r.label, bytes(r.buckets)))
     return train([(np.frombuffer(r.buckets, "<i4"), np.frombuffer(r.counts, "<f4"), r.label)
                   for r in rows])
@@ -197,7 +200,10 @@ def predictions(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Dat
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The documents that the classifier gives label 1, columns as they came."""
+    """The documents that the classifier gives label 1, columns as they came.
+
+    Null and empty texts are scored too, repeated rows stay together, and an empty table gives an
+    empty one; without a usable label every score is 0.5, so all stay."""
     name = unused(docs.columns, "score")
     return (docs.withColumn(name, score(text_of(), fit(docs, labels, sample)))
             .where(F.col(name) >= 0.5).drop(name))

@@ -30,9 +30,8 @@ CELL = 4096
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def fingerprint_of(text: str | None, words: int = 4, distinct: bool = False) -> int:
-    """Unsigned fingerprint: a bit is 1 if set in over half of the shingle hashes (XXH64, seed 42).
-    `distinct` counts equal shingles once."""
+def fingerprint_of(text: str | None, words: int = 4) -> int:
+    """Unsigned fingerprint: a bit is 1 if set in over half of the shingle hashes (XXH64, seed 42)."""
     found = (text or "").encode().translate(_LOWER).split()
     if not found:
         return 0
@@ -42,11 +41,8 @@ def fingerprint_of(text: str | None, words: int = 4, distinct: bool = False) ->
     first = last - size
     k = min(words, len(found))
     starts, ends = first[:len(found) - k + 1].tolist(), last[k - 1:].tolist()
-    pieces: Iterator[bytes] | set[bytes] = (line[s:e] for s, e in zip(starts, ends, strict=True))
-    if distinct:
-        pieces = set(pieces)
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(p, 42) for p in pieces], np.dtype("<u8"))
+    hashes = np.array([digest(line[s:e], 42) for s, e in zip(starts, ends, strict=True)], np.dtype("<u8"))
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 65_536):
         block = hashes[at:at + 65_536]
@@ -55,12 +51,12 @@ def fingerprint_of(text: str | None, words: int = 4, distinct: bool = False) ->
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.dtype("<u8"))[0])
 
 
-def fingerprint(text: Column, words: int = 4, distinct: bool = False) -> Column:
+def fingerprint(text: Column, words: int = 4) -> Column:
     """The fingerprint as a signed 64-bit number; null and blank texts give zero."""
 
     @F.pandas_udf(LongType())
     def made(texts: pd.Series) -> pd.Series:
-        out = [fingerprint_of(t, words, distinct) for t in texts]
+        out = [fingerprint_of(t, words) for t in texts]
         return pd.Series(np.array(out, np.uint64).view(np.int64))
 
     return made(text)
@@ -239,7 +235,7 @@ def links(fingerprints: DataFrame, radius: int = 4, cell: int = CELL) -> DataFra
             return found
 
 
-def classes(docs: DataFrame, words: int = 4, radius: int = 4, distinct: bool = False) -> DataFrame:
+def classes(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
     """One row per document: doc_id, text_hash, fp (signed), root (a fingerprint that names the
     group) and component_id, the smallest doc_id reachable over links of at most `radius` bits.
 
@@ -248,7 +244,7 @@ def classes(docs: DataFrame, words: int = 4, radius: int = 4, distinct: bool = F
     Equal fingerprints are one node, so copies cost one row each and never become pairs.
     """
     made = cut(docs.select("doc_id", F.xxhash64(text_of()).alias("text_hash"),
-                           fingerprint(text_of(), words, distinct).alias("fp")))
+                           fingerprint(text_of(), words).alias("fp")))
     nodes = cut(made.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(nodes.select("fp"), radius))
     named = (nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
@@ -264,16 +260,14 @@ def report(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = 1, radius: int = 6, distinct: bool = True) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
     """One document of each near-duplicate group, columns as they came.
 
     The smallest doc_id stays; rows without doc_id stay only where a group has nothing else. Of
-    several texts under that doc_id in one group, and of repeated rows, one stays. By default the
-    fingerprint is over distinct words within 6 bits, which finds about nine tenths of the pairs
-    whose five-word shingles have similarity 0.8 or more.
+    several texts under that doc_id in one group, and of repeated rows, one stays. Null and blank
+    texts are one group; an empty table stays empty.
     """
-    found = (classes(docs, words, radius, distinct)
-             .where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    found = classes(docs, words, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     counted = cut(found.groupBy("root", "doc_id", "text_hash").count())
     stay = counted.join(counted.groupBy("root").agg(F.min("text_hash").alias("text_hash")),
                         ["root", "text_hash"])

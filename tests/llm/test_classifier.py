@@ -52,6 +52,19 @@ def test_without_labels_and_rows(spark, docs_of):
     assert quality.predictions(docs_of([]), none).collect() == []
 
 
+def test_one_text_of_a_labelled_doc_id_is_learnt(spark, docs_of, prose, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda rows: seen.append(rows) or quality.Model(
+        np.zeros((quality.BUCKETS, 2), np.float32), np.zeros((2, 2), np.float32)))
+    labels = spark.createDataFrame([(0, 1, 0), (0, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    docs = [(0, t) for t in prose] + [(2, "a b"), (2, "a b")]
+    quality.fit(docs_of(docs), labels, 3)
+    quality.fit(docs_of(docs[::-1]), labels, 3)
+    first, again = seen
+    assert [x[2] for x in first] == [1, 0]
+    assert all((a[0] == b[0]).all() and (a[1] == b[1]).all() for a, b in zip(first, again, strict=True))
+
+
 def test_small_memory_gives_the_same(monkeypatch, prose):
     table = quality.train([(*quality.features(t), i % 2) for i, t in enumerate(prose)], epochs=1).table()
     whole = quality._Words(table)

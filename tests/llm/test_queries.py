@@ -67,8 +67,8 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert first.columns == docs.columns and {r.doc_id for r in first.collect()} == good
 
     rows = sorted((r.doc_id, r.text) for r in first.collect())
-    prints = [simhash.fingerprint_of(t, 1, True) for _, t in rows]
-    group = groups(prints, lambda a, b: (a ^ b).bit_count() <= 6)
+    prints = [simhash.fingerprint_of(t) for _, t in rows]
+    group = groups(prints, lambda a, b: (a ^ b).bit_count() <= 4)
     least = {}
     for (d, _), g in zip(rows, group, strict=True):
         least[g] = min(d, least.get(g, d))
