@@ -74,4 +74,50 @@ SELECT conv_id, count(*) AS n_turns,
 FROM escaped GROUP BY conv_id
 """
 
-ORACLE = {"op9_chat": OP9, "op7_url_rules": OP7, "op10_revisits": OP10}
+OP11 = r"""
+WITH live AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM live a JOIN live b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+positive AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY score DESC, other)::INTEGER AS rank,
+       other AS negative_id, p.positive_score, score AS negative_score
+FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY score DESC, other) <= 3
+"""
+
+OP13 = r"""
+WITH said AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+spoken AS (SELECT doc_id, row, len(terms) AS n, terms FROM said WHERE len(terms) > 0),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM spoken),
+counted AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM spoken) GROUP BY row, term),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+weighed AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counted, total WHERE term IN (SELECT term FROM asked) GROUP BY term),
+scored AS (
+  SELECT item_id, row, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // words))))::BIGINT AS score
+  FROM asked JOIN weighed USING (term) JOIN counted USING (term) JOIN spoken USING (row), total GROUP BY item_id, row)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored JOIN spoken USING (row) WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
+"""
+
+ORACLE = {"op9_chat": OP9, "op7_url_rules": OP7, "op10_revisits": OP10, "op11_hard_negatives": OP11,
+          "op13_ranked_search": OP13}

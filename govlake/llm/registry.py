@@ -8,8 +8,8 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat, decontaminate, packing, quality, revisits, simhash, spotsigs, token_counts, token_files,
-               url_rules)
+from . import (chat, decontaminate, hard_negatives, mixing, packing, quality, ranked, revisits, simhash, spotsigs,
+               token_counts, token_files, url_rules)
 from .oracle import ORACLE
 from .shared import folder, table
 
@@ -69,8 +69,21 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revisits.resolve(revisits.captures(table(spark, sf_dir, "pages")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_spotsigs, op2_token_counts, op3_simhash, op4_decontamination, op5_packing,
-                              op6_quality, op7_url_rules, op8_token_files, op9_chat, op10_revisits)
+                              op6_quality, op7_url_rules, op8_token_files, op9_chat, op10_revisits, op11_hard_negatives,
+                              op12_mixing, op13_ranked_search)
 }
 QUERIES["pipeline"] = corpus_pipeline.run

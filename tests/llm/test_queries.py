@@ -14,7 +14,7 @@ import corpus_pipeline
 from govlake.llm import quality, registry, simhash
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents pages benchmark labels conversations".split()
+TABLES = "documents pages benchmark labels conversations embeddings".split()
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +28,7 @@ def con():
 def test_entry_has_one_query_for_each_operator():
     names = contract.queries()
     assert set(registry.QUERIES) <= set(names) and "pipeline" in names
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert set(registry.ORACLE) <= set(contract.oracle_sql())
 
 
