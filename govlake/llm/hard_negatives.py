@@ -30,7 +30,9 @@ CHUNK, BLOCK = 4096, 128
 #: Anchors in a group, at most; a chunk may have several groups.
 GROUP = 512
 #: Blocks whose zone maps are looked at together.
-SHEET = 4096
+SHEET = 1024
+#: Sheets whose names may be broadcast; beyond, the join shuffles.
+BROADCAST_SHEETS = 1_000_000
 DIMENSIONS, DEPTH = 6, 8
 POSITIVES, NEGATIVES = 5, 3
 EVERY = 50
@@ -266,46 +268,65 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ["grp", "dim", "label", "anchors", "vectors", "r", "ids", "scores"])
 
 
+def _asked(batches: Iterator[pa.RecordBatch], held: list[str]) -> Iterator[dict]:
+    """Rows in the order of key and kind -> each asking row (kind 1) with the `held` columns of the row
+    of kind 0 before it, which is sent once however many ask."""
+    now: dict = {}
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["kind"] == 0:
+                now = {c: row[c] for c in held}
+            else:
+                yield row | now
+
+
+def _beside(payload: DataFrame, asking: DataFrame, key: str) -> DataFrame:
+    """Both relations in one, each key's payload before those that ask for it."""
+    def wide(df: DataFrame, other: DataFrame, kind: int) -> DataFrame:
+        missing = [F.lit(None).cast(t).alias(c) for c, t in other.dtypes if c not in df.columns]
+        return df.select("*", *missing, F.lit(kind).alias("kind"))
+
+    both = wide(payload, asking, 0).unionByName(wide(asking, payload, 1))
+    return both.repartition(partitions(payload.sparkSession), key).sortWithinPartitions(key, "kind")
+
+
 def _chosen(how: str):
-    """Groups beside sheets -> the chunks that each group has to read."""
+    """Groups behind sheets -> the chunks that each group has to read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                n, dim = len(_array(row, "anchors")), row["dim"]
-                chunks, sizes = _array(row, "chunks"), _array(row, "sizes")
-                zones = [np.frombuffer(row[c]).reshape(int(sizes.sum()), dim) for c in ("low", "high")]
-                hit = _meets(_vectors(row, "vectors", n), *zones, _wanted(row, n, how)).any(axis=0)
-                read = np.logical_or.reduceat(hit, np.cumsum(sizes) - sizes)
-                if how == "positives":
-                    read &= chunks != row["grp"] // _PARTS
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(read.sum(), row["grp"])), pa.array(chunks[read])],
-                                                 ["grp", "chunk"])
+        for row in _asked(batches, ["chunks", "sizes", "low", "high"]):
+            n, dim = len(_array(row, "anchors")), row["dim"]
+            chunks, sizes = _array(row, "chunks"), _array(row, "sizes")
+            zones = [np.frombuffer(row[c]).reshape(int(sizes.sum()), dim) for c in ("low", "high")]
+            hit = _meets(_vectors(row, "vectors", n), *zones, _wanted(row, n, how)).any(axis=0)
+            read = np.logical_or.reduceat(hit, np.cumsum(sizes) - sizes)
+            if how == "positives":
+                read &= chunks != row["grp"] // _PARTS
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(read.sum(), row["grp"])), pa.array(chunks[read])],
+                                             ["grp", "chunk"])
 
     return run
 
 
 def _scored(how: str):
-    """Groups beside the chunks they read -> the best of each chunk."""
+    """Groups behind the chunks they read -> the best of each chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                n, dim = len(_array(row, "anchors")), row["dim"]
-                a, wanted = _vectors(row, "vectors", n), _wanted(row, n, how)
-                ids = _array(row, "c_ids")
-                x = np.frombuffer(row["c_vectors"]).reshape(len(ids), dim)
-                zones = [np.frombuffer(row[c]).reshape(row["blocks"], dim) for c in ("low", "high")]
-                hit = _meets(a, *zones, wanted)
-                need, block = np.flatnonzero(hit.any(axis=1)), np.repeat(hit.any(axis=0), row["block"])[:len(ids)]
-                made = scores(a[need], x[block])
-                parts = [_highest(made, ids[block],
-                                  (made >= wanted[0][need, w, None]) & (made <= wanted[1][need, w, None]),
-                                  need * wanted[0].shape[1] + w, POSITIVES if how == "positives" else NEGATIVES)
-                         for w in range(wanted[0].shape[1])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["grp"]]), *_binary(*(np.concatenate(p) for p in zip(*parts, strict=True)))],
-                    ["grp", "r", "ids", "scores"])
+        for row in _asked(batches, ["blocks", "block", "c_ids", "c_vectors", "low", "high"]):
+            n, dim = len(_array(row, "anchors")), row["dim"]
+            a, wanted = _vectors(row, "vectors", n), _wanted(row, n, how)
+            ids = _array(row, "c_ids")
+            x = np.frombuffer(row["c_vectors"]).reshape(len(ids), dim)
+            zones = [np.frombuffer(row[c]).reshape(row["blocks"], dim) for c in ("low", "high")]
+            hit = _meets(a, *zones, wanted)
+            need, block = np.flatnonzero(hit.any(axis=1)), np.repeat(hit.any(axis=0), row["block"])[:len(ids)]
+            made = scores(a[need], x[block])
+            parts = [_highest(made, ids[block], (made >= wanted[0][need, w, None]) & (made <= wanted[1][need, w, None]),
+                              need * wanted[0].shape[1] + w, POSITIVES if how == "positives" else NEGATIVES)
+                     for w in range(wanted[0].shape[1])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["grp"]]), *_binary(*(np.concatenate(p) for p in zip(*parts, strict=True)))],
+                ["grp", "r", "ids", "scores"])
 
     return run
 
@@ -337,19 +358,19 @@ def _merged(k: int):
 def _searched(groups: DataFrame, chunks: DataFrame, sheets: DataFrame, how: str, k: int) -> DataFrame:
     """The merged results (grp, r, ids, scores) of the chunks that each group has to read."""
     spark = groups.sparkSession
-    lanes = max(1, min(partitions(spark), sheets.count()))
-    asked = groups.select("*", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"))
-    laid = sheets.withColumn("lane", F.pmod("sheet", F.lit(lanes)).cast("int")).withColumnRenamed("dim", "sheet_dim")
-    # each group meets every sheet of its lane once: the stated anchors against zone maps, not rows
-    met = asked.join(laid, (asked["lane"] == laid["lane"]) & (asked["dim"] == laid["sheet_dim"])
-                     & ((asked["label"] == laid["sheet_label"]) if how == "positives"
-                        else (asked["label"] != laid["sheet_label"])))
-    pairs = cut(met.select("grp", "dim", "anchors", "vectors", "r", "scores", "chunks", "sizes", "low", "high")
+    body = groups.select("grp", "dim", "label", "anchors", "vectors", "r", "scores")
+    names = sheets.select("sheet", F.col("dim").alias("sheet_dim"), "sheet_label")
+    # each group meets the sheets of its dimension: the stated anchors against zone maps, not rows
+    names = F.broadcast(names) if sheets.count() <= BROADCAST_SHEETS else names
+    asking = body.join(names, (body["dim"] == names["sheet_dim"])
+                       & ((body["label"] == names["sheet_label"]) if how == "positives"
+                          else (body["label"] != names["sheet_label"]))).drop("sheet_dim", "sheet_label", "label")
+    pairs = cut(_beside(sheets.select("sheet", "chunks", "sizes", "low", "high"), asking, "sheet")
                 .mapInArrow(_chosen(how), "grp long, chunk long"))
-    body = chunks.select("chunk", "blocks", "block", F.col("ids").alias("c_ids"), F.col("vectors").alias("c_vectors"), "low", "high")
-    read = (pairs.join(groups.select("grp", "dim", "anchors", "vectors", "r", "scores"), "grp").join(body, "chunk")
-            .select("grp", "dim", "anchors", "vectors", "r", "scores", "blocks", "block", "c_ids", "c_vectors", "low", "high"))
-    parts = read.mapInArrow(_scored(how), "grp long, r binary, ids binary, scores binary")
+    read = (chunks.select("chunk", "blocks", "block", F.col("ids").alias("c_ids"), F.col("vectors").alias("c_vectors"),
+                          "low", "high").join(pairs.select("chunk").distinct(), "chunk", "left_semi"))
+    parts = (_beside(read, pairs.join(body.drop("label"), "grp"), "chunk")
+             .mapInArrow(_scored(how), "grp long, r binary, ids binary, scores binary"))
     if how == "positives":
         parts = parts.unionByName(groups.select("grp", "r", "ids", "scores"))
     return (parts.repartition(partitions(spark), "grp").sortWithinPartitions("grp")
