@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -140,23 +141,35 @@ def vocabulary_diff(df: DataFrame, column: str, allowed: Sequence[str],
 
 # ---- prevent: CHECK on write ---------------------------------------------------------------
 
-# An answer that depends on time, chance, other rows or the caller cannot be a CHECK.
-_UNSTABLE = re.compile(
-    r"\b(current_date|current_timestamp|curdate|now|localtimestamp|unix_timestamp|rand|randn|"
-    r"random|uuid|shuffle|monotonically_increasing_id|spark_partition_id|input_file_name|"
-    r"current_user|session_user|user|count|count_if|sum|avg|mean|min|max|collect_list|"
-    r"collect_set|row_number|rank|dense_rank|lag|lead|first|first_value|last|last_value|any_value|"
-    r"percentile\w*|approx_\w+|uniform|randstr|mode|median|bool_and|bool_or|every|some|stddev\w*|var\w*)\s*\(|\bover\b|\bselect\b|"
-    r"\bcurrent_(date|timestamp|user)\b", re.IGNORECASE)
-
-
-def validate_constraint(rule: Constraint) -> Constraint:
-    text = re.sub(r"'[^']*'", "''", rule.expr)
-    found = _UNSTABLE.search(text)
-    if found:
-        raise UnsafeConstraint(
-            f"CHECK {rule.name} uses {found.group(0).strip()!r}: only deterministic "
-            "expressions over one row are allowed")
+def _condition(df: DataFrame, expression: str):
+    """The predicate as Spark resolves it against the columns of `df`; nothing is run."""
+    return df.where(F.expr(expression))._jdf.queryExecution().analyzed().condition()
+
+
+def columns_read(df: DataFrame, expression: str) -> set[str]:
+    """Lower-case names of the columns that a predicate reads, by its resolved references: a name in
+    a text literal or a field of a struct is none."""
+    found = _condition(df, expression).references().toSeq()
+    return {found.apply(i).name().lower() for i in range(found.size())}
+
+
+def validate_constraint(rule: Constraint, df: DataFrame) -> Constraint:
+    """A CHECK may look at one row only. The resolved predicate tells what it does: an answer that
+    depends on chance or on where it runs is marked nondeterministic, one that depends on time, user
+    or session carries the mark of the values that Spark fills in per query, subqueries are plans,
+    and aggregates and windows do not resolve in a predicate. No function is known by its name."""
+    try:
+        found = _condition(df, rule.expr)
+    except AnalysisException as wrong:
+        raise UnsafeConstraint(f"CHECK {rule.name} is no predicate over one row: {wrong}") from wrong
+    pattern = df.sparkSession._jvm.org.apache.spark.sql.catalyst.trees.TreePattern
+    faults = {"chance or place": not found.deterministic(),
+              "time, user or session": found.containsPattern(pattern.CURRENT_LIKE()),
+              "other rows": found.containsPattern(pattern.PLAN_EXPRESSION())}
+    if any(faults.values()):
+        raise UnsafeConstraint(f"CHECK {rule.name} ({rule.expr}) depends on "
+                               f"{', '.join(k for k, v in faults.items() if v)}: only deterministic "
+                               "expressions over one row are allowed")
     return rule
 
 
@@ -169,7 +182,7 @@ def violation_aggregates(df: DataFrame, rules: Sequence[Constraint]) -> list[Col
     row = F.to_json(F.struct(*df.columns))
     out = []
     for i, rule in enumerate(rules):
-        bad = _broken(validate_constraint(rule).expr)
+        bad = _broken(validate_constraint(rule, df).expr)
         out += [F.count_if(bad).alias(f"n{i}"), F.min(F.when(bad, row)).alias(f"sample{i}")]
     return out
 
@@ -196,7 +209,7 @@ def counted(df: DataFrame, rules: Sequence[Constraint]) -> dict:
     """`rows` of a frame whose rules all hold, from one scan of the rules' columns; else raise, for
     which one offending row is fetched (actions)."""
     found = df.agg(F.count(F.lit(1)).alias("rows"),
-                   *[F.count_if(_broken(validate_constraint(r).expr)).alias(f"n{i}")
+                   *[F.count_if(_broken(validate_constraint(r, df).expr)).alias(f"n{i}")
                      for i, r in enumerate(rules)]).first().asDict()
     if any(found[f"n{i}"] for i in range(len(rules))):
         enforce(df, rules)

@@ -22,7 +22,7 @@ from govlake.functions.rows import literal
 from govlake.functions.values import as_time
 from govlake.operators import anonymize, gold, lineage, policy, quality, silver, tags
 from govlake.plans import suite
-from govlake.plans.publish import COLUMN_LINEAGE, LINEAGE, RULES, TAGS, Lake, RunReport, publish
+from govlake.plans.publish import COLUMN_LINEAGE, LINEAGE, RULES, TAGS, Lake, RunReport, publish, tag_tables
 from govlake.principal import Principal, require_exempt
 
 
@@ -44,9 +44,9 @@ class Build:
         """Tag, publish with its CHECK rules, describe, record lineage; return the table.
 
         A column comes from the column of its name in each source, or from the one `renamed` gives."""
-        self.tags[table] = design.column_tags(table)
+        self.tags[table] = policy.tags_of(self.lake.held(TAGS), table)
         fresh = not self.lake.exists(table)
-        self.reports[table] = publish(self.lake, df, table, self.principal, CONSTRAINTS)
+        self.reports[table] = publish(self.lake, df, table, self.principal)
         if fresh:
             self.lake.describe(table, {c: design.DESCRIPTIONS[c] for c in design.TABLES[table]})
         origins = {s: design.TABLES[s] for s in sources if s in design.TABLES}
@@ -58,28 +58,28 @@ class Build:
         return self.lake.read(table)
 
     def open_books(self) -> None:
-        """Store the designed tags and CHECK rules before anything is published."""
-        held = [r for t in design.TABLES for r in self.lake.rules(t)]
-        self.lake.keep(TAGS, tags.designed_tags(self.lake.spark))
-        self.lake.keep(RULES, quality.constraint_rows(
-            self.lake.spark, [*held, *(r for r in CONSTRAINTS if r not in held)]))
+        """Store the designed tags and CHECK rules before anything is published.
+
+        Only what the lake has never known is added: a tag that a steward changed or removed, a rule
+        that was dropped and the rules of other tables stay as they are."""
+        self.lake.note_new(TAGS, tags.designed_tags(self.lake.spark))
+        self.lake.note_new(RULES, quality.constraint_rows(self.lake.spark, CONSTRAINTS))
 
     def close_books(self) -> None:
-        """Add this run's lineage to the history."""
-        self.lake.keep(LINEAGE, self.edges, add=True)
-        self.lake.keep(COLUMN_LINEAGE, self.column_edges.withColumn("event_time", as_time(self.at)), add=True)
+        """Add this run's lineage to the history, and the tables' own tags."""
+        self.lake.note(LINEAGE, self.edges)
+        self.lake.note(COLUMN_LINEAGE, self.column_edges.withColumn("event_time", as_time(self.at)))
+        tag_tables(self.lake)
 
     def meta(self, privileges: DataFrame) -> suite.Meta:
-        """The metadata of what was built, read back from the session catalog.
+        """The metadata of what was built, read back from the lake's books.
 
         Ownership follows the builder's group, except where the design names an exception; tags
-        are those registered during the build, functions those created in governance.
+        and rules are those stored with the lake, functions those created in governance.
         """
         spark = self.lake.spark
         owner = F.when(F.col("table_name").isin(list(design.OWNER_EXCEPTIONS)), "platform").otherwise(
             design.OWNERS)
-        tagged = [(*t.split("."), c, k, v) for t, columns in self.tags.items()
-                  for c, found in columns.items() for k, v in found.items()]
         functions = [(f.name,) for f in spark.catalog.listFunctions(f"{self.lake.env}governance")
                      if not f.isTemporary and f.name in FUNCTIONS]
         return suite.Meta(
@@ -87,10 +87,10 @@ class Build:
             tables=self.lake.objects(*design.LAYERS).select(
                 F.lit(design.CATALOG).alias("table_catalog"), "*", owner.alias("table_owner")),
             columns=self.lake.columns(*design.LAYERS),
-            column_tags=literal(spark, tagged, tags.TAG_SCHEMA),
+            column_tags=self.lake.held(TAGS),
             privileges=privileges,
             routines=literal(spark, functions, "routine_name string"),
-            constraints=quality.constraint_rows(spark, CONSTRAINTS))
+            constraints=self.lake.held(RULES))
 
     def catalog(self) -> policy.GovernedCatalog:
         return policy.GovernedCatalog({t: self.lake.read(t) for t in self.tags}, dict(self.tags))
@@ -99,7 +99,7 @@ class Build:
 def reopen(lake: Lake) -> policy.GovernedCatalog:
     """The governed catalog of a lake built in any session, from the tags stored with it."""
     return policy.GovernedCatalog({t: lake.read(t) for t in design.TABLES if lake.exists(t)},
-                                  policy.StoredTags(lake.read(TAGS)))
+                                  policy.StoredTags(lake.held(TAGS)))
 
 
 def run(lake: Lake, bronze_customers: DataFrame, bronze_orders: DataFrame, principal: Principal,
@@ -149,7 +149,7 @@ def run(lake: Lake, bronze_customers: DataFrame, bronze_orders: DataFrame, princ
 def _audit_view(b: Build, source: str) -> None:
     """The audit view over a stored event table; a view is tagged but carries no mask."""
     name = "governance.audit_log"
-    b.tags[name] = design.column_tags(name)
+    b.tags[name] = policy.tags_of(b.lake.held(TAGS), name)
     b.lake.create_view(name, f"""
         SELECT event_time, user_identity.email, service_name, action_name, request_params,
                response.status_code

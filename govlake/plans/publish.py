@@ -7,12 +7,17 @@ RULES and read by every write, whoever calls it. Readers of the old version keep
 old versions is left to the platform's retention job.
 
 Every step requires an exempt principal: a masked identity would store masked values.
+
+What a lake knows about itself (objects, columns, tags, rules, lineage) is kept in books: rows under
+its root that are only ever appended, each writer to a folder of its own, so writers never lose each
+other's rows and no row passes one task. A state is the last row of each key; a removed tag or rule
+is a row too, which is how a build knows that it must not come back.
 """
 
 from __future__ import annotations
 
 import posixpath
-import re
+import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -22,14 +27,31 @@ from pyspark.sql import functions as F
 
 from govlake.design import Constraint, Expectation
 from govlake.functions.rows import literal
-from govlake.operators import evolve, quality
+from govlake.operators import evolve, quality, tags
 from govlake.principal import Principal, require_exempt
 
 
 # where a lake keeps its own metadata as rows, outside the layers: it outlives the session
 BOOKS = "bookkeeping"
-RULES, TAGS = f"{BOOKS}.table_rules", f"{BOOKS}.column_tags"
+RULES, TAGS, TABLE_TAGS = f"{BOOKS}.table_rules", f"{BOOKS}.column_tags", f"{BOOKS}.table_tags"
 LINEAGE, COLUMN_LINEAGE = f"{BOOKS}.lineage", f"{BOOKS}.column_lineage"
+OBJECTS, COLUMNS = f"{BOOKS}.objects", f"{BOOKS}.columns"
+_OBJECT = "table_schema string, table_name string"
+#: Columns of each book, and those that name a thing; a book without any is a history.
+_BOOK = {
+    RULES: ("table_name string, constraint_name string, expression string", ["table_name", "constraint_name"]),
+    TAGS: (f"{_OBJECT}, column_name string, tag_name string, tag_value string",
+           ["table_schema", "table_name", "column_name", "tag_name"]),
+    TABLE_TAGS: (f"{_OBJECT}, tag_name string, tag_value string", ["table_schema", "table_name", "tag_name"]),
+    OBJECTS: (f"{_OBJECT}, table_type string", ["table_schema", "table_name"]),
+    COLUMNS: (f"{_OBJECT}, column_name string, data_type string, comment string",
+              ["table_schema", "table_name", "column_name"]),
+    LINEAGE: ("source_table string, source_path string, source_type string, target_schema string, "
+              "target_table string, event_time timestamp", []),
+    COLUMN_LINEAGE: ("source_table string, source_column string, target_table string, target_column string, "
+                     "event_time timestamp", []),
+}
+_STAMP = "_at bigint, _gone boolean"
 
 
 class SchemaMismatch(ValueError):
@@ -51,6 +73,11 @@ def _name(table: str, env: str = "") -> str:
     return f"`{env}{schema}`.`{name}`"
 
 
+def _is(table: str) -> Column:
+    schema, name = table.split(".")
+    return (F.col("table_schema") == schema) & (F.col("table_name") == name)
+
+
 @dataclass(frozen=True)
 class Lake:
     """Databases under one root folder; `env` prefixes database names (one per environment)."""
@@ -72,10 +99,15 @@ class Lake:
         self.spark.sql(f"DROP DATABASE {self.database(schema)} RESTRICT")
 
     def exists(self, table: str) -> bool:
+        if table in _BOOK:
+            return self._is_folder(self._place(table))
         schema, name = table.split(".")
         return self.spark.catalog.tableExists(f"{self.database(schema)}.`{name}`")
 
     def read(self, table: str) -> DataFrame:
+        """A table; of a book what it holds now, or all its rows where it is a history."""
+        if table in _BOOK:
+            return self.held(table) if _BOOK[table][1] else self.noted(table).drop("_at", "_gone")
         return self.spark.table(_name(table, self.env))
 
     def create_view(self, view: str, query: str, comments: Mapping[str, str]) -> None:
@@ -83,39 +115,74 @@ class Lake:
         listed = ", ".join(f"`{c}` COMMENT '{text.replace(chr(39), chr(39) * 2)}'"
                            for c, text in comments.items())
         self.spark.sql(f"CREATE OR REPLACE VIEW {_name(view, self.env)} ({listed}) AS {query}")
+        self._record(view, "VIEW", comments)
 
     def drop(self, table: str) -> None:
+        """Remove a table from the catalog and from the books; its files, tags and rules stay."""
         self.spark.sql(f"DROP TABLE {_name(table, self.env)}")
+        for book in (OBJECTS, COLUMNS):
+            self.note(book, self.held(book).where(_is(table)), gone=True)
 
     def objects(self, *schemas: str) -> DataFrame:
-        """Objects per schema, for a before/after comparison by name."""
-        rows = [(s, t.name, t.tableType) for s in schemas
-                for t in self.spark.catalog.listTables(f"{self.env}{s}") if not t.isTemporary]
-        return literal(self.spark, rows,
-                       "table_schema string, table_name string, table_type string")
+        """Objects per schema, for a before/after comparison by name; from the books, however many."""
+        return self.held(OBJECTS).where(F.col("table_schema").isin(list(schemas)))
 
     def columns(self, *schemas: str) -> DataFrame:
-        """Columns of the listed schemas with their comments, as the catalog stores them."""
-        rows = [(s, t.name, c.name, c.dataType.upper(), c.description)
-                for s in schemas for t in self.spark.catalog.listTables(f"{self.env}{s}")
-                if not t.isTemporary
-                for c in self.spark.catalog.listColumns(f"{self.database(s)}.`{t.name}`")]
-        return literal(self.spark, rows, "table_schema string, table_name string, "
-                       "column_name string, data_type string, comment string")
+        """Columns of the listed schemas with their types and comments, from the books."""
+        return self.held(COLUMNS).where(F.col("table_schema").isin(list(schemas)))
 
     def rules(self, table: str) -> list[Constraint]:
         """The CHECK rules bound to a table; a handful, read for each write to it."""
-        if not self.exists(RULES):
-            return []
-        kept = self.read(RULES).where(F.col("table_name") == table).orderBy("constraint_name")
+        kept = self.held(RULES).where(F.col("table_name") == table).orderBy("constraint_name")
         return [Constraint(r.constraint_name, r.table_name, r.expression) for r in kept.collect()]
 
-    def keep(self, book: str, rows: DataFrame, add: bool = False) -> None:
-        """Store rows of metadata; with `add`, behind those stored before."""
-        self.create_schemas(BOOKS)
-        if add and self.exists(book):
-            rows = self.read(book).unionByName(rows)
-        self._swap(book, self._stage(book, rows.coalesce(1)))
+    # ---- books ---------------------------------------------------------------------------
+
+    def _place(self, book: str) -> str:
+        return posixpath.join(self.root, *book.split("."))
+
+    def note(self, book: str, rows: DataFrame, gone: bool = False) -> None:
+        """Append rows to a book (action), in a folder of this writer alone; with `gone` they say that
+        their keys hold nothing any more."""
+        now = time.time_ns()
+        columns = [c.split()[0] for c in _BOOK[book][0].split(", ")]
+        (rows.select(*columns).withColumn("_at", F.lit(now)).withColumn("_gone", F.lit(gone))
+         .write.mode("errorifexists").parquet(f"{self._place(book)}/run={now}-{uuid.uuid4().hex}"))
+
+    def noted(self, book: str) -> DataFrame:
+        """All rows ever appended, with `_at` and `_gone`; none where nothing was."""
+        kind = f"{_BOOK[book][0]}, {_STAMP}"
+        if not self._is_folder(self._place(book)):
+            return self.spark.createDataFrame([], kind)
+        return self.spark.read.schema(kind).parquet(self._place(book)).drop("run")
+
+    def held(self, book: str) -> DataFrame:
+        """What a book says now: the last row of each key, unless that is a removal. Combined
+        map-side, so a key noted a million times costs one row per task."""
+        kind, keys = _BOOK[book]
+        rest = [c.split()[0] for c in kind.split(", ") if c.split()[0] not in keys]
+        last = self.noted(book).groupBy(*keys).agg(F.max(F.struct("_at", "_gone", *rest)).alias("_last"))
+        return last.where("not _last._gone").select(*keys, *(F.col(f"_last.{c}").alias(c) for c in rest))
+
+    def note_new(self, book: str, rows: DataFrame) -> None:
+        """Note the rows whose keys the book has never seen, removed ones included (action)."""
+        keys = _BOOK[book][1]
+        new = rows.join(self.noted(book).select(*keys).distinct(), keys, "left_anti")
+        if not new.isEmpty():
+            self.note(book, new)
+
+    def _record(self, table: str, kind: str, comments: Mapping[str, str] | None = None) -> None:
+        """Note a new object and its columns."""
+        schema, name = table.split(".")
+        self.note(OBJECTS, literal(self.spark, [(schema, name, kind)], _BOOK[OBJECTS][0]))
+        self.note(COLUMNS, literal(self.spark, [
+            (schema, name, f.name, f.dataType.simpleString().upper(), (comments or {}).get(f.name))
+            for f in self.read(table).schema.fields], _BOOK[COLUMNS][0]))
+
+    def _is_folder(self, path: str) -> bool:
+        jvm = self.spark._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
 
     def delete_folder(self, path: str) -> None:
         """Remove a folder that no table points to."""
@@ -133,6 +200,9 @@ class Lake:
             text = text.replace("'", "''")
             self.spark.sql(f"ALTER TABLE {_name(table, self.env)} ALTER COLUMN `{column}` "
                            f"COMMENT '{text}'")
+        said = F.create_map(*(F.lit(x) for pair in comments.items() for x in pair))
+        now = self.held(COLUMNS).where(_is(table) & F.col("column_name").isin(list(comments)))
+        self.note(COLUMNS, now.withColumn("comment", said[F.col("column_name")]))
 
     # ---- staging -------------------------------------------------------------------------
 
@@ -145,6 +215,7 @@ class Lake:
         if not self.exists(table):
             self.spark.sql(f"CREATE TABLE {_name(table, self.env)} USING parquet "
                            f"LOCATION '{version}'")
+            self._record(table, "MANAGED")
         else:
             self.spark.sql(f"ALTER TABLE {_name(table, self.env)} SET LOCATION '{version}'")
         self.spark.catalog.refreshTable(_name(table, self.env))
@@ -169,22 +240,48 @@ def add_constraint(lake: Lake, rule: Constraint, principal: Principal) -> None:
     """Bind a CHECK rule to its table (action). Rows already stored must pass; from then on every
     write has to. A second rule of one name on a table is refused."""
     require_exempt(principal)
-    quality.validate_constraint(rule)
     if any(r.name == rule.name for r in lake.rules(rule.table)):
         raise ValueError(f"{rule.table} has a CHECK named {rule.name} already")
-    if lake.exists(rule.table):
+    if lake.exists(rule.table):  # a rule for a table to come is resolved by the first write
         quality.enforce(lake.read(rule.table), [rule])
-    new = quality.constraint_rows(lake.spark, [rule])
-    lake.keep(RULES, new, add=True)
+    lake.note(RULES, quality.constraint_rows(lake.spark, [rule]))
 
 
 def drop_constraint(lake: Lake, table: str, name: str, principal: Principal) -> None:
-    """Unbind a rule; later writes are no longer held to it (action)."""
+    """Unbind a rule; later writes are no longer held to it, and no later build binds it again
+    (action)."""
     require_exempt(principal)
-    if not any(r.name == name for r in lake.rules(table)):
+    gone = [r for r in lake.rules(table) if r.name == name]
+    if not gone:
         raise ValueError(f"{table} has no CHECK named {name}")
-    gone = (F.col("table_name") == table) & (F.col("constraint_name") == name)
-    lake.keep(RULES, lake.read(RULES).where(~gone))
+    lake.note(RULES, quality.constraint_rows(lake.spark, gone), gone=True)
+
+
+def tag(lake: Lake, table: str, column: str, values: Mapping[str, str], principal: Principal) -> None:
+    """Set tags of a column in the lake's book (action); values have to be in the vocabulary."""
+    require_exempt(principal)
+    tags.require_allowed(values)
+    lake.note(TAGS, literal(lake.spark, [(*table.split("."), column, k, v) for k, v in values.items()], tags.TAG_SCHEMA))
+
+
+def untag(lake: Lake, table: str, column: str, names: Sequence[str], principal: Principal) -> None:
+    """Remove tags of a column (action); a later build does not set them again."""
+    require_exempt(principal)
+    lake.note(TAGS, literal(lake.spark, [(*table.split("."), column, k, None) for k in names], tags.TAG_SCHEMA), gone=True)
+
+
+def tag_tables(lake: Lake) -> None:
+    """Store each table's sensitivity, the highest of its columns', as a table tag (action). Tables
+    whose stored tag says so already get no new row, and one without a classified column loses it."""
+    now = tags.table_sensitivity(lake.held(TAGS)).select(
+        "table_schema", "table_name", F.lit("sensitivity").alias("tag_name"), F.col("classification").alias("tag_value"))
+    kept = lake.held(TABLE_TAGS)
+    keys = _BOOK[TABLE_TAGS][1]
+    new = now.join(kept, [*keys, "tag_value"], "left_anti")
+    old = kept.where(F.col("tag_name") == "sensitivity").join(now, keys, "left_anti")
+    for rows, gone in ((new, False), (old, True)):
+        if not rows.isEmpty():
+            lake.note(TABLE_TAGS, rows, gone)
 
 
 def _rules(lake: Lake, table: str, more: Sequence[Constraint]) -> list[Constraint]:
@@ -287,7 +384,8 @@ def add_column(lake: Lake, table: str, column: str, value: Column,
 
 def drop_column(lake: Lake, table: str, column: str, principal: Principal) -> RunReport:
     evolve.require_column(lake.read(table), column)
-    held = [r.name for r in lake.rules(table) if re.search(rf"\b{re.escape(column)}\b", r.expr)]
+    df = lake.read(table)
+    held = [r.name for r in lake.rules(table) if column.lower() in quality.columns_read(df, r.expr)]
     if held:
         raise ValueError(f"{column} of {table} is read by CHECK {', '.join(held)}: drop those first")
     return rewrite(lake, table, lambda df: df.drop(column), principal)
