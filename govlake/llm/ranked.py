@@ -1,11 +1,13 @@
 """Ranked lexical search over bit-sliced Bloom signatures.
 
-The index is a table of blocks. A block holds up to DOCS documents; for each of BITS positions it
-has a slice, the bitmap of the documents whose signature sets that position. A term sets HASHES
-positions, and again, under other hashes, for every power of two up to its occurrences. The slices
-of a term, and-ed, are a bitmap of the documents that may hold the term so often: it may name too
-many documents, never too few. So the weighted sum over an item's terms of the most they can add is
-an upper bound of each document's score, made for a whole block at a time.
+The index is a table of blocks. A block has up to ROWS rows, one or several to a document, so that
+no row has much more than FULL terms and long documents do not fill their signatures: a term's
+hash says which of its document's rows it is in. For each of BITS positions a block has a slice, the
+bitmap of the rows that set that position. A term sets HASHES positions, and again, under other
+hashes, for every power of two up to its occurrences. The slices of a term, and-ed, are a bitmap of
+the rows that may hold the term so often: it may name too many, never too few. So the weighted sum
+over an item's terms of the most they can add is an upper bound of each document's score, made for
+a whole block at a time.
 
 The documents of highest bounds are scored exactly first, which gives each item a score to beat.
 Then every document whose bound reaches it is scored exactly; all others are proven too low.
@@ -29,17 +31,19 @@ from .shared import cut, folder, text_of
 
 TOP = 50
 BITS, HASHES = 8192, 2
-#: Occurrences that have keys of their own: 1, 2, 4, 8, ...
+#: Terms of a row, about; a document has a power of two of rows.
+FULL = 512
+#: Occurrences that have positions of their own: 1, 2, 4, 8, ...
 LEVELS = 8
-#: A block is closed at so many documents or bytes of text.
-DOCS, TEXT_BYTES = 2048, 16 << 20
+#: A block is closed at so many rows or bytes of text.
+ROWS, TEXT_BYTES = 1024, 4 << 20
 #: Words of items that are searched together; more items mean more passes over the index.
 BATCH_WORDS = 50_000
-_REMEMBERED = 500_000
+_REMEMBERED = 200_000
 #: ASCII letters and digits stay (A-Z in lower case), all other ASCII parts terms; others stay.
 _FOLD = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256)).translate(
     bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123))))
-_BLOCK = ("part int, number long, docs int, doc_ids array<long>, lengths binary, most binary, slices binary, "
+_BLOCK = ("part int, number long, docs int, doc_ids array<long>, lengths binary, most binary, rows binary, slices binary, "
           "texts array<binary>, held binary")
 
 
@@ -48,61 +52,96 @@ def terms(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_FOLD).split()
 
 
-class _Positions(dict):
-    """(term, level) -> a number whose digits are the positions; level 0 is one occurrence."""
+class _Hashes(dict):
+    """Term -> its 64-bit hash; a bounded memory."""
 
-    def __missing__(self, key: tuple[bytes, int]) -> int:
-        term, level = key
-        made = xxhash.xxh64_intdigest(term, level)
+    def __missing__(self, term: bytes) -> int:
+        made = xxhash.xxh64_intdigest(term)
         if len(term) <= 64:
             if len(self) >= _REMEMBERED:
                 self.clear()
-            self[key] = made
+            self[term] = made
         return made
 
 
 @functools.lru_cache(maxsize=1)
-def _positions() -> _Positions:
-    return _Positions()
-
-
-def digits(hashes: np.ndarray, bits: int = BITS) -> np.ndarray:
-    """HASHES positions of each 64-bit hash."""
-    return np.stack([(hashes >> np.uint64(20 * k)) % np.uint64(bits) for k in range(HASHES)], axis=-1).astype(np.int64)
-
-
-def signature(counts: Counter, bits: int = BITS) -> np.ndarray:
-    """Positions that a document's terms set."""
-    known = _positions()
-    keys = [known[t, 0] for t in counts]
-    keys += [known[t, k] for t, n in counts.items() if n > 1 for k in range(1, min(n.bit_length(), LEVELS))]
-    return np.unique(digits(np.array(keys, np.uint64), bits))
-
-
-def _blocks(wanted: list[bytes], width: int, docs: int):
+def _hashes() -> _Hashes:
+    return _Hashes()
+
+
+def positions(hashes: np.ndarray, level: int, bits: int) -> np.ndarray:
+    """HASHES positions of terms at a level, from their hashes."""
+    with np.errstate(over="ignore"):
+        x = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(level + 1) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(32)
+    return np.stack([(x >> np.uint64(20 * k)) % np.uint64(bits) for k in range(HASHES)], axis=-1).astype(np.int64)
+
+
+def rows_of(kinds: int, full: int) -> int:
+    """Rows of a document with so many different terms."""
+    return 1 << max(0, (kinds - 1) // full).bit_length()
+
+
+class Block:
+    """The documents of a block while they are gathered."""
+
+    def __init__(self, bits: int, full: int):
+        self.bits, self.full = bits, full
+        self.ids: list = []
+        self.texts: list[bytes] = []
+        self.lengths: list[int] = []
+        self.most: list[int] = []
+        self.rows: list[int] = []
+        self.hashes: list[np.ndarray] = []
+        self.times: list[np.ndarray] = []
+        self.filled = self.size = 0
+
+    def add(self, name, raw: bytes, counts: Counter) -> None:
+        known = _hashes()
+        self.ids.append(name)
+        self.texts.append(raw)
+        self.hashes.append(np.fromiter(map(known.__getitem__, counts), np.uint64, len(counts)))
+        self.times.append(np.fromiter(counts.values(), np.int64, len(counts)))
+        self.lengths.append(counts.total())
+        self.most.append(int(self.times[-1].max()))
+        self.rows.append(rows_of(len(counts), self.full))
+        self.filled += self.rows[-1]
+        self.size += len(raw)
+
+    def slices(self) -> np.ndarray:
+        """Per position the bitmap of the rows that set it."""
+        rows = np.array(self.rows, np.int64)
+        n = [len(h) for h in self.hashes]
+        hashes, times = np.concatenate(self.hashes), np.concatenate(self.times)
+        row = np.repeat(np.cumsum(rows) - rows, n) + (hashes & np.repeat(rows - 1, n).astype(np.uint64)).astype(np.int64)
+        set_ = np.zeros((self.bits, self.filled), bool)
+        for level in range(LEVELS):
+            often = times >= 1 << level
+            for at in positions(hashes[often], level, self.bits).T:
+                set_[at, row[often]] = True
+        return np.packbits(set_, axis=1, bitorder="little")
+
+
+def _blocks(wanted: list[bytes], bits: int, rows: int, full: int):
     """Documents -> blocks of the index. `held` counts, for each wanted term, the documents that hold it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {t: k for k, t in enumerate(wanted)}
+        asked = frozenset(wanted)
         part, number = TaskContext.get().partitionId(), 0
-        ids: list = []
-        texts: list[bytes] = []
-        lengths, most, size = [], [], 0
-        bits = np.zeros((width, docs), bool)
-        held = np.zeros(len(wanted), np.int64)
+        now, held = Block(bits, full), np.zeros(len(wanted), np.int64)
 
         def closed() -> pa.RecordBatch:
-            nonlocal number, ids, texts, lengths, most, size
-            slices = np.packbits(bits[:, :len(ids)], axis=1, bitorder="little")
+            nonlocal number, now
+            numbers = (np.array(x, np.int64) for x in (now.lengths, now.most, now.rows))
             out = pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([number]), pa.array([len(ids)], pa.int32()),
-                 pa.array([ids], pa.list_(pa.int64())),
-                 *(pa.array([x], pa.binary()) for x in (np.array(lengths, np.int64).tobytes(),
-                                                        np.array(most, np.int64).tobytes(), slices.tobytes())),
-                 pa.array([texts], pa.list_(pa.binary())), pa.array([held.tobytes()], pa.binary())],
-                ["part", "number", "docs", "doc_ids", "lengths", "most", "slices", "texts", "held"])
-            number, ids, texts, lengths, most, size = number + 1, [], [], [], [], 0
-            bits[:] = False
+                [pa.array([part], pa.int32()), pa.array([number]), pa.array([len(now.ids)], pa.int32()),
+                 pa.array([now.ids], pa.list_(pa.int64())),
+                 *(pa.array([x.tobytes()], pa.binary()) for x in (*numbers, now.slices())),
+                 pa.array([now.texts], pa.list_(pa.binary())), pa.array([held.tobytes()], pa.binary())],
+                ["part", "number", "docs", "doc_ids", "lengths", "most", "rows", "slices", "texts", "held"])
+            number, now = number + 1, Block(bits, full)
             held[:] = 0
             return out
 
@@ -112,17 +151,12 @@ def _blocks(wanted: list[bytes], width: int, docs: int):
                 counts = Counter(raw.translate(_FOLD).split())
                 if not counts:
                     continue  # a document without terms is no document of the statistics and has no score
-                bits[signature(counts, width), len(ids)] = True
-                for t in counts.keys() & place.keys():
-                    held[place[t]] += 1
-                ids.append(name)
-                texts.append(raw)
-                lengths.append(counts.total())
-                most.append(max(counts.values()))
-                size += len(raw)
-                if len(ids) == docs or size >= TEXT_BYTES:
+                found = [place[t] for t in asked.intersection(counts)]
+                held[found] += 1
+                now.add(name, raw, counts)
+                if now.filled >= rows or now.size >= TEXT_BYTES:
                     yield closed()
-        if ids:
+        if now.ids:
             yield closed()
 
     return run
@@ -152,41 +186,56 @@ class Query:
         self.items = [np.array(sorted(place[t] for t in w), np.int64) for w in words]
         self.known, self.weights, self.docs, self.total, self.bits = known, weights, docs, total, bits
 
+    @functools.cached_property
+    def hashes(self) -> np.ndarray:
+        return np.array([xxhash.xxh64_intdigest(t) for t in self.known], np.uint64)
+
     @functools.cached_property
     def places(self) -> np.ndarray:
-        """Positions of each term at each level: terms x LEVELS x HASHES."""
-        hashes = [[xxhash.xxh64_intdigest(t, k) for k in range(LEVELS)] for t in self.known]
-        return digits(np.array(hashes, np.uint64).reshape(len(self.known), LEVELS), self.bits)
+        """Positions of each term at each level: LEVELS x terms x HASHES."""
+        return np.array([positions(self.hashes, k, self.bits) for k in range(LEVELS)])
 
     @functools.cached_property
-    def holding(self) -> list[np.ndarray]:
-        """The items that have each term."""
-        out: list[list[int]] = [[] for _ in self.known]
-        for i, item in enumerate(self.items):
-            for t in item.tolist():
-                out[t].append(i)
-        return [np.array(x, np.int64) for x in out]
-
-    def bounds(self, docs: int, lengths: np.ndarray, most: np.ndarray, slices: np.ndarray) -> np.ndarray:
+    def holding(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The items of each term: all in a row, where each term's start, and how many they are."""
+        flat = np.concatenate([*self.items, np.zeros(0, np.int64)])
+        item = np.repeat(np.arange(len(self.items)), [len(x) for x in self.items])
+        count = np.bincount(flat, minlength=len(self.known))
+        return item[np.argsort(flat, kind="stable")], np.cumsum(count) - count, count
+
+    def bounds(self, lengths: np.ndarray, most: np.ndarray, rows: np.ndarray, slices: np.ndarray) -> np.ndarray:
         """An upper bound of each item's score in each document of a block: items x docs."""
         slices = slices.reshape(self.bits, -1)
-        m = damping(lengths, self.docs, self.total)
+        docs, m = len(lengths), damping(lengths, self.docs, self.total)
         # at level k a term occurs less than 2^(k+1) times, and never more than the document's most
         adds = np.array([saturation(np.minimum(most, 2**(k + 1) - 1) if k < LEVELS - 1 else most, m)
                          for k in range(LEVELS)])
-        out = np.zeros((len(self.items), docs), np.int64)
-        for t, holding in enumerate(self.holding):
-            present = np.bitwise_and.reduce(slices[self.places[t, 0]], axis=0)
-            if not present.any():
-                continue
-            column = np.unpackbits(present, count=docs, bitorder="little") * adds[0]
+        doc_of, start = np.repeat(np.arange(docs), rows), np.cumsum(rows) - rows
+        out = np.zeros(len(self.items) * docs)
+        item, first, count = self.holding
+        for at in range(0, len(self.known), 4096):
+            some = slices[self.places[0, at:at + 4096, 0]]
+            for k in range(1, HASHES):
+                some = some & slices[self.places[0, at:at + 4096, k]]
+            t, row = np.nonzero(np.unpackbits(some, axis=1, count=int(rows.sum()), bitorder="little"))
+            t += at
+            doc = doc_of[row]
+            # a term is in one row of its document only
+            own = (self.hashes[t] & (rows[doc] - 1).astype(np.uint64)).astype(np.int64) == row - start[doc]
+            t, row, doc = t[own], row[own], doc[own]
+            level, left = np.zeros(len(t), np.int64), np.arange(len(t))
             for k in range(1, LEVELS):
-                present = present & np.bitwise_and.reduce(slices[self.places[t, k]], axis=0)
-                if not present.any():
-                    break
-                column = np.where(np.unpackbits(present, count=docs, bitorder="little"), adds[k], column)
-            out[holding] += column * self.weights[t]
-        return out
+                more = np.ones(len(left), bool)
+                for j in range(HASHES):
+                    r = row[left]
+                    more &= (slices[self.places[k, t[left], j], r >> 3] >> (r & 7).astype(np.uint8) & 1).astype(bool)
+                left = left[more]
+                level[left] = k
+            value = (adds[level, doc] * self.weights[t]).astype(np.float64)  # sums stay far below 2^53
+            n = count[t]
+            of = np.repeat(first[t] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            out += np.bincount(item[of] * docs + np.repeat(doc, n), weights=np.repeat(value, n), minlength=len(out))
+        return out.reshape(-1, docs).astype(np.int64)
 
     def scores(self, raw: bytes, items: np.ndarray) -> np.ndarray:
         """Exact scores of some items in one document."""
@@ -204,7 +253,7 @@ class Query:
 
 
 def _block_bounds(query: Query, row: dict) -> np.ndarray:
-    return query.bounds(row["docs"], np.frombuffer(row["lengths"], np.int64), np.frombuffer(row["most"], np.int64),
+    return query.bounds(*(np.frombuffer(row[c], np.int64) for c in ("lengths", "most", "rows")),
                         np.frombuffer(row["slices"], np.uint8))
 
 
@@ -287,7 +336,7 @@ def _batches(items: DataFrame, words: int) -> list[DataFrame]:
 
 
 def search(docs: DataFrame, items: DataFrame, top: int = TOP, path: str | None = None, bits: int = BITS,
-           block: int = DOCS, batch_words: int = BATCH_WORDS) -> DataFrame:
+           rows: int = ROWS, full: int = FULL, batch_words: int = BATCH_WORDS) -> DataFrame:
     """item_id, rank (from 1), doc_id, score: each item's `top` documents by score, ties by doc_id.
 
     Null and empty texts have no terms, are not counted and score nothing; items without terms give
@@ -303,16 +352,18 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, path: str | None =
         asked = sorted(((r.item_id, sorted(set(terms(r.text))), xxhash.xxh64_intdigest(r.text)) for r in part.collect()),
                        key=lambda r: (r[0] is None, r[0] or 0, r[2]))
         asked = [r for r in asked if r[1]]
-        found = _searched(docs, asked, top, f"{path}/{k}", bits, block)
+        found = _searched(docs, asked, top, f"{path}/{k}", bits, rows, full)
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _searched(docs: DataFrame, asked: list[tuple], top: int, path: str, bits: int, block: int) -> DataFrame:
+def _searched(docs: DataFrame, asked: list[tuple], top: int, path: str, bits: int, rows: int,
+              full: int) -> DataFrame:
     spark = docs.sparkSession
     known = sorted({t for _, words, _ in asked for t in words})
     (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-     .mapInArrow(_blocks(known, bits, block), _BLOCK).write.option("parquet.block.size", 16 << 20).parquet(path))
+     .mapInArrow(_blocks(known, bits, rows, full), _BLOCK).write.option("parquet.block.size", 16 << 20)
+     .option("parquet.block.size.row.check.min", 1).option("parquet.page.size.row.check.min", 1).parquet(path))
     index = spark.read.parquet(path)
 
     # document frequencies of the asked terms, added up in tasks
@@ -332,20 +383,19 @@ def _searched(docs: DataFrame, asked: list[tuple], top: int, path: str, bits: in
     query = Query([r[0] for r in asked], [r[1] for r in asked], known, weights, n_docs, total, bits)
 
     by_bound = Window.partitionBy("item").orderBy(F.desc("bound"), "part", "number", "at")
-    likely = (index.select("part", "number", "docs", "lengths", "most", "slices")
-              .mapInArrow(_likely(query, top), "item int, bound long, part int, number long, at int")
-              .withColumn("place", F.row_number().over(by_bound)).where(F.col("place") <= top))
+    likely = (index.select("part", "number", "lengths", "most", "rows", "slices")
+              .mapInArrow(_likely(query, 2 * top), "item int, bound long, part int, number long, at int")
+              .withColumn("place", F.row_number().over(by_bound)).where(F.col("place") <= 2 * top))
     pairs = likely.groupBy("part", "number").agg(F.collect_list(F.struct("item", "at")).alias("pairs"))
-    # at most `top` pairs for each item of the part, so the side that is sent is bounded
+    # at most 2 * `top` pairs for each item of the part, so the side that is sent is bounded
     first = (index.select("part", "number", "texts").join(F.broadcast(pairs), ["part", "number"])
              .select("texts", "pairs").mapInArrow(_first(query), "item int, score long"))
-    counted = first.groupBy("item").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
+    ahead = Window.partitionBy("item").orderBy(F.desc("score"))
     beat = np.ones(len(asked), np.int64)
-    for r in counted.collect():
-        if r.n >= top:
-            beat[r.item] = max(1, r.least)
+    for r in first.withColumn("place", F.row_number().over(ahead)).where(F.col("place") == top).collect():
+        beat[r.item] = max(1, r.score)
     by_score = Window.partitionBy("item").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
-    ranked = (index.select("part", "number", "docs", "doc_ids", "lengths", "most", "slices", "texts")
+    ranked = (index.select("doc_ids", "lengths", "most", "rows", "slices", "texts")
               .mapInArrow(_reaching(query, beat), "item int, doc_id long, score long")
               .withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= top))
     names = spark.createDataFrame([(k, n) for k, n in enumerate(query.names)], "item int, item_id long")

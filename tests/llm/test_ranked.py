@@ -57,7 +57,7 @@ def test_equals_every_document_scored(spark, docs_of, prose, asked, top):
 
 def test_small_signatures_and_blocks_change_nothing(spark, docs_of, prose, asked):
     rows = list(enumerate(prose))
-    assert found(spark, docs_of(rows), asked, top=5, bits=64, block=7) == brute(rows, asked, 5)
+    assert found(spark, docs_of(rows), asked, top=5, bits=64, rows=7, full=20) == brute(rows, asked, 5)
 
 
 def test_items_in_parts(spark, docs_of, prose, asked):
@@ -84,15 +84,15 @@ def test_bounds_hold_and_exclude():
              for _ in range(600)]
     texts = [t.encode() for t in texts]
     counts = [Counter(t.split()) for t in texts]
-    bits = np.zeros((ranked.BITS, 600), bool)
+    block = ranked.Block(ranked.BITS, 100)
     for k, c in enumerate(counts):
-        bits[ranked.signature(c), k] = True
-    lengths, most = (np.array([f(c) for c in counts], np.int64) for f in (Counter.total, lambda c: max(c.values())))
+        block.add(k, texts[k], c)
+    assert set(block.rows) == {1, 2, 4}
     known = sorted({w for c in counts for w in c})
     weights = np.array([ranked.weight(600, sum(w in c for c in counts)) for w in known], np.int64)
     items = [sorted({w.encode() for w in rnd.choices(words, k=15)} & set(known)) for _ in range(20)]
-    query = ranked.Query(list(range(20)), items, known, weights, 600, int(lengths.sum()))
-    bound = query.bounds(600, lengths, most, np.packbits(bits, axis=1, bitorder="little").reshape(-1))
+    query = ranked.Query(list(range(20)), items, known, weights, 600, sum(block.lengths))
+    bound = query.bounds(*(np.array(x) for x in (block.lengths, block.most, block.rows)), block.slices())
     exact = np.array([query.scores(t, np.arange(20)) for t in texts]).T
     assert (bound >= exact).all()
     beat = np.sort(exact, axis=1)[:, -10]
