@@ -8,14 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govlake.design import ALL_USERS, CATALOG, OWNERS
 from govlake.functions.rows import literal
+from govlake.operators import graph
 from govlake.operators.evolve import snapshot_diff
 from govlake.operators.joins import lookup
 from govlake.principal import AccessDenied, Principal
+from govlake.session import cut
 
 GRANT_SCHEMA = ("grantee string, privilege_type string, object_type string, "
                 "object_key string, inherited_from string")
@@ -151,6 +153,138 @@ def effective_for(tables: DataFrame, privileges: DataFrame, principals: Sequence
                          missing.alias("missing_level"))
 
 
+# ---- members as a relation: any number of people, nested groups, objects by what is granted ---
+
+# what a grantee holds on an object, as bits
+_USE_CATALOG, _USE_SCHEMA, _SELECT, _BROWSE, _ON_TABLE, _OWNS = (1 << i for i in range(6))
+_AT = {"CATALOG": {"USE_CATALOG": _USE_CATALOG, "USE_SCHEMA": _USE_SCHEMA, "SELECT": _SELECT, "BROWSE": _BROWSE},
+       "SCHEMA": {"USE_SCHEMA": _USE_SCHEMA, "SELECT": _SELECT, "BROWSE": _BROWSE},
+       "TABLE": {"SELECT": _SELECT | _ON_TABLE, "BROWSE": _BROWSE}}
+
+
+def group_closure(groups: DataFrame) -> DataFrame:
+    """`groups` (group_name, parent) -> group_name, holds: every group it belongs to, itself too."""
+    names = groups.select("group_name").unionByName(groups.select(F.col("parent").alias("group_name"))).distinct()
+    start = names.select(F.col("group_name").alias("origin"), F.col("group_name").alias("node"))
+    edges = groups.select(F.col("group_name").alias("src"), F.col("parent").alias("dst"), F.lit(True).alias("same"))
+    return (graph.reach(edges, start).select(F.col("origin").alias("group_name"), F.col("node").alias("holds"))
+            .unionByName(names.select("group_name", F.col("group_name").alias("holds"))))
+
+
+def memberships(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """`members` (member, group_name) and nested `groups` -> member, grantee: each name a member is
+    granted under, its own included. The closure is taken over groups alone, which are few."""
+    closed = group_closure(groups)
+    return (members.join(closed, "group_name", "left")
+            .select("member", F.coalesce("holds", "group_name").alias("grantee"))
+            .unionByName(members.select("member", F.col("member").alias("grantee"))).distinct())
+
+
+def signatures(tables: DataFrame, privileges: DataFrame, catalog_owner: str = OWNERS) -> tuple[DataFrame, DataFrame]:
+    """Objects folded by what is granted on them.
+
+    The first relation has each object's signature; the second, per signature, grantee and mask: who
+    holds what there, from the catalog, the schema and the table, and who owns it. Objects of equal
+    grants share a signature, so access is worked out once for all of them. Grants of catalogs and
+    schemas are folded per schema, and only tables with grants of their own add to that.
+    """
+    kind, privilege = F.col("object_type"), F.col("privilege_type")
+    mask = F.lit(0)
+    for level, bits in _AT.items():
+        for name, bit in bits.items():
+            mask = F.when((kind == level) & (privilege == name), bit).otherwise(mask)
+        every = 0
+        for bit in bits.values():
+            every |= bit
+        mask = F.when((kind == level) & (privilege == ALL), every).otherwise(mask)
+    held = (privileges.select("object_type", "object_key", "grantee", mask.alias("mask")).where("mask > 0")
+            .groupBy("object_type", "object_key", "grantee").agg(F.bit_or("mask").alias("mask")))
+
+    def listed(df: DataFrame, key: str) -> DataFrame:
+        """One row per key: its grants in order, and their digest."""
+        rows = df.groupBy(key).agg(F.array_sort(F.collect_set(F.struct("grantee", "mask"))).alias(f"{key}_grants"))
+        return rows.withColumn(f"{key}_digest", F.sha2(F.to_json(f"{key}_grants"), 256))
+
+    place = F.concat_ws(".", "table_catalog", "table_schema")
+    schemas = tables.select("table_catalog", place.alias("s")).distinct()
+    above = (schemas.join(held.where(kind == "CATALOG"), F.col("table_catalog") == F.col("object_key"))
+             .select("s", "grantee", "mask")
+             .unionByName(schemas.join(held.where(kind == "SCHEMA"), F.col("s") == F.col("object_key"))
+                          .select("s", "grantee", "mask"))
+             .groupBy("s", "grantee").agg(F.bit_or("mask").alias("mask")))
+    by_schema = listed(above, "s")
+    by_table = listed(held.where(kind == "TABLE").select(F.col("object_key").alias("t"), "grantee", "mask"), "t")
+    objects = tables.select("table_catalog", "table_schema", "table_name", "table_owner", place.alias("s"),
+                            F.concat_ws(".", place, "table_name").alias("t"))
+    objects = (lookup(objects, by_schema.select("s", "s_digest"), "s").join(by_table.select("t", "t_digest"), "t", "left")
+               .withColumn("signature", F.sha2(F.to_json(F.struct("s_digest", "t_digest", "table_owner")), 256)))
+    kinds = objects.groupBy("signature").agg(F.first("s_digest").alias("s_digest"), F.first("t_digest").alias("t_digest"),
+                                             F.first("table_owner").alias("table_owner"))
+    owners = F.array_compact(F.array("table_owner", F.lit(catalog_owner)))
+
+    def once(df: DataFrame, key: str) -> DataFrame:
+        return df.groupBy(f"{key}_digest").agg(F.first(f"{key}_grants").alias(f"{key}_grants"))
+
+    parts = (kinds.select("signature", F.explode(owners).alias("grantee"), F.lit(_OWNS).alias("mask"))
+             .unionByName(kinds.join(once(by_schema, "s"), "s_digest").select("signature", F.inline("s_grants")))
+             .unionByName(kinds.join(once(by_table, "t"), "t_digest").select("signature", F.inline("t_grants"))))
+    return (objects.select("table_catalog", "table_schema", "table_name", "signature"),
+            parts.groupBy("signature", "grantee").agg(F.bit_or("mask").alias("mask")))
+
+
+def _has(mask: Column, bit: int) -> Column:
+    return mask.bitwiseAND(F.lit(bit)) > 0
+
+
+def can_read(mask: Column) -> Column:
+    return _has(mask, _OWNS) | (_has(mask, _USE_CATALOG) & _has(mask, _USE_SCHEMA) & _has(mask, _SELECT))
+
+
+def can_see(mask: Column) -> Column:
+    return _has(mask, _OWNS) | _has(mask, _BROWSE) | (
+        _has(mask, _USE_CATALOG) & (_has(mask, _USE_SCHEMA) | _has(mask, _ON_TABLE)))
+
+
+def missing_of(mask: Column) -> Column:
+    """The first level that is missing, null where the object can be read."""
+    return (F.when(can_read(mask), F.lit(None).cast("string")).when(~_has(mask, _USE_CATALOG), "USE_CATALOG")
+            .when(~_has(mask, _USE_SCHEMA), "USE_SCHEMA").otherwise("SELECT"))
+
+
+def member_masks(parts: DataFrame, grantees: DataFrame, everyone: str = ALL_USERS) -> tuple[DataFrame, DataFrame]:
+    """(signature, base) what everyone holds, and (signature, member, mask) for members who hold
+    something besides; mask includes the base. What is granted to everyone meets no member."""
+    base = parts.groupBy("signature").agg(F.bit_or(F.when(F.col("grantee") == everyone, F.col("mask")).otherwise(0)).alias("base"))
+    own = (parts.where(F.col("grantee") != everyone).join(grantees.where(F.col("grantee") != everyone), "grantee")
+           .groupBy("signature", "member").agg(F.bit_or("mask").alias("mask")))
+    return base, own.join(base, "signature").select("signature", "member", F.col("mask").bitwiseOR(F.col("base")).alias("mask"))
+
+
+def access_of_members(tables: DataFrame, privileges: DataFrame, members: DataFrame, groups: DataFrame,
+                      catalog_owner: str = OWNERS, everyone: str = ALL_USERS) -> DataFrame:
+    """member, objects_visible, objects_readable for each member.
+
+    Worked out over signatures x members, never objects x members: a member's numbers are those of
+    everyone and what its own grants add, weighted by how many objects share a signature.
+    """
+    objects, parts = signatures(tables, privileges, catalog_owner)
+    parts = cut(parts)
+    sizes = objects.groupBy("signature").agg(F.count(F.lit(1)).alias("n"))
+    base, own = member_masks(parts, memberships(members, groups), everyone)
+    base = cut(sizes.join(base, "signature", "left").select("signature", "n", F.coalesce("base", F.lit(0)).alias("base")))
+    n, mask, before = F.col("n"), F.col("mask"), F.col("base")
+
+    def added(flag) -> Column:
+        return F.sum(F.when(flag(mask) & ~flag(before), n).otherwise(0))
+
+    more = own.join(base, "signature").groupBy("member").agg(added(can_see).alias("see"), added(can_read).alias("read"))
+    totals = base.agg(F.coalesce(F.sum(F.when(can_see(before), n)), F.lit(0)).alias("see"),
+                      F.coalesce(F.sum(F.when(can_read(before), n)), F.lit(0)).alias("read")).first()
+    return (members.select("member").distinct().join(more, "member", "left")
+            .select("member", (F.coalesce("see", F.lit(0)) + F.lit(totals.see)).cast("bigint").alias("objects_visible"),
+                    (F.coalesce("read", F.lit(0)) + F.lit(totals.read)).cast("bigint").alias("objects_readable")))
+
+
 def visible_schemas(tables: DataFrame, privileges: DataFrame, principal: Principal) -> DataFrame:
     """Schemas whose objects the principal can see, with how many it can read."""
     return visible_schemas_for(tables, privileges, [principal]).drop("who")

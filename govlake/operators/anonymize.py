@@ -6,6 +6,7 @@ and re-aggregates them; rows of people are shuffled once, already counted.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 
 from govlake.design import K
 from govlake.functions.masks import pseudonymize
+from govlake.functions.rows import literal
 from govlake.functions.values import decade, decade_band
+from govlake.session import cut
 
 PUBLISHED = ("age_band", "region", "segment", "marketing_consent")
 
@@ -49,6 +52,42 @@ def k_compare(df: DataFrame, candidates: Mapping[str, Sequence[str]], k: int = K
     return out
 
 
+def lattice(df: DataFrame, hierarchies: Mapping[str, Mapping[str, Column]], k: int = K) -> DataFrame:
+    """All minimal generalisations under which nobody stands in a group below k.
+
+    `hierarchies` has for each quasi-identifier its levels, from the finest to the coarsest, each a
+    column over `df`. A generalisation picks one level of each; it is minimal if refining any pick
+    leaves a group below k. Returns generalisation, combinations, smallest_group, people.
+
+    People are grouped once, at the finest levels; all else adds up those counts. The lattice is
+    climbed by height: what is coarser than a safe generalisation is safe too and never looked at.
+    One job per height decides all its candidates, and one row for each reaches the driver.
+    """
+    names = list(hierarchies)
+    levels = {q: list(hierarchies[q].items()) for q in names}
+    picks = {f"{i}_{j}": column for i, q in enumerate(names) for j, (_, column) in enumerate(levels[q])}
+    base = cut(df.select(*(c.cast("string").alias(n) for n, c in picks.items()))
+               .groupBy(*picks).agg(F.count(F.lit(1)).alias("n")))
+    heights = [len(levels[q]) - 1 for q in names]
+    safe: list[tuple[int, ...]] = []
+    found: list[tuple] = []
+    for height in range(sum(heights) + 1):
+        nodes = [v for v in itertools.product(*(range(h + 1) for h in heights)) if sum(v) == height
+                 and not any(all(a <= b for a, b in zip(s, v, strict=True)) for s in safe)]
+        if not nodes:
+            continue
+        group = F.array(*(F.struct(F.lit(i).alias("node"), F.array(*(F.col(f"{q}_{j}") for q, j in enumerate(v))).alias("of"))
+                          for i, v in enumerate(nodes)))
+        sizes = base.select("n", F.inline(group)).groupBy("node", "of").agg(F.sum("n").alias("n"))
+        for r in sizes.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("least"), F.sum("n").alias("people")).collect():
+            if r.least >= k:
+                v = nodes[r.node]
+                safe.append(v)
+                label = ", ".join(f"{q}={levels[q][j][0]}" for q, j in zip(names, v, strict=True))
+                found.append((label, r.c, r.least, r.people))
+    return literal(df.sparkSession, found, "generalisation string, combinations bigint, smallest_group bigint, people bigint")
+
+
 def risk_groups(df: DataFrame, cols: Sequence[str], k: int = K) -> DataFrame:
     """The groups that would single people out."""
     return group_sizes(df, cols).where(F.col("n") < k)

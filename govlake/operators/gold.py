@@ -91,3 +91,80 @@ def revenue_reconciliation(published: DataFrame, orders: DataFrame) -> DataFrame
         F.sum("amount").cast("decimal(24,2)").alias("silver_revenue"))
     return published.select(F.col("value_published").alias("gold_revenue"),
                             silver.scalar().alias("silver_revenue"))
+
+
+# ---- revenue kept up to date: stored partial sums, merged with what changed -------------------
+#
+# A delta is rows with a weight: 1 for a row that came, -1 for one that went, so an update is both.
+# Partials hold what one customer adds to one month and currency, homes where a customer lives and in
+# how many copies, groups the published sums before suppression. Distinct customers follow from the
+# partials: a customer counts in a group while its weight there is not zero.
+
+_PART = ["customer_id", "order_month", "currency"]
+_GROUP = ["region", "order_month", "currency"]
+
+
+def partials(orders: DataFrame, weight: str | None = None) -> DataFrame:
+    """customer_id, order_month, currency, n, total of completed orders, by weight."""
+    w = F.lit(1) if weight is None else F.col(weight)
+    return (orders.where(F.col("status") == "completed")
+            .groupBy("customer_id", F.date_trunc("month", F.col("order_date")).alias("order_month"), "currency")
+            .agg(F.sum(w.cast("bigint")).alias("n"), F.sum(F.col("amount") * w).cast("decimal(22,2)").alias("total")))
+
+
+def homes(customers: DataFrame, weight: str | None = None) -> DataFrame:
+    w = F.lit(1) if weight is None else F.col(weight)
+    return customers.groupBy("customer_id", "region").agg(F.sum(w.cast("bigint")).alias("copies"))
+
+
+def merged(stored: DataFrame, delta: DataFrame, keys: list[str], zero: str) -> DataFrame:
+    """Stored sums and a delta's sums as new sums; rows whose `zero` column ends at 0 are gone."""
+    values = [c for c in stored.columns if c not in keys]
+    return (stored.unionByName(delta.select(*stored.columns)).groupBy(*keys)
+            .agg(*(F.sum(v).cast(stored.schema[v].dataType).alias(v) for v in values)).where(F.col(zero) != 0))
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*_GROUP).agg(F.sum("orders").alias("orders"), F.sum("customers_active").alias("customers_active"),
+                                     F.sum("revenue").cast("decimal(22,2)").alias("revenue"))
+
+
+def revenue_state(parts: DataFrame, home: DataFrame) -> DataFrame:
+    """The group sums from partials and homes: region, order_month, currency, orders,
+    customers_active, revenue."""
+    return _grouped(_contribution(parts.join(home, "customer_id"), 1))
+
+
+def _contribution(joined: DataFrame, sign: int) -> DataFrame:
+    return joined.select(
+        *_GROUP, (F.col("n") * F.col("copies") * sign).alias("orders"), F.lit(sign).cast("bigint").alias("customers_active"),
+        (F.col("total") * F.col("copies") * sign).cast("decimal(22,2)").alias("revenue"))
+
+
+def apply_orders(parts: DataFrame, groups: DataFrame, home: DataFrame, delta: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Merge weighted orders (column `weight`): the new partials and groups. Only partials of the
+    delta's keys are compared, and only the delta is joined to the homes."""
+    change = partials(delta, "weight").where("n <> 0 or total <> 0")
+    held = change.select(*_PART).join(parts, _PART)
+    now = change.unionByName(held).groupBy(*_PART).agg(F.sum("n").alias("n"), F.sum("total").cast("decimal(22,2)").alias("total"))
+    shift = (_contribution(now.where("n <> 0").join(home, "customer_id"), 1)
+             .unionByName(_contribution(held.join(home, "customer_id"), -1)))
+    return merged(parts, change, _PART, "n"), merged(groups, _grouped(shift), _GROUP, "orders")
+
+
+def apply_customers(parts: DataFrame, groups: DataFrame, home: DataFrame, delta: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Merge weighted customers: the new homes and groups. Only partials of the delta's customers are
+    read again, from where they lived to where they live."""
+    change = homes(delta, "weight").where("copies <> 0")
+    keys = ["customer_id", "region"]
+    held = change.select(*keys).join(home, keys)
+    now = merged(held, change, keys, "copies")
+    shift = (_contribution(now.join(parts, "customer_id"), 1).unionByName(_contribution(held.join(parts, "customer_id"), -1)))
+    return merged(home, change, keys, "copies"), merged(groups, _grouped(shift), _GROUP, "orders")
+
+
+def published(groups: DataFrame, k: int = K) -> DataFrame:
+    """What is published of stored groups: those large enough, with their mean."""
+    return groups.where(F.col("customers_active") >= k).select(
+        *_GROUP, "orders", "customers_active", "revenue",
+        F.round(F.col("revenue") / F.col("orders"), 2).cast("decimal(18,2)").alias("avg_order_value"))

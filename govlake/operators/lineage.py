@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govlake.functions.rows import literal
+from govlake.operators import graph
 
 TABLE_EDGES = ("source_table string, source_path string, source_type string, "
                "target_schema string, target_table string, event_time timestamp")
@@ -72,6 +73,32 @@ def trace(column_edges: DataFrame, columns: Sequence[str] = IDENTIFIERS) -> Data
     return column_edges.where(F.col("source_column").isin(list(columns))).distinct()
 
 
+def _node(table: str, column: str) -> Column:
+    return F.concat_ws("|", table, column)
+
+
+def column_graph(column_edges: DataFrame) -> DataFrame:
+    """Column edges as (src, dst, same), where `same` says that the name was kept."""
+    return column_edges.select(_node("source_table", "source_column").alias("src"),
+                               _node("target_table", "target_column").alias("dst"),
+                               (F.col("source_column") == F.col("target_column")).alias("same"))
+
+
+def identifier_reach(column_edges: DataFrame, identifiers: Sequence[str] = IDENTIFIERS) -> DataFrame:
+    """Where the identifiers end up, however many steps on and under whatever name.
+
+    identifier, table_name, column_name, hops (least number of steps from a column of that name) and
+    path_class: `kept` if a shortest path never changes the name, else `renamed`. Columns that are
+    sources under the identifier's own name are where it starts, not where it ends up.
+    """
+    start = column_edges.where(F.col("source_column").isin(list(identifiers))).select(
+        F.col("source_column").alias("origin"), _node("source_table", "source_column").alias("node"))
+    found = graph.reach(column_graph(column_edges), start)
+    return found.select(F.col("origin").alias("identifier"), F.split_part("node", F.lit("|"), F.lit(1)).alias("table_name"),
+                        F.split_part("node", F.lit("|"), F.lit(2)).alias("column_name"), "hops",
+                        F.when(F.col("kept"), "kept").otherwise("renamed").alias("path_class"))
+
+
 def recent(lineage: DataFrame, n: int, *tiebreak: str) -> DataFrame:
     """The last `n` events; a top-n per task and one merge, never a full sort."""
     order = [F.col("event_time").desc(), *[F.col(c) for c in tiebreak]]

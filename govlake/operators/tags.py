@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govlake.design import SENSITIVITY_RANK, TABLES, TAG_VOCABULARY, column_tags
 from govlake.functions.rows import literal
+from govlake.operators import graph
 from govlake.operators.evolve import tag_text
+from govlake.operators.lineage import column_graph
 
 TAG_SCHEMA = ("table_schema string, table_name string, column_name string, "
               "tag_name string, tag_value string")
@@ -108,18 +110,50 @@ def violations(meta: DataFrame,
                      ["tag_name", "tag_value"], "left_anti")
 
 
-def table_sensitivity(meta: DataFrame) -> DataFrame:
-    """Table-level classification: the highest one any of its columns carries."""
-    value = F.col("tag_value")
+def _rank(value: Column) -> Column:
     rank = F.lit(0)
     for level, n in SENSITIVITY_RANK.items():
         rank = F.when(value == level, n).otherwise(rank)
+    return rank
+
+
+def _level(rank: Column) -> Column:
     name = F.lit(None).cast("string")
     for level, n in SENSITIVITY_RANK.items():
-        name = F.when(F.col("_rank") == n, level).otherwise(name)
+        name = F.when(rank == n, level).otherwise(name)
+    return name
+
+
+def inheritance_gaps(column_edges: DataFrame, meta: DataFrame) -> DataFrame:
+    """Columns classified below something they are made from, however many steps back.
+
+    table_schema, table_name, column_name, classification (its own, null if it has none) and
+    inherited (the highest of all its ancestors). Values outside the vocabulary rank lowest.
+    """
+    node = F.concat_ws("|", F.concat_ws(".", "table_schema", "table_name"), "column_name")
+    own = (meta.where(F.col("tag_name") == "classification").groupBy(node.alias("node"))
+           .agg(F.max(_rank(F.col("tag_value"))).alias("value")))
+    all_of = graph.highest(column_graph(column_edges), own.where("value > 0"))
+    found = (all_of.join(own.withColumnRenamed("value", "own"), "node", "left")
+             .where("own is null or own < value"))
+    full = F.split_part("node", F.lit("|"), F.lit(1))
+    return found.select(F.split_part(full, F.lit("."), F.lit(1)).alias("table_schema"),
+                        F.split_part(full, F.lit("."), F.lit(2)).alias("table_name"),
+                        F.split_part("node", F.lit("|"), F.lit(2)).alias("column_name"),
+                        _level(F.col("own")).alias("classification"), _level(F.col("value")).alias("inherited"))
+
+
+def raise_inherited(column_edges: DataFrame, meta: DataFrame) -> DataFrame:
+    """The assignments that close all gaps: each such column takes what it inherits."""
+    return inheritance_gaps(column_edges, meta).select(
+        *_COLUMN, F.lit("classification").alias("tag_name"), F.col("inherited").alias("tag_value"))
+
+
+def table_sensitivity(meta: DataFrame) -> DataFrame:
+    """Table-level classification: the highest one any of its columns carries."""
     return (meta.where(F.col("tag_name") == "classification")
-            .groupBy("table_schema", "table_name").agg(F.max(rank).alias("_rank"))
-            .select("table_schema", "table_name", name.alias("classification")))
+            .groupBy("table_schema", "table_name").agg(F.max(_rank(F.col("tag_value"))).alias("_rank"))
+            .select("table_schema", "table_name", _level(F.col("_rank")).alias("classification")))
 
 
 def propagate(meta: DataFrame, source: str, target: str,

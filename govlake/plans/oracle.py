@@ -230,6 +230,35 @@ SELECT {_schema('l_partkey')} || '.' || {_table('l_partkey')} AS source_table,
 FROM lineitem""")
 
 
+def _suffix(index: str) -> str:
+    return _pick(("", "_copy", "_hash"), index)
+
+
+_cte("ff", f"""
+SELECT {_schema('l_orderkey')} || '.' || {_table('l_orderkey')} AS source_table,
+       {_pick(_NAMES, 'l_linenumber % 7')} || {_suffix('l_partkey % 3')} AS source_column,
+       {_schema('k')} || '.' || {_table('k')} AS target_table,
+       {_pick(_NAMES, 'l_linenumber % 7')} || {_suffix('(l_partkey + l_suppkey) % 3')} AS target_column
+FROM (SELECT *, CASE WHEN l_partkey % 17 = 0 THEN l_orderkey * 16 ELSE l_orderkey // 16 END AS k FROM lineitem)""")
+
+_cte("ftag", f"""
+SELECT {_schema('k')} AS table_schema, {_table('k')} AS table_name,
+       {_pick(_NAMES, '(k + j) % 7')} || {_suffix('(k // 7) % 3')} AS column_name,
+       CASE WHEN k % 97 = 0 THEN 'secret' ELSE {_pick(('internal', 'confidential', 'restricted'), '(k // 5) % 3')} END AS level
+FROM (SELECT o_orderkey AS k, 0 AS j FROM orders WHERE o_orderkey % 3 = 0
+      UNION ALL SELECT o_orderkey, 3 FROM orders WHERE o_orderkey % 10 = 0)""")
+
+_cte("fm", f"""
+SELECT 's' || s_suppkey::VARCHAR AS member, 'team' || (s_suppkey % 40)::VARCHAR AS group_name FROM supplier
+UNION ALL SELECT 's' || s_suppkey::VARCHAR, {_pick(_GRANTEES, 's_suppkey % 6')} FROM supplier WHERE s_suppkey % 9 = 0
+UNION ALL SELECT 's' || s_suppkey::VARCHAR, 'data_owners' FROM supplier WHERE s_suppkey % 50 = 0""")
+
+_cte("fgr", f"""
+SELECT DISTINCT 'team' || (s_suppkey % 40)::VARCHAR AS group_name, 'dept' || (s_suppkey % 8)::VARCHAR AS parent FROM supplier
+UNION SELECT 'dept' || (s_suppkey % 8)::VARCHAR, {_pick(_GRANTEES, 's_suppkey % 8 % 6')} FROM supplier
+UNION SELECT 'dept3', 'team3' FROM supplier WHERE s_suppkey % 40 = 3""")
+
+
 def with_(sql: str, *names: str) -> str:
     """`sql` behind the named expressions and everything they are built from."""
     order: list[str] = []

@@ -1356,3 +1356,7 @@ FROM (VALUES {', '.join(str(i) for i in suite.OFFENCES.items())}) c(control, tit
 LEFT JOIN ({_OFFENDERS}) USING (control) GROUP BY control, title""", *_SUITE_CTES)
 def _suite_fleet(spark, sf):
     return suite.verdicts(_fleet_offenders(spark, sf))
+
+
+# queries of several plans register themselves beside these
+from govlake.plans import extended  # noqa: E402, F401

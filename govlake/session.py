@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str | int = 8, app: str = "govlake", shuffle_partitions: int = 8,
@@ -47,3 +47,9 @@ def prepare_checkpoints(spark: SparkSession) -> None:
     """Point checkpoint() at the shared folder, unless the session already has one."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoints"))
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written once to the checkpoint folder: a lost executor costs a reread."""
+    prepare_checkpoints(df.sparkSession)
+    return df.checkpoint()

@@ -139,3 +139,46 @@ def column_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{full_name('l_partkey')} AS source_table", f"{name} AS source_column",
         f"{full_name('l_suppkey')} AS target_table",
         f"CASE WHEN l_partkey % 2 = 0 THEN {name} ELSE {name} || '_copy' END AS target_column")
+
+
+SUFFIXES = ("", "_copy", "_hash")
+
+
+def column_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column edges many steps deep: tables are numbered by order, each feeds the one of a sixteenth
+    of its number, and some lead back. Names change on the way, and some tables are hubs."""
+    name = pick(COLUMN_NAMES, f"l_linenumber % {len(COLUMN_NAMES)}")
+    target = "if(l_partkey % 17 = 0, l_orderkey * 16, floor(l_orderkey / 16))"
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        f"{full_name('l_orderkey')} AS source_table",
+        f"{name} || {pick(SUFFIXES, 'l_partkey % 3')} AS source_column",
+        f"{full_name(target)} AS target_table",
+        f"{name} || {pick(SUFFIXES, 'int((l_partkey + l_suppkey) % 3)')} AS target_column")
+
+
+def flow_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classifications of one column of every third of those tables, and of one in ten a second."""
+    rows = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").selectExpr("o_orderkey AS k", "0 AS j")
+    more = table(spark, sf_dir, "orders").where("o_orderkey % 10 = 0").selectExpr("o_orderkey AS k", "3 AS j")
+    return rows.unionByName(more).selectExpr(
+        f"{schema_of('k')} AS table_schema", f"{table_of('k')} AS table_name",
+        f"{pick(COLUMN_NAMES, f'(k + j) % {len(COLUMN_NAMES)}')} || {pick(SUFFIXES, 'floor(k / 7) % 3')} AS column_name",
+        "'classification' AS tag_name",
+        f"if(k % 97 = 0, 'secret', {pick(LEVELS, f'floor(k / 5) % {len(LEVELS)}')}) AS tag_value")
+
+
+def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """member, group_name: every supplier as a person in one team, some with a group of their own."""
+    people = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS k")
+    return (people.selectExpr("'s' || k AS member", "'team' || k % 40 AS group_name")
+            .unionByName(people.where("k % 9 = 0").selectExpr("'s' || k AS member", f"{pick(GRANTEES, f'k % {len(GRANTEES)}')} AS group_name"))
+            .unionByName(people.where("k % 50 = 0").selectExpr("'s' || k AS member", f"'{OWNERS}' AS group_name")))
+
+
+def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """group_name, parent: teams in departments, departments in the granted groups, one cycle."""
+    people = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS k")
+    return (people.selectExpr("'team' || k % 40 AS group_name", "'dept' || k % 8 AS parent")
+            .unionByName(people.selectExpr("'dept' || k % 8 AS group_name", f"{pick(GRANTEES, f'k % 8 % {len(GRANTEES)}')} AS parent"))
+            .unionByName(people.where("k % 40 = 3").selectExpr("'dept3' AS group_name", "'team3' AS parent"))
+            .distinct())

@@ -28,6 +28,8 @@ def read_csv_all_string(spark: SparkSession, path: str, columns: Sequence[str],
     return (spark.read.schema(schema)
             .option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
             .option("columnNameOfCorruptRecord", RESCUED)
+            # a reader of few columns would not notice a line with too many fields
+            .option("columnPruning", False)
             .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
             .csv(path)
             .withColumn("_ingested_at", as_time(ingested_at)))
