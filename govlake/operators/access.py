@@ -61,11 +61,15 @@ def matrix_diff(actual: DataFrame, expected: DataFrame) -> DataFrame:
                        "grant")
 
 
+def is_forbidden(grantee: str = ALL_USERS, privilege: str = "BROWSE") -> Column:
+    return ((F.col("object_type") == "CATALOG") & (F.col("grantee") == grantee)
+            & (F.col("privilege_type") == privilege))
+
+
 def forbidden(privileges: DataFrame, grantee: str = ALL_USERS,
               privilege: str = "BROWSE") -> DataFrame:
     """Catalog-level grants that must not exist (the platform's default for everyone)."""
-    return privileges.where((F.col("object_type") == "CATALOG") & (F.col("grantee") == grantee)
-                            & (F.col("privilege_type") == privilege))
+    return privileges.where(is_forbidden(grantee, privilege))
 
 
 def held_levels(privileges: DataFrame) -> DataFrame:

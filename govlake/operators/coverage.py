@@ -16,14 +16,16 @@ from govlake.design import OWNERS
 KEY = ["table_schema", "table_name", "column_name"]
 
 
-def _merged(columns: DataFrame, tags: DataFrame) -> DataFrame:
-    """One row per column of the catalog: is it classified, is it described?"""
-    seen = columns.select(*KEY, F.lit(True).alias("is_column"), F.lit(False).alias("is_tag"),
+def _merged(columns: DataFrame, tags: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per column of the catalog: is it classified, is it described? `by` names further keys of
+    both relations."""
+    key = [*by, *KEY]
+    seen = columns.select(*key, F.lit(True).alias("is_column"), F.lit(False).alias("is_tag"),
                           (F.coalesce(F.col("comment"), F.lit("")) != "").alias("described"))
     tagged = (tags.where((F.col("tag_name") == "classification") & F.col("tag_value").isNotNull())
-              .select(*KEY, F.lit(False).alias("is_column"), F.lit(True).alias("is_tag"),
+              .select(*key, F.lit(False).alias("is_column"), F.lit(True).alias("is_tag"),
                       F.lit(False).alias("described")))
-    return (seen.unionByName(tagged).groupBy(*KEY)
+    return (seen.unionByName(tagged).groupBy(*key)
             .agg(F.bool_or("is_column").alias("is_column"),
                  F.bool_or("is_tag").alias("classified"),
                  F.bool_or("described").alias("described"))
@@ -46,9 +48,9 @@ def matrix(columns: DataFrame, tags: DataFrame) -> DataFrame:
         F.count_if(~F.col("described")).alias("missing_description"))
 
 
-def totals(columns: DataFrame, tags: DataFrame) -> DataFrame:
+def totals(columns: DataFrame, tags: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """`matrix` summed over all tables, in one aggregate."""
-    return _merged(columns, tags).agg(
+    return _merged(columns, tags, by).groupBy(*by).agg(
         F.count(F.lit(1)).alias("columns_total"),
         F.count_if(~F.col("classified")).alias("missing_classification"),
         F.count_if(~F.col("described")).alias("missing_description"))

@@ -228,15 +228,16 @@ def constraint_rows(df_or_session, rules: Iterable[Constraint]) -> DataFrame:
                    "table_name string, constraint_name string, expression string")
 
 
-def constraint_diff(actual: DataFrame, expected: DataFrame) -> DataFrame:
-    """Rules missing, extra or weakened (same name, other expression), against the design."""
+def constraint_diff(actual: DataFrame, expected: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rules missing, extra or weakened (same name, other expression), against the design; `by` names
+    further keys of both relations."""
     def tagged(df: DataFrame, side: str) -> DataFrame:
         other = "expected" if side == "actual" else "actual"
-        return df.select("table_name", "constraint_name",
+        return df.select(*by, "table_name", "constraint_name",
                          F.col("expression").alias(side),
                          F.lit(None).cast("string").alias(other))
     both = (tagged(actual, "actual").unionByName(tagged(expected, "expected"))
-            .groupBy("table_name", "constraint_name")
+            .groupBy(*by, "table_name", "constraint_name")
             .agg(F.max("expected").alias("expected"), F.max("actual").alias("actual")))
     status = (F.when(F.col("actual").isNull(), "missing")
                .when(F.col("expected").isNull(), "extra")

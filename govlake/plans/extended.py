@@ -14,11 +14,12 @@ from govlake import design
 from govlake.design import K, OWNERS, SENSITIVITY_RANK, Constraint, Expectation
 from govlake.functions.rows import literal
 from govlake.operators import access, anonymize, evolve, gold, lineage, quality, tags
+from govlake.plans import build, mutants
 from govlake.plans import publish as pub
 from govlake.plans.registry import PINNED, Layers, persona, register
 from govlake.principal import AccessDenied, Principal
 from govlake.session import cut, shared_folder
-from govlake.sources import fleet, ingest
+from govlake.sources import audit, fixture, fleet, ingest
 
 SVC = Principal.of("svc", OWNERS)
 
@@ -480,3 +481,45 @@ def _landing(spark, sf):
         F.count_if(F.col("_ingested_at") == F.lit(PINNED).cast("timestamp")).alias("stamped_rows"),
         listed.select("files").scalar().alias("files_listed"), listed.select("bytes").scalar().alias("bytes_counted"),
         F.count_if(rescued & F.col(ingest.RESCUED).startswith("C")).alias("rescued_with_key"))
+
+
+# ---- the suite, put to the test -------------------------------------------------------------
+
+_CONTROLS = ["A0", "A1", "A2", "A3", "A4", "B1", "B2", "B3", "B4", "B5", "C0", "C1", "C2", "C3", "C4", "C5",
+             "D1", "D2", "D3", "D4", "D5", "D6"]
+
+
+def _built(spark, sf) -> build.Build:
+    """The whole platform built from the test tables, in a lake of its own."""
+    at, outside = Layers(spark, sf), _lake(spark, "events")
+    events = audit.from_test_events(fixture.table(spark, sf, "events")).withColumn(
+        "request_params", F.create_map(F.lit("table"), F.lit(f"{design.CATALOG}.silver.orders")))
+    pub.publish(outside, events, "events.audit", SVC)
+    return build.run(_lake(spark), at.bronze_customers(), at.bronze_orders(), SVC, PINNED,
+                     audit_source=f"{outside.env}events.audit")
+
+
+@register("suite_mutants", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{m}', '{c}', {str(fired).lower()})" for m, c, fired in mutants.expected(_CONTROLS)) + ") v(mutant, control, fired)")
+def _suite_mutants(spark, sf):
+    """Every control over the metadata of a real build, and over each of its mutants: it fires on the fault that
+    it is for and on no other."""
+    b = _built(spark, sf)
+    published = {t: b.lake.read(f"gold.{t}") for t in ("revenue_by_region_month", "customer_segment_profile",
+                                                       "customer_profile_anonymized")}
+    return mutants.matrix(b.meta(access.grant_rows(spark, design.GRANTS)), build.reconciliation(b.lake), published, SVC)
+
+
+@register("build_metadata", """
+SELECT * FROM (VALUES ('bronze', 2::BIGINT, true, true), ('gold', 3, true, true), ('governance', 1, true, true), ('silver', 4, true, true))
+v(table_schema, objects, columns_typed, tables_tagged)""")
+def _build_metadata(spark, sf):
+    """What the books of a build say: its objects, that every column has a type, that every table has its own tag."""
+    b = _built(spark, sf)
+    typed = b.lake.held(pub.COLUMNS).groupBy("table_schema", "table_name").agg(
+        F.bool_and(F.col("data_type") != "").alias("typed"))
+    tagged = b.lake.held(pub.TABLE_TAGS).select("table_schema", "table_name", F.col("tag_value").isNotNull().alias("tagged"))
+    keys = ["table_schema", "table_name"]
+    return (b.lake.held(pub.OBJECTS).join(typed, keys, "left").join(tagged, keys, "left").groupBy("table_schema")
+            .agg(F.count(F.lit(1)).alias("objects"), F.bool_and(F.coalesce("typed", F.lit(False))).alias("columns_typed"),
+                 F.bool_and(F.coalesce("tagged", F.lit(False))).alias("tables_tagged")))

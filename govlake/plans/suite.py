@@ -10,7 +10,7 @@ collects an unbounded list; the rows behind a count come from the operator it is
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,9 +75,9 @@ class Control:
             F.when(self.passed, "PASS").otherwise("FAIL").alias("status"))
 
 
-def emit(measured: DataFrame, *controls: Control) -> DataFrame:
+def emit(measured: DataFrame, *controls: Control, by: Sequence[str] = ()) -> DataFrame:
     """Controls that share a scan share one aggregate; each becomes a row."""
-    return measured.select(F.inline(F.array(*[c.row() for c in controls])))
+    return measured.select(*by, F.inline(F.array(*[c.row() for c in controls])))
 
 
 def _zero(id_: str, title: str, column: str) -> Control:
@@ -111,28 +111,32 @@ class _Listing:
         return Control(id_, title, ", ".join(self.allowed), F.concat_ws(", ", *shown, more), passed)
 
 
-def structure(meta: Meta, principal: Principal) -> list[DataFrame]:
-    exempt = principal.holds(OWNERS)
+# Each control below is an aggregate over metadata rows. `by` names columns that tell several states of
+# the metadata apart: then there is a row per control and state, see plans/mutants.py.
+
+def structure(meta: Meta, principal: Principal, by: Sequence[str] = (), exempt: Column | None = None
+              ) -> list[DataFrame]:
+    exempt = F.lit(principal.holds(OWNERS)) if exempt is None else exempt
     owned = _Listing("owned", "table_name", design.OWNER_EXCEPTIONS,
                      ~F.col("table_owner").eqNullSafe(OWNERS))
     layers = _Listing("layer", "schema_name", LAYERS)
-    objects = meta.tables.agg(F.count(F.lit(1)).alias("n"), *owned.aggregates())
-    schemas = meta.schemata.agg(F.count_if(F.col("schema_name") == "default").alias("strays"),
-                                *layers.aggregates())
+    objects = meta.tables.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *owned.aggregates())
+    schemas = meta.schemata.groupBy(*by).agg(F.count_if(F.col("schema_name") == "default").alias("strays"),
+                                             *layers.aggregates())
     wanted = len(design.TABLES)
     return [
         emit(objects,
              Control("A0", "Suite runs as an exempt identity", f"a member of {OWNERS}",
-                     F.lit(f"{principal.name} | owner={str(exempt).lower()}"), F.lit(exempt)),
+                     F.concat(F.lit(f"{principal.name} | owner="), exempt.cast("string")), exempt),
              Control("A1", "Objects the suite can inspect", str(wanted), F.col("n"),
                      F.col("n") == wanted),
-             owned.control("A4", "Objects owned outside the owner group", True)),
+             owned.control("A4", "Objects owned outside the owner group", True), by=by),
         emit(schemas, layers.control("A2", "Schemas are those designed", True),
-             _zero("A3", "No stray default schema", "strays")),
+             _zero("A3", "No stray default schema", "strays"), by=by),
     ]
 
 
-def classification(meta: Meta) -> list[DataFrame]:
+def classification(meta: Meta, by: Sequence[str] = ()) -> list[DataFrame]:
     tag, value = F.col("tag_name"), F.col("tag_value")
     levels = _Listing("level", "tag_value", TAG_VOCABULARY["classification"],
                       tag == "classification")
@@ -142,30 +146,34 @@ def classification(meta: Meta) -> list[DataFrame]:
         retired = retired | ((tag == name) & (value == old))
     on_anonymized = ((F.col("table_schema") == "gold") & (tag == "pii_type")
                      & (F.col("table_name") == "customer_profile_anonymized"))
-    used = meta.column_tags.agg(F.count_if(retired).alias("retired"),
-                                F.count_if(on_anonymized).alias("masked_gold"),
-                                *levels.aggregates(), *pii.aggregates())
+    used = meta.column_tags.groupBy(*by).agg(F.count_if(retired).alias("retired"),
+                                             F.count_if(on_anonymized).alias("masked_gold"),
+                                             *levels.aggregates(), *pii.aggregates())
     return [
-        emit(coverage.totals(meta.columns, meta.column_tags),
+        emit(coverage.totals(meta.columns, meta.column_tags, by),
              _zero("B1", "Columns without a classification", "missing_classification"),
-             _zero("B2", "Columns without a description", "missing_description")),
+             _zero("B2", "Columns without a description", "missing_description"), by=by),
         emit(used, levels.control("B3", "Classification values stay in the vocabulary", False),
              pii.control("B4", "PII type values stay in the vocabulary", False),
              _zero("B5", "Retired tag values are unused", "retired"),
-             _zero("D6", "The anonymized table matches no mask", "masked_gold")),
+             _zero("D6", "The anonymized table matches no mask", "masked_gold"), by=by),
     ]
 
 
-def privileges(meta: Meta, expected: Sequence[tuple[str, str, str, str]] = GRANTS
-               ) -> list[DataFrame]:
-    designed = access.direct_grants(access.grant_rows(meta.privileges.sparkSession, expected))
-    sides = (access.direct_grants(meta.privileges).withColumn("held", F.lit(True))
-             .unionByName(designed.withColumn("held", F.lit(False)))
-             .groupBy("grant").agg(F.bool_or("held").alias("held"),
-                                   F.bool_or(~F.col("held")).alias("designed")))
-    counts = sides.agg(F.count_if("held").alias("seen"),
-                       F.count_if(~F.col("held")).alias("missing"),
-                       F.count_if(~F.col("designed")).alias("extra"))
+def privileges(meta: Meta, expected: Sequence[tuple[str, str, str, str]] = GRANTS, by: Sequence[str] = (),
+               states: Callable[[DataFrame], DataFrame] = lambda df: df) -> list[DataFrame]:
+    """`states` repeats the designed rows for each state of the metadata that `by` tells apart."""
+    spark = meta.privileges.sparkSession
+    designed = states(access.grant_rows(spark, expected))
+    held = meta.privileges.where(F.col("inherited_from") == "NONE")
+    grant = access_text().alias("grant")
+    sides = (held.select(*by, grant, F.lit(True).alias("held"))
+             .unionByName(designed.select(*by, grant, F.lit(False).alias("held")))
+             .groupBy(*by, "grant").agg(F.bool_or("held").alias("held"),
+                                        F.bool_or(~F.col("held")).alias("designed")))
+    counts = sides.groupBy(*by).agg(F.count_if("held").alias("seen"),
+                                    F.count_if(~F.col("held")).alias("missing"),
+                                    F.count_if(~F.col("designed")).alias("extra"))
     routines = _Listing("routine", "routine_name", ROUTINES)
 
     def none_or_count(column: str) -> Column:
@@ -173,9 +181,9 @@ def privileges(meta: Meta, expected: Sequence[tuple[str, str, str, str]] = GRANT
         return F.when(n == 0, f"(none {column})").otherwise(
             F.concat(n.cast("string"), F.lit(f" {column}")))
 
-    everyone = access.forbidden(meta.privileges).agg(F.count(F.lit(1)).alias("n"))
-    wanted = quality.constraint_rows(meta.constraints.sparkSession, CONSTRAINTS)
-    rules = quality.constraint_diff(meta.constraints, wanted).agg(
+    everyone = meta.privileges.groupBy(*by).agg(F.count_if(access.is_forbidden()).alias("n"))
+    wanted = states(quality.constraint_rows(spark, CONSTRAINTS))
+    rules = quality.constraint_diff(meta.constraints, wanted, by).groupBy(*by).agg(
         F.count_if(F.col("status") != "ok").alias("n"))
     return [
         emit(counts,
@@ -184,30 +192,30 @@ def privileges(meta: Meta, expected: Sequence[tuple[str, str, str, str]] = GRANT
              Control("C1", "No designed grant is missing", "0 missing", none_or_count("missing"),
                      F.col("missing") == 0),
              Control("C2", "No grant exists outside the design", "0 extra",
-                     none_or_count("extra"), F.col("extra") == 0)),
-        emit(everyone, _zero("C3", "No BROWSE for everyone on the catalog", "n")),
-        emit(meta.routines.agg(*routines.aggregates()),
-             routines.control("C4", "Governance functions are those designed", True)),
+                     none_or_count("extra"), F.col("extra") == 0), by=by),
+        emit(everyone, _zero("C3", "No BROWSE for everyone on the catalog", "n"), by=by),
+        emit(meta.routines.groupBy(*by).agg(*routines.aggregates()),
+             routines.control("C4", "Governance functions are those designed", True), by=by),
         # by expression, not by name: a weakened rule keeps its name
-        emit(rules, _zero("C5", "CHECK rules equal the design", "n")),
+        emit(rules, _zero("C5", "CHECK rules equal the design", "n"), by=by),
     ]
 
 
-def data(counts: DataFrame, published: Mapping[str, DataFrame], k: int = K) -> list[DataFrame]:
+def data(counts: DataFrame, published: Mapping[str, DataFrame], k: int = K, by: Sequence[str] = ()) -> list[DataFrame]:
     """`counts`: one row per entity, as `quality.reconcile` gives. `published`: gold tables."""
     text = F.concat(F.col("silver_rows").cast("string"), F.lit(" + "),
                     F.col("quarantined").cast("string"), F.lit(" vs "),
                     F.col("bronze_rows").cast("string"))
     out = [counts.select(
-        F.when(F.col("tbl") == "customers", "D1").otherwise("D2").alias("id"),
+        *by, F.when(F.col("tbl") == "customers", "D1").otherwise("D2").alias("id"),
         F.concat(F.lit("Nothing lost between bronze and silver: "), "tbl").alias("control"),
         F.lit("silver + quarantined = bronze").alias("expected"), text.alias("actual"),
         F.when(F.col("difference_must_be_zero") == 0, "PASS").otherwise("FAIL").alias("status"))]
     for id_, table, size in (("D3", "revenue_by_region_month", "customers_active"),
                              ("D4", "customer_segment_profile", "customers"),
                              ("D5", "customer_profile_anonymized", "people_in_group")):
-        out.append(emit(published[table].agg(F.min(size).alias("n")), Control(
-            id_, f"Smallest published group: {table}", f">= {k}", F.col("n"), F.col("n") >= k)))
+        out.append(emit(published[table].groupBy(*by).agg(F.min(size).alias("n")), Control(
+            id_, f"Smallest published group: {table}", f">= {k}", F.col("n"), F.col("n") >= k), by=by))
     return out
 
 
