@@ -104,3 +104,45 @@ def test_verbatim_copies_of_any_case_place_and_length(docs_of, spark):
     got = found(docs_of(list(enumerate(texts, start=1))), bench)
     assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 3), (7, 4), (8, 5), (10, 7)}
     assert all(r.same_values and r.coverage == 1.0 for r in got.values())
+
+
+QUESTIONS = {
+    "en": ("Every morning the baker sells 24 loaves to Anna, and in the evening he counts the 17 coins left in the drawer.",
+           {"24": "310", "Anna": "Robert", "17": "5"}),
+    "de": ("Jeden Morgen verkauft der Bäcker 24 Brote an die Kundin Anna und am Abend zählt der Bäcker die 17 Münzen in der Kasse.",
+           {"24": "310", "Anna": "Petra", "17": "5"}),
+    "fr": ("Chaque matin le boulanger vend 24 pains à Anna, puis le soir il compte les 17 pièces qui restent dans le tiroir.",
+           {"24": "310", "Anna": "Claire", "17": "5"}),
+    "es": ("Cada mañana el panadero vende 24 panes a Anna, y por la noche cuenta las 17 monedas que quedan en la caja.",
+           {"24": "310", "Anna": "Lucía", "17": "5"}),
+}
+
+
+def test_changed_parameters_are_found_in_every_language(docs_of, spark, prose):
+    """All questions with other values, inside other prose; and none where only common words agree."""
+    bench = spark.createDataFrame([(i, q) for i, (q, _) in enumerate(QUESTIONS.values())], "item_id long, text string")
+    rows = []
+    for i, (question, values) in enumerate(QUESTIONS.values()):
+        for old, new in values.items():
+            question = question.replace(old, new)
+        rows += [(i, f"{prose[i]} And so: {question} {prose[i + 1]}"), (100 + i, prose[i]),
+                 (200 + i, "und die in der an am und der im ist ein 5 mit dem von zu auf für den")]
+    got = found(docs_of(rows), bench)
+    assert {(d, i) for d, i in got} == {(i, i) for i in range(4)}
+    assert all(not r.same_values and r.coverage >= .5 for r in got.values())
+
+
+def test_texts_longer_than_a_piece(docs_of, bench, prose):
+    """Windows are cut in pieces; an item across the edge of two pieces is found wherever it starts."""
+    filler = " ".join(["padding"] * (decontaminate.PIECE - 20))
+    docs = [(k, f"{filler} {'more ' * k}{ITEM} {filler}") for k in range(0, 40, 3)]
+    assert {d for d, _ in found(docs_of(docs), bench)} == {d for d, _ in docs}
+
+
+def test_without_the_pair_test_the_same_is_found(docs_of, spark, bench, prose, monkeypatch):
+    docs = docs_of([*enumerate(prose), (500, f"{prose[2]} {ITEM}"), (501, "What is 12 + 35 then"), (502, "今天天气很好我们去公园")])
+    more = bench.unionByName(spark.createDataFrame([(9, "12 + 35"), (10, "今天天气很好"), (11, " ".join((prose[5] or "x").split()[:20]))],
+                                                   bench.schema))
+    quick = found(docs, more)
+    monkeypatch.setattr(decontaminate, "PAIRS", 0)
+    assert found(docs, more) == quick and len(quick) >= 3
