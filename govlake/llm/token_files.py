@@ -16,10 +16,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import coder, tokens
-from .shared import partitions, text_of
+from .shared import text_of
 
 #: A segment is closed at so many tokens; a longer document has one of its own.
 SEGMENT = 8_000_000
+#: Text of a part, about: enough for segments whose many blocks advance together. The parts of a very
+#: large corpus are larger, as the driver plans each; segments and memory stay as they are.
+PART_BYTES, MOST_PARTS = 20_000_000, 20_000
 _SEGMENTS = "part int, first long, n_tokens long, payload binary"
 
 
@@ -57,13 +60,14 @@ def _packed(path: str, end_id: int):
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1) -> None:
     """Write the ids of every whole text, each with `end_id` after it, to `folder`.
 
-    Documents are dealt by ranges of doc_id (null first) and of a hash of the text, so rows that
+    Documents are dealt, about PART_BYTES to a part, by ranges of doc_id (null first) and of a hash of the text, so rows that
     share a doc_id spread too. A null or empty text is its end id; repeated rows are written as
     often as they come; no other columns are read. An empty table gives no segment.
     """
-    spark = docs.sparkSession
     rows = docs.select("doc_id", text_of().alias("text")).withColumn("tie", F.xxhash64("text"))
-    dealt = (rows.repartitionByRange(partitions(spark), "doc_id", "tie")
+    size = docs.agg(F.sum(F.octet_length(text_of()))).first()[0] or 0
+    parts = min(MOST_PARTS, -(-size // PART_BYTES)) or 1
+    dealt = (rows.repartitionByRange(parts, "doc_id", "tie")
              .sortWithinPartitions("doc_id", "tie").select("doc_id", "text"))
     (dealt.mapInArrow(_packed(tokenizer, end_id), _SEGMENTS)
      .write.option("parquet.block.size", 16 << 20).option("compression", "uncompressed").parquet(folder))
