@@ -53,6 +53,10 @@ UNITS = ("percent mm cm m km in ft yd mi mg g kg lb lbs oz t ml cl l gal s sec m
 
 _UNSPACED = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
 
+#: Ranges that hold these scripts, which are quicker to test; letters in them are in no plain word.
+_WIDE = (r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u19E0-\u19FF\u2E80-\u9FFF\uA9E0-\uA9FF\uAA60-\uAA7F"
+         r"\uF900-\uFAFF\uFF66-\uFF9F\x{10000}-\x{3FFFF}")
+
 
 def marked(text: Column, names: bool = True) -> Column:
     """The words of a text; those that are slots carry the mark of their type in front.
@@ -151,7 +155,7 @@ def _wanted(items: DataFrame, how: str) -> DataFrame:
 def _pairs(words: str) -> Column:
     """Hashes of the pairs of plain words in a row in a window. Words with digits, slots and words of scripts
     without spaces are not plain: a plain split would cut them elsewhere."""
-    made = F.transform(words, lambda w: F.when(w.rlike(rf"^[\p{{L}}\p{{M}}&&[^{_UNSPACED}]]+$"), F.lower(w)))
+    made = F.transform(words, lambda w: F.when(w.rlike(rf"^[\p{{L}}\p{{M}}&&[^{_WIDE}]]+$"), F.lower(w)))
     both = F.zip_with(made, F.slice(made, 2, F.size(words)), lambda a, b: F.when(
         a.isNotNull() & b.isNotNull(), F.xxhash64(a, b)))
     return F.filter(both, lambda p: p.isNotNull())
@@ -180,7 +184,7 @@ def _may_hold(rows: DataFrame, windows: DataFrame) -> DataFrame:
     other = F.lit(True) if len(words) > 50 else other
     # columns of their own and a generator, so that neither a step nor the filter does another one again
     pairs = "zip_with(__tokens, slice(__tokens, 2, size(__tokens)), (a, b) -> xxhash64(a, b))"
-    split = (rows.withColumn("__tokens", F.split(F.lower("text"), r"[^\p{L}\p{M}]++"))
+    split = (rows.withColumn("__tokens", F.split(F.lower("text"), rf"[[^\p{{L}}\p{{M}}]{_WIDE}]++"))
              .withColumn("__every", F.expr(pairs)).drop("__tokens").withColumn("__other", other))
     found = F.array_distinct(F.expr(f"filter(__every, p -> {_among('p', asked)})"))
     some = (split.select(*rows.columns, "__other", F.explode(F.array(found)).alias("__pairs"))

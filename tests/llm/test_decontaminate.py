@@ -140,9 +140,9 @@ def test_texts_longer_than_a_piece(docs_of, bench, prose):
 
 
 def test_without_the_pair_test_the_same_is_found(docs_of, spark, bench, prose, monkeypatch):
-    docs = docs_of([*enumerate(prose), (500, f"{prose[2]} {ITEM}"), (501, "What is 12 + 35 then"), (502, "今天天气很好我们去公园")])
-    more = bench.unionByName(spark.createDataFrame([(9, "12 + 35"), (10, "今天天气很好"), (11, " ".join((prose[5] or "x").split()[:20]))],
+    docs = docs_of([*enumerate(prose), (500, f"{prose[2]} {ITEM}"), (501, "What is 12 + 35 then"), (503, "使用 deep learning模型 of the new kind训练好了"), (502, "今天天气很好我们去公园")])
+    more = bench.unionByName(spark.createDataFrame([(9, "12 + 35"), (12, "deep learning模型 of the new kind训练"), (10, "今天天气很好"), (11, " ".join((prose[5] or "x").split()[:20]))],
                                                    bench.schema))
     quick = found(docs, more)
     monkeypatch.setattr(decontaminate, "PAIRS", 0)
-    assert found(docs, more) == quick and len(quick) >= 3
+    assert found(docs, more) == quick and len(quick) >= 4
