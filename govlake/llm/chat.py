@@ -203,7 +203,10 @@ def _digest_rows(done: list[dict], names: list[str], kinds: list[pa.DataType]) -
 def read_back(formatted: DataFrame) -> DataFrame:
     """What the formatted texts hold, one row per conversation: conv_id, n_turns, turns_sha256 (of
     role, line feed, text, line feed per turn), loss_chars and loss_sha256 (of the unescaped text
-    under the mask), formatted_chars. Takes the rows of `format_turns` in the order it makes them."""
-    return formatted.mapInArrow(
+    under the mask), formatted_chars. Takes the rows of `format_turns` in any order, also stored and read
+    again in other partitions: pieces are put in order here."""
+    ordered = (formatted.repartition(partitions(formatted.sparkSession), "conv_id")
+               .sortWithinPartitions("conv_id", "piece"))
+    return ordered.mapInArrow(
         _digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
                   "formatted_chars long")

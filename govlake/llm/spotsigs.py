@@ -21,6 +21,8 @@ from .shared import cut, text_of
 CHAIN = 3
 #: How many anchors are taken, and the most characters one has.
 ANCHORS, ANCHOR_CHARS = 64, 5
+#: Languages that have anchors of their own, the commonest; all others together are one more.
+LANGUAGES = 256
 
 
 def words(text: Column) -> Column:
@@ -31,9 +33,14 @@ def words(text: Column) -> Column:
 def anchors(docs: DataFrame, count: int = ANCHORS) -> list[str]:
     """For each language (`lang`, if there is one; unknown ones are one more) the `count` words of at
     most ANCHOR_CHARS characters that most of its documents have, ties in alphabetical order; all of
-    them together, in alphabetical order. A common language takes no places from the others. Counts
-    are combined map-side; `count` words for each language reach the driver."""
+    them together, in alphabetical order. A common language takes no places from the others; beyond
+    LANGUAGES of them the rarest share the places of one. Counts are combined map-side; `count` words
+    for each language reach the driver, whatever stands in `lang`."""
     spoken = F.lower(F.trim(F.coalesce(F.col("lang").cast("string"), F.lit("")))) if "lang" in docs.columns else F.lit("")
+    if "lang" in docs.columns:
+        often = docs.groupBy(spoken.alias("spoken")).count().orderBy(F.desc("count"), "spoken").limit(LANGUAGES)
+        known = [r.spoken for r in often.collect()]
+        spoken = F.when(spoken.isin(known), spoken).otherwise("")
     seen = docs.select(spoken.alias("spoken"), F.explode(F.array_distinct(F.filter(
         words(text_of()), lambda w: F.length(w) <= ANCHOR_CHARS))).alias("word"))
     order = Window.partitionBy("spoken").orderBy(F.desc("count"), "word")
@@ -109,7 +116,6 @@ def edited_pairs(docs: DataFrame, count: int = ANCHORS) -> DataFrame:
         F.coalesce("next", wrap).alias("next"))
     asks = linked.select(F.col("next.doc_id").alias("next_id"), F.col("next.key").alias("next_key"),
                          "to_id", "to_key", F.floor(F.col("to_chars") / 2).cast("int").alias("half"))
-    sender = rows.dropDuplicates(["doc_id", "key"]) if False else rows
     # repeated rows send once; without any the rows go as they are
     sender = rows if chain.where("count > 1").isEmpty() else rows.dropDuplicates(["doc_id", "key"])
     sent = sender.join(asks, sender["doc_id"].eqNullSafe(asks["next_id"]) & (sender["key"] == asks["next_key"]))

@@ -70,3 +70,16 @@ def test_parts(spark):
 def test_no_rows(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.format_turns(none)).collect() == []
+
+
+def test_stored_pieces_are_read_back_in_any_partitions(spark, tmp_path):
+    """A conversation of several rows, written and read into several partitions, is one conversation."""
+    rows = [(c, t, "assistant", f"{t} " + "x" * 400_000) for c in (1, 2) for t in range(20)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat.format_turns(df)
+    want = {r.conv_id: r for r in chat.read_back(made).collect()}
+    made.repartition(7).write.parquet(str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    assert stored.count() > 4
+    assert {r.conv_id: r for r in chat.read_back(stored).collect()} == want
+    assert want[1].n_turns == 20 and len(want) == 2

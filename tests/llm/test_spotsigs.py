@@ -82,3 +82,11 @@ def test_every_language_has_anchors(spark):
     assert len(spotsigs.anchors(docs.drop("lang"), 10)) == 10
     sizes = {r.doc_id: len(r.fingerprint) // 8 for r in spotsigs.edited_pairs(docs, 10).collect()}
     assert set(sizes.values()) == {11}
+
+
+def test_anchors_are_bounded_whatever_stands_in_lang(spark, monkeypatch):
+    monkeypatch.setattr(spotsigs, "LANGUAGES", 3)
+    rows = [(i, f"w{i % 50} common", f"lang{i}") for i in range(200)] + [(1000 + i, "der und", "de") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = spotsigs.anchors(docs, 4)
+    assert len(found) <= 4 * 4 and {"der", "und", "commo"} & set(found) == {"der", "und"}
