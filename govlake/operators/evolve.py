@@ -118,7 +118,7 @@ def equivalent(df: DataFrame, new_column: str, expression: Column) -> DataFrame:
 def digest(df: DataFrame) -> DataFrame:
     """item, n, low, high: a digest of each column's values and, as item `*`, of the rows, whatever
     their order. `n` counts non-null values (rows for `*`); `low` and `high` are sums of two 64-bit
-    hashes as exact decimals, so a value put in place of another, or a row more, shows. One scan, a
+    hashes as exact decimals, nulls with a hash of their own, so a value put in place of another, or a row more, shows. One scan, a
     few numbers per task; columns are taken by name.
     """
     columns = sorted(df.columns)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from support import rows
 from govlake import design
 from govlake.design import CONSTRAINTS, OWNERS, Constraint, Expectation
-from govlake.operators import access, evolve, lineage, quality
+from govlake.operators import access, evolve, lineage, quality, tags
 from govlake.plans import build, suite
 from govlake.plans import publish as pub
 from govlake.plans.registry import Layers, persona
@@ -289,6 +289,71 @@ def test_metadata_outlives_the_session(built):
         lineage.trace(other.read(pub.COLUMN_LINEAGE).drop("event_time")))
 
 
+def test_books_are_only_appended_and_hold_the_last_word(lake, spark):
+    kind = tags.TAG_SCHEMA
+    one = lambda v: spark.createDataFrame([("s", "t", "c", "classification", v)], kind)
+    assert lake.held(pub.TAGS).collect() == [] and not lake.exists(pub.TAGS)
+    lake.note(pub.TAGS, one("internal"))
+    other = pub.Lake(spark, lake.root, lake.env)
+    other.note(pub.TAGS, spark.createDataFrame([("s", "t", "d", "classification", "restricted")], kind))
+    lake.note(pub.TAGS, one("confidential"))
+    assert rows(lake.held(pub.TAGS), "column_name", "tag_value") == [("c", "confidential"), ("d", "restricted")]
+    lake.note_new(pub.TAGS, one("internal"))
+    assert rows(other.held(pub.TAGS), "column_name", "tag_value") == [("c", "confidential"), ("d", "restricted")]
+    lake.note(pub.TAGS, one(None), gone=True)
+    lake.note_new(pub.TAGS, one("internal"))
+    assert rows(other.held(pub.TAGS), "column_name") == [("d",)] and lake.noted(pub.TAGS).count() == 4
+    pub.tag_tables(lake)
+    pub.tag_tables(lake)
+    assert rows(lake.held(pub.TABLE_TAGS), "table_name", "tag_value") == [("t", "restricted")]
+    assert lake.noted(pub.TABLE_TAGS).count() == 1
+    pub.untag(lake, "s.t", "d", ["classification"], SVC)
+    pub.tag_tables(lake)
+    assert lake.held(pub.TABLE_TAGS).collect() == []
+
+
+def test_objects_and_columns_follow_the_tables(lake, spark):
+    pub.publish(lake, people(spark, ("a", 1990, True)), "s.t", SVC)
+    lake.describe("s.t", {"id": "the key"})
+    assert rows(lake.columns("s"), "column_name", "data_type", "comment") == [
+        ("flag", "BOOLEAN", None), ("id", "STRING", "the key"), ("year", "INT", None)]
+    pub.drop_column(lake, "s.t", "year", SVC)
+    assert rows(lake.columns("s"), "column_name") == [("flag",), ("id",)]
+    lake.drop("s.t")
+    assert lake.objects("s").collect() == [] and lake.columns("s").collect() == []
+
+
+def test_a_column_named_in_a_text_is_free(lake, spark):
+    pub.publish(lake, people(spark, ("a", 1990, True)), "s.t", SVC)
+    pub.add_constraint(lake, Constraint("named", "s.t", "id <> 'year'"), SVC)
+    pub.drop_column(lake, "s.t", "year", SVC)
+    with pytest.raises(ValueError, match="named"):
+        pub.drop_column(lake, "s.t", "id", SVC)
+
+
+def test_a_second_build_keeps_what_stewards_stored(built):
+    """A tag raised, a tag removed, a rule of another table and a dropped rule all outlive a build."""
+    lake, texts, _ = built
+    pub.tag(lake, "silver.customers", "city", {"classification": "restricted"}, SVC)
+    pub.untag(lake, "silver.customers", "phone", ["pii_type"], SVC)
+    mine = Constraint("mine", "extra.mine", "x > 0")
+    pub.add_constraint(lake, mine, SVC)
+    pub.drop_constraint(lake, "silver.orders", "status_known", SVC)
+    edges = lake.read(pub.LINEAGE).count()
+    again = build.run(lake, texts["customers"], texts["orders"], SVC, "2026-09-21 02:00:00")
+    assert again.tags["silver.customers"]["city"]["classification"] == "restricted"
+    assert "pii_type" not in again.tags["silver.customers"]["phone"]
+    assert lake.rules("extra.mine") == [mine]
+    assert "status_known" not in {r.name for r in lake.rules("silver.orders")}
+    assert lake.read(pub.LINEAGE).count() > edges
+    assert ("silver", "customers", "restricted") in rows(lake.held(pub.TABLE_TAGS), "table_schema", "table_name", "tag_value")
+    # as it was, for the tests that follow
+    pub.tag(lake, "silver.customers", "city", {"classification": "confidential"}, SVC)
+    pub.tag(lake, "silver.customers", "phone", {"pii_type": "phone"}, SVC)
+    pub.drop_constraint(lake, "extra.mine", "mine", SVC)
+    pub.add_constraint(lake, next(r for r in CONSTRAINTS if r.name == "status_known"), SVC)
+
+
 def test_second_run_refills_in_place(built):
     lake, texts, _ = built
     again = build.run(lake, texts["customers"], texts["orders"], SVC, "2026-09-22 01:00:00")
