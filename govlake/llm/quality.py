@@ -26,6 +26,8 @@ BUCKETS, DIMENSIONS = 2**17, 12
 SHORTEST, LONGEST = 3, 4
 #: Distances at which a word that comes back counts, each as so many features.
 DISTANCES, WEIGHT = 8, 6
+#: The longest step of the descent, in the norm of what it moves.
+STEP = 1.0
 #: Labelled rows to fit on, at most; chosen by a hash of doc_id.
 SAMPLE = 4000
 _REMEMBERED = 400_000
@@ -82,6 +84,11 @@ class Model:
         return (self.vectors @ (self.layer[1] - self.layer[0])).astype(np.float32)
 
 
+def _within(step: np.ndarray) -> np.ndarray:
+    size = float(np.linalg.norm(step))
+    return step if size <= STEP else step * (STEP / size)
+
+
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 5, rate: float = 1.5,
           seed: int = 6) -> Model:
     """Stochastic gradient descent, one document at a time, over (buckets, counts, label)."""
@@ -100,9 +107,13 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 5, rate:
             error[label] -= 1
             step = rate * (1 - done / steps)
             back = error @ layer
-            layer -= step * np.outer(error, mean)
             # the gradient of an average is tiny per feature; scale it up as if each stood alone
-            vectors[buckets] -= (step * np.sqrt(len(buckets)) * share)[:, None] * back
+            scale = np.sqrt(len(buckets))
+            # no step moves the layer or the document's mean by more than STEP, or few features that make
+            # up a whole text would drive both up without end
+            layer -= _within(step * np.outer(error, mean))
+            moved = step * scale * float(share @ share) * float(np.linalg.norm(back))
+            vectors[buckets] -= (step * scale * min(1.0, STEP / max(moved, 1e-12)) * share)[:, None] * back
             done += 1
     return Model(vectors, layer)
 

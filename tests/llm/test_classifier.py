@@ -86,3 +86,12 @@ def test_long_words_count_by_their_ngrams():
     buckets, counts = quality.features(long)
     logits = model.layer @ ((counts / counts.sum()) @ model.vectors[buckets])
     assert words.logit(long) == pytest.approx(logits[1] - logits[0], abs=1e-3)
+
+
+def test_training_stays_bounded_on_texts_of_few_features():
+    """Texts that are one word again and again must not drive the vectors up without end."""
+    rnd = np.random.default_rng(3)
+    words = ["".join(rnd.choice(list("abcdefgh"), 4)) for _ in range(40)]
+    rows = [(" ".join([words[i % 40]] * 30), 0) if i % 4 == 0 else (" ".join(rnd.choice(words, 12)), 1) for i in range(1200)]
+    model = quality.train([(*quality.features(t), y) for t, y in rows], rate=30.0)
+    assert np.isfinite(model.vectors).all() and np.abs(model.vectors).max() < 1e4 and np.isfinite(model.layer).all()
