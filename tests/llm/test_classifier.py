@@ -56,8 +56,8 @@ def test_one_text_of_a_labelled_doc_id_is_learnt(spark, docs_of, prose, monkeypa
     seen = []
     monkeypatch.setattr(quality, "train", lambda rows: seen.append(rows) or quality.Model(
         np.zeros((quality.BUCKETS, 2), np.float32), np.zeros((2, 2), np.float32)))
-    labels = spark.createDataFrame([(0, 1, 0), (0, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
-    docs = [(0, t) for t in prose] + [(2, "a b"), (2, "a b")]
+    labels = spark.createDataFrame([(0, 1, 0), (0, 1, 0), (1, 0, 0)], "doc_id long, quality int, toxic int")
+    docs = [(0, t) for t in prose] + [(1, "a b"), (1, "a b")]
     quality.fit(docs_of(docs), labels, 3)
     quality.fit(docs_of(docs[::-1]), labels, 3)
     first, again = seen
