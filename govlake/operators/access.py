@@ -187,10 +187,10 @@ def memberships(members: DataFrame, groups: DataFrame) -> DataFrame:
 def signatures(tables: DataFrame, privileges: DataFrame, catalog_owner: str = OWNERS) -> tuple[DataFrame, DataFrame]:
     """Objects folded by what is granted on them.
 
-    The first relation has each object's signature; the second, per signature, grantee and mask: who
-    holds what there, from the catalog, the schema and the table, and who owns it. Objects of equal
-    grants share a signature, so access is worked out once for all of them. Grants of catalogs and
-    schemas are folded per schema, and only tables with grants of their own add to that.
+    The first relation has the number `n` of objects of each signature; the second, per signature,
+    grantee and mask: who holds what there, from the catalog, the schema and the table, and who owns
+    it. Objects of equal grants share a signature, so access is worked out once for all of them. Grants
+    of catalogs and schemas are folded per schema, and only tables with grants of their own add to that.
     """
     kind, privilege = F.col("object_type"), F.col("privilege_type")
     mask = F.lit(0)
@@ -222,8 +222,9 @@ def signatures(tables: DataFrame, privileges: DataFrame, catalog_owner: str = OW
                             F.concat_ws(".", place, "table_name").alias("t"))
     objects = (lookup(objects, by_schema.select("s", "s_digest"), "s").join(by_table.select("t", "t_digest"), "t", "left")
                .withColumn("signature", F.sha2(F.to_json(F.struct("s_digest", "t_digest", "table_owner")), 256)))
-    kinds = objects.groupBy("signature").agg(F.first("s_digest").alias("s_digest"), F.first("t_digest").alias("t_digest"),
-                                             F.first("table_owner").alias("table_owner"))
+    kinds = cut(objects.groupBy("signature").agg(
+        F.first("s_digest").alias("s_digest"), F.first("t_digest").alias("t_digest"),
+        F.first("table_owner").alias("table_owner"), F.count(F.lit(1)).alias("n")))
     owners = F.array_compact(F.array("table_owner", F.lit(catalog_owner)))
 
     def once(df: DataFrame, key: str) -> DataFrame:
@@ -232,8 +233,7 @@ def signatures(tables: DataFrame, privileges: DataFrame, catalog_owner: str = OW
     parts = (kinds.select("signature", F.explode(owners).alias("grantee"), F.lit(_OWNS).alias("mask"))
              .unionByName(kinds.join(once(by_schema, "s"), "s_digest").select("signature", F.inline("s_grants")))
              .unionByName(kinds.join(once(by_table, "t"), "t_digest").select("signature", F.inline("t_grants"))))
-    return (objects.select("table_catalog", "table_schema", "table_name", "signature"),
-            parts.groupBy("signature", "grantee").agg(F.bit_or("mask").alias("mask")))
+    return kinds.select("signature", "n"), parts.groupBy("signature", "grantee").agg(F.bit_or("mask").alias("mask"))
 
 
 def _has(mask: Column, bit: int) -> Column:
@@ -255,38 +255,69 @@ def missing_of(mask: Column) -> Column:
             .when(~_has(mask, _USE_SCHEMA), "USE_SCHEMA").otherwise("SELECT"))
 
 
-def member_masks(parts: DataFrame, grantees: DataFrame, everyone: str = ALL_USERS) -> tuple[DataFrame, DataFrame]:
-    """(signature, base) what everyone holds, and (signature, member, mask) for members who hold
-    something besides; mask includes the base. What is granted to everyone meets no member."""
+def member_classes(grantees: DataFrame, parts: DataFrame, everyone: str = ALL_USERS) -> tuple[DataFrame, DataFrame]:
+    """(member, class) and (class, grantee): members told apart only by the groups that hold something.
+
+    A member's own name is left out, as it is granted to one member and would make a class for each.
+    """
+    granting = parts.where(F.col("grantee") != everyone).select("grantee").distinct()
+    through = (grantees.where("grantee <> member").join(granting, "grantee", "left_semi")
+               .groupBy("member").agg(F.array_sort(F.collect_set("grantee")).alias("names")))
+    through = cut(through.withColumn("class", F.sha2(F.to_json("names"), 256)))
+    return (through.select("member", "class"),
+            through.groupBy("class").agg(F.first("names").alias("names")).select("class", F.explode("names").alias("grantee")))
+
+
+def class_masks(parts: DataFrame, classes: DataFrame, everyone: str = ALL_USERS) -> tuple[DataFrame, DataFrame]:
+    """(signature, base) what everyone holds, and (signature, class, mask) for classes that hold
+    something besides; mask includes the base. What is granted to everyone meets no class.
+
+    Few grantees may hold most of the grants, so signatures of a grantee are dealt over all tasks by
+    their hash, and its classes go to each deal."""
     base = parts.groupBy("signature").agg(F.bit_or(F.when(F.col("grantee") == everyone, F.col("mask")).otherwise(0)).alias("base"))
-    own = (parts.where(F.col("grantee") != everyone).join(grantees.where(F.col("grantee") != everyone), "grantee")
-           .groupBy("signature", "member").agg(F.bit_or("mask").alias("mask")))
-    return base, own.join(base, "signature").select("signature", "member", F.col("mask").bitwiseOR(F.col("base")).alias("mask"))
+    n = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (parts.where(F.col("grantee") != everyone).withColumn("deal", F.pmod(F.xxhash64("signature"), F.lit(n)))
+             .repartition(n, "grantee", "deal"))
+    met = classes.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
+    own = dealt.join(met, ["grantee", "deal"]).groupBy("signature", "class").agg(F.bit_or("mask").alias("mask"))
+    return base, own.join(base, "signature").select("signature", "class", F.col("mask").bitwiseOR(F.col("base")).alias("mask"))
 
 
 def access_of_members(tables: DataFrame, privileges: DataFrame, members: DataFrame, groups: DataFrame,
                       catalog_owner: str = OWNERS, everyone: str = ALL_USERS) -> DataFrame:
     """member, objects_visible, objects_readable for each member.
 
-    Worked out over signatures x members, never objects x members: a member's numbers are those of
-    everyone and what its own grants add, weighted by how many objects share a signature.
+    Worked out over signatures x classes of members, never over objects or members: a member's
+    numbers are those of everyone, what its groups add, and what is granted to it by its own name
+    adds on the signatures that name it, each weighted by how many objects share a signature.
     """
-    objects, parts = signatures(tables, privileges, catalog_owner)
+    sizes, parts = signatures(tables, privileges, catalog_owner)
     parts = cut(parts)
-    sizes = objects.groupBy("signature").agg(F.count(F.lit(1)).alias("n"))
-    base, own = member_masks(parts, memberships(members, groups), everyone)
+    people = members.select("member").distinct()
+    belongs, classes = member_classes(memberships(members, groups), parts, everyone)
+    base, own = class_masks(parts, classes, everyone)
     base = cut(sizes.join(base, "signature", "left").select("signature", "n", F.coalesce("base", F.lit(0)).alias("base")))
+    own = cut(own)
     n, mask, before = F.col("n"), F.col("mask"), F.col("base")
 
     def added(flag) -> Column:
         return F.sum(F.when(flag(mask) & ~flag(before), n).otherwise(0))
 
-    more = own.join(base, "signature").groupBy("member").agg(added(can_see).alias("see"), added(can_read).alias("read"))
+    more = own.join(base, "signature").groupBy("class").agg(added(can_see).alias("see"), added(can_read).alias("read"))
+    named = (parts.where(F.col("grantee") != everyone).select("signature", F.col("grantee").alias("member"), F.col("mask").alias("named"))
+             .join(people, "member").join(belongs, "member", "left").join(base, "signature").join(own, ["signature", "class"], "left")
+             .select("member", "n", "named", F.coalesce("mask", "base").alias("base"))
+             .withColumn("mask", F.col("named").bitwiseOR(F.col("base"))))
+    alone = named.groupBy("member").agg(added(can_see).alias("see_alone"), added(can_read).alias("read_alone"))
     totals = base.agg(F.coalesce(F.sum(F.when(can_see(before), n)), F.lit(0)).alias("see"),
                       F.coalesce(F.sum(F.when(can_read(before), n)), F.lit(0)).alias("read")).first()
-    return (members.select("member").distinct().join(more, "member", "left")
-            .select("member", (F.coalesce("see", F.lit(0)) + F.lit(totals.see)).cast("bigint").alias("objects_visible"),
-                    (F.coalesce("read", F.lit(0)) + F.lit(totals.read)).cast("bigint").alias("objects_readable")))
+
+    def number(name: str, everyones: int) -> Column:
+        return (F.coalesce(name, F.lit(0)) + F.coalesce(f"{name}_alone", F.lit(0)) + F.lit(everyones)).cast("bigint")
+
+    return (people.join(belongs, "member", "left").join(more, "class", "left").join(alone, "member", "left")
+            .select("member", number("see", totals.see).alias("objects_visible"),
+                    number("read", totals.read).alias("objects_readable")))
 
 
 def visible_schemas(tables: DataFrame, privileges: DataFrame, principal: Principal) -> DataFrame:

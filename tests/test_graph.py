@@ -100,6 +100,26 @@ def test_members_see_what_principals_see(spark):
         assert got[m] == (sum(r.can_see for r in seen), sum(r.can_read for r in seen)), m
 
 
+def test_members_of_equal_groups_are_worked_out_once(spark):
+    """Forty members in two groups, three of them with grants of their own, are two classes."""
+    tables = spark.createDataFrame([("c", "s", f"t{i}", OWNERS) for i in range(6)],
+                                   "table_catalog string, table_schema string, table_name string, table_owner string")
+    grants = [("g0", "USE_CATALOG", "CATALOG", "c"), ("g0", "USE_SCHEMA", "SCHEMA", "c.s"), ("g1", "ALL_PRIVILEGES", "CATALOG", "c"),
+              ("g0", "SELECT", "TABLE", "c.s.t0"), ("u0", "SELECT", "TABLE", "c.s.t1"), ("u2", "SELECT", "TABLE", "c.s.t0"),
+              ("u1", "BROWSE", "TABLE", "c.s.t1"), ("lone", "BROWSE", "TABLE", "c.s.t2")]
+    privileges = spark.createDataFrame([(*g, "NONE") for g in grants], access.GRANT_SCHEMA)
+    members = spark.createDataFrame([(f"u{i}", f"g{i % 2}") for i in range(40)] + [(f"u{i}", "unused") for i in range(9)] + [("lone", "unused")],
+                                    "member string, group_name string")
+    groups = spark.createDataFrame([], "group_name string, parent string")
+    _, parts = access.signatures(tables, privileges)
+    belongs, classes = access.member_classes(access.memberships(members, groups), parts)
+    assert belongs.select("class").distinct().count() == 2 and classes.count() == 2
+    assert belongs.count() == 40
+    got = {r.member: (r.objects_visible, r.objects_readable)
+           for r in access.access_of_members(tables, privileges, members, groups).collect()}
+    assert got == {f"u{i}": (6, 6 if i % 2 else 2 if i == 0 else 1) for i in range(40)} | {"lone": (1, 0)}
+
+
 def test_deltas_give_what_a_recomputation_gives(spark):
     rnd = random.Random(6)
     def order(i):
