@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from govlake.design import AS_OF, K
 from govlake.functions.values import as_date, as_time
+from govlake.session import cut
 
 
 def revenue_groups(orders: DataFrame, customers: DataFrame) -> DataFrame:
@@ -104,11 +105,11 @@ _PART = ["customer_id", "order_month", "currency"]
 _GROUP = ["region", "order_month", "currency"]
 
 
-def partials(orders: DataFrame, weight: str | None = None) -> DataFrame:
-    """customer_id, order_month, currency, n, total of completed orders, by weight."""
+def partials(orders: DataFrame, weight: str | None = None, *more: str) -> DataFrame:
+    """customer_id, order_month, currency, n, total of completed orders, by weight; also by `more`."""
     w = F.lit(1) if weight is None else F.col(weight)
     return (orders.where(F.col("status") == "completed")
-            .groupBy("customer_id", F.date_trunc("month", F.col("order_date")).alias("order_month"), "currency")
+            .groupBy(*more, "customer_id", F.date_trunc("month", F.col("order_date")).alias("order_month"), "currency")
             .agg(F.sum(w.cast("bigint")).alias("n"), F.sum(F.col("amount") * w).cast("decimal(22,2)").alias("total")))
 
 
@@ -124,6 +125,23 @@ def merged(stored: DataFrame, delta: DataFrame, keys: list[str], zero: str) -> D
             .agg(*(F.sum(v).cast(stored.schema[v].dataType).alias(v) for v in values)).where(F.col(zero) != 0))
 
 
+def _changed(stored: DataFrame, delta: DataFrame, keys: list[str], zero: str) -> tuple[DataFrame, DataFrame]:
+    """`merged` written once, and what it changes: the new rows of the delta's keys with sign 1, and
+    those they replace with sign -1. Stored rows and the delta meet in one grouping."""
+    values = [c for c in stored.columns if c not in keys]
+    kind = {v: stored.schema[v].dataType for v in values}
+    old = [F.sum(F.when(~F.col("_delta"), F.col(v))).cast(kind[v]).alias(f"_old_{v}") for v in values]
+    both = cut(stored.withColumn("_delta", F.lit(False)).unionByName(delta.select(*stored.columns).withColumn("_delta", F.lit(True)))
+               .groupBy(*keys).agg(*(F.sum(v).cast(kind[v]).alias(v) for v in values), *old,
+                                   F.bool_or(~F.col("_delta")).alias("_stored"), F.bool_or("_delta").alias("_changed")))
+
+    def side(prefix: str, sign: int):
+        return F.struct(*(F.col(f"{prefix}{v}").alias(v) for v in values), F.lit(sign).alias("sign"))
+
+    sides = F.array_compact(F.array(F.when(F.col(zero) != 0, side("", 1)), F.when(F.col("_stored"), side("_old_", -1))))
+    return both.where(F.col(zero) != 0).select(*stored.columns), both.where("_changed").select(*keys, F.inline(sides))
+
+
 def _grouped(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*_GROUP).agg(F.sum("orders").alias("orders"), F.sum("customers_active").alias("customers_active"),
                                      F.sum("revenue").cast("decimal(22,2)").alias("revenue"))
@@ -132,35 +150,33 @@ def _grouped(rows: DataFrame) -> DataFrame:
 def revenue_state(parts: DataFrame, home: DataFrame) -> DataFrame:
     """The group sums from partials and homes: region, order_month, currency, orders,
     customers_active, revenue."""
-    return _grouped(_contribution(parts.join(home, "customer_id"), 1))
+    return _grouped(_contribution(parts.withColumn("sign", F.lit(1)).join(home, "customer_id")))
 
 
-def _contribution(joined: DataFrame, sign: int) -> DataFrame:
+def _contribution(joined: DataFrame) -> DataFrame:
+    sign = F.col("sign")
     return joined.select(
-        *_GROUP, (F.col("n") * F.col("copies") * sign).alias("orders"), F.lit(sign).cast("bigint").alias("customers_active"),
+        *_GROUP, (F.col("n") * F.col("copies") * sign).alias("orders"), sign.cast("bigint").alias("customers_active"),
         (F.col("total") * F.col("copies") * sign).cast("decimal(22,2)").alias("revenue"))
 
 
 def apply_orders(parts: DataFrame, groups: DataFrame, home: DataFrame, delta: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Merge weighted orders (column `weight`): the new partials and groups. Only partials of the
-    delta's keys are compared, and only the delta is joined to the homes."""
-    change = partials(delta, "weight").where("n <> 0 or total <> 0")
-    held = change.select(*_PART).join(parts, _PART)
-    now = change.unionByName(held).groupBy(*_PART).agg(F.sum("n").alias("n"), F.sum("total").cast("decimal(22,2)").alias("total"))
-    shift = (_contribution(now.where("n <> 0").join(home, "customer_id"), 1)
-             .unionByName(_contribution(held.join(home, "customer_id"), -1)))
-    return merged(parts, change, _PART, "n"), merged(groups, _grouped(shift), _GROUP, "orders")
+    """Merge weighted orders (column `weight`): the new partials and groups. The delta is read once."""
+    return apply_partials(parts, groups, home, partials(delta, "weight"))
+
+
+def apply_partials(parts: DataFrame, groups: DataFrame, home: DataFrame, delta: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`apply_orders` of a delta that is partial sums by weight already. Only partials of the delta's
+    keys are compared, and only they are joined to the homes, before and after in one join."""
+    now, shift = _changed(parts, delta.where("n <> 0 or total <> 0"), _PART, "n")
+    return now, merged(groups, _grouped(_contribution(shift.join(home, "customer_id"))), _GROUP, "orders")
 
 
 def apply_customers(parts: DataFrame, groups: DataFrame, home: DataFrame, delta: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Merge weighted customers: the new homes and groups. Only partials of the delta's customers are
-    read again, from where they lived to where they live."""
-    change = homes(delta, "weight").where("copies <> 0")
-    keys = ["customer_id", "region"]
-    held = change.select(*keys).join(home, keys)
-    now = merged(held, change, keys, "copies")
-    shift = (_contribution(now.join(parts, "customer_id"), 1).unionByName(_contribution(held.join(parts, "customer_id"), -1)))
-    return merged(home, change, keys, "copies"), merged(groups, _grouped(shift), _GROUP, "orders")
+    read again, in one join from where they lived to where they live."""
+    now, shift = _changed(home, homes(delta, "weight").where("copies <> 0"), ["customer_id", "region"], "copies")
+    return now, merged(groups, _grouped(_contribution(shift.join(parts, "customer_id"))), _GROUP, "orders")
 
 
 def published(groups: DataFrame, k: int = K) -> DataFrame:

@@ -144,15 +144,18 @@ def _incremental(spark, sf):
     and customers: the same as a recomputation from all rows."""
     at = Layers(spark, sf)
     number = F.substring("order_id", 2, 30).cast("bigint") % 10
-    orders = at.valid_orders().select("order_id", "customer_id", "order_date", "amount", "currency", "status")
-    wrong = orders.where(number == 4).withColumn("amount", (F.col("amount") + 1000).cast("decimal(12,2)")).withColumn(
-        "status", F.when(F.col("amount") > 50_000, "completed").otherwise("refunded"))
-    extra = orders.where(number == 5)
-    then = orders.where(~number.isin(3, 4)).unionByName(wrong).unionByName(extra)
-    delta = None
-    for rows, weight in ((orders.where(number.isin(3, 4)), 1), (wrong, -1), (extra, -1)):
-        part = rows.withColumn("weight", F.lit(weight))
-        delta = part if delta is None else delta.unionByName(part)
+    more = (F.col("amount") + 1000).cast("decimal(12,2)")
+    right = ("amount", "status")
+    wrong = (more.alias("amount"), F.when(more > 50_000, "completed").otherwise("refunded").alias("status"))
+    # of each order: what was stored of it, twice or wrongly, and what has to change since
+    versions = [(when, F.struct(F.lit(state).alias("state"), *version, F.lit(weight).alias("weight")))
+                for state, when, version, weight in (
+                    ("then", ~number.isin(3, 4), right, 1), ("then", number == 4, wrong, 1), ("then", number == 5, right, 1),
+                    ("delta", number.isin(3, 4), right, 1), ("delta", number == 4, wrong, -1), ("delta", number == 5, right, -1))]
+    orders = at.valid_orders().select("customer_id", "order_date", "currency", F.inline(F.array_compact(F.array(
+        *(F.when(when, version) for when, version in versions)))))
+    sums = cut(gold.partials(orders, "weight", "state"))    # orders are classified once for both
+    parts, delta = (sums.where(F.col("state") == state).drop("state") for state in ("then", "delta"))
     person = F.substring("customer_id", 2, 30).cast("bigint")
     people = at.customers().select("customer_id", "region")
     moved, late, twice = person % 9 == 0, person % 11 == 0, person % 13 == 0
@@ -162,9 +165,9 @@ def _incremental(spark, sf):
     came = (people.where(moved & ~late).unionByName(people.where(late))).withColumn("weight", F.lit(1))
     went = (elsewhere.where(~late).unionByName(early.where(twice & ~late))).withColumn("weight", F.lit(-1))
 
-    parts, home = cut(gold.partials(then)), cut(gold.homes(people_then))
+    home = cut(gold.homes(people_then))
     groups = cut(gold.revenue_state(parts, home))
-    parts, groups = map(cut, gold.apply_orders(parts, groups, home, delta))
+    parts, groups = gold.apply_partials(parts, groups, home, delta)
     home, groups = gold.apply_customers(parts, groups, home, came.unionByName(went))
     return gold.published(groups, K).withColumn("order_month", F.col("order_month").cast("date"))
 

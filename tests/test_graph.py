@@ -164,6 +164,30 @@ def test_deltas_give_what_a_recomputation_gives(spark):
     assert rows(gold.published(groups, 3), *columns) == rows(whole.where("customers_active >= 3"), *columns)
 
 
+def test_a_delta_is_read_once_and_meets_rows_without_a_currency(spark):
+    """Deltas replace stored sums whose currency is null too, and no row of a delta is made twice."""
+    made = spark.sparkContext.accumulator(0)
+
+    def tap(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    def frame(data):
+        return (spark.createDataFrame(data, "a string, d string, e string, weight int").selectExpr(
+            "a AS customer_id", "date'2024-01-05' AS order_date", "CAST(d AS DECIMAL(12,2)) AS amount",
+            "e AS currency", "'completed' AS status", "weight"))
+
+    home = gold.homes(spark.createDataFrame([("C1", "asia"), ("C2", "asia")], "customer_id string, region string"))
+    parts = gold.partials(frame([("C1", "5", None, 1), ("C2", "7", None, 1), ("C2", "1", "EUR", 1)]))
+    groups = gold.revenue_state(parts, home)
+    change = frame([("C1", "5", None, -1), ("C2", "2", None, 1), ("C2", "1", "EUR", -1)])
+    after, groups = gold.apply_orders(parts, groups, home, change.mapInPandas(tap, change.schema))
+    assert [(r.currency, r.orders, r.customers_active, r.revenue) for r in groups.collect()] == [(None, 2, 1, 9)]
+    assert rows(after, "customer_id", "n", "total") == [("C2", 2, 9)]
+    assert made.value == 3
+
+
 def test_lattice_lists_all_minimal_generalisations(spark):
     rnd = random.Random(9)
     data = [(rnd.randrange(20), rnd.choice("abcd"), rnd.choice(["x", None])) for _ in range(150)]
