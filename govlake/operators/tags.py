@@ -18,6 +18,7 @@ from govlake.functions.rows import literal
 from govlake.operators import graph
 from govlake.operators.evolve import tag_text
 from govlake.operators.lineage import column_graph
+from govlake.session import cut
 
 TAG_SCHEMA = ("table_schema string, table_name string, column_name string, "
               "tag_name string, tag_value string")
@@ -130,10 +131,15 @@ def inheritance_gaps(column_edges: DataFrame, meta: DataFrame) -> DataFrame:
     table_schema, table_name, column_name, classification (its own, null if it has none) and
     inherited (the highest of all its ancestors). Values outside the vocabulary rank lowest.
     """
+    return gaps_along(graph.plain(column_graph(column_edges)), meta)
+
+
+def gaps_along(flow: DataFrame, meta: DataFrame) -> DataFrame:
+    """`inheritance_gaps` over a column graph that `graph.plain` has written, for several states of the tags."""
     node = F.concat_ws("|", F.concat_ws(".", "table_schema", "table_name"), "column_name")
-    own = (meta.where(F.col("tag_name") == "classification").groupBy(node.alias("node"))
-           .agg(F.max(_rank(F.col("tag_value"))).alias("value")))
-    all_of = graph.highest(column_graph(column_edges), own.where("value > 0"))
+    own = cut(meta.where(F.col("tag_name") == "classification").groupBy(node.alias("node"))
+              .agg(F.max(_rank(F.col("tag_value"))).alias("value")))
+    all_of = graph.highest_along(flow, own.where("value > 0"))
     found = (all_of.join(own.withColumnRenamed("value", "own"), "node", "left")
              .where("own is null or own < value"))
     full = F.split_part("node", F.lit("|"), F.lit(1))
@@ -145,7 +151,12 @@ def inheritance_gaps(column_edges: DataFrame, meta: DataFrame) -> DataFrame:
 
 def raise_inherited(column_edges: DataFrame, meta: DataFrame) -> DataFrame:
     """The assignments that close all gaps: each such column takes what it inherits."""
-    return inheritance_gaps(column_edges, meta).select(
+    return raise_along(graph.plain(column_graph(column_edges)), meta)
+
+
+def raise_along(flow: DataFrame, meta: DataFrame) -> DataFrame:
+    """`raise_inherited` over a column graph that `graph.plain` has written."""
+    return gaps_along(flow, meta).select(
         *_COLUMN, F.lit("classification").alias("tag_name"), F.col("inherited").alias("tag_value"))
 
 

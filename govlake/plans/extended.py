@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from govlake import design
 from govlake.design import K, OWNERS, SENSITIVITY_RANK, Constraint, Expectation
 from govlake.functions.rows import literal
-from govlake.operators import access, anonymize, evolve, gold, lineage, quality, tags
+from govlake.operators import access, anonymize, evolve, gold, graph, lineage, quality, tags
 from govlake.plans import build, mutants
 from govlake.plans import publish as pub
 from govlake.plans.registry import PINNED, Layers, persona, register
@@ -72,10 +72,10 @@ SELECT count(DISTINCT table_schema || '.' || table_name || '.' || column_name) >
 FROM ftag""", "ftag")
 def _closed(spark, sf):
     """Once every gap takes what it inherits, none is left."""
-    flow, held = fleet.column_flow(spark, sf), fleet.flow_tags(spark, sf)
-    raised = cut(tags.assign(held, tags.raise_inherited(flow, held)))
+    flow, held = graph.plain(lineage.column_graph(fleet.column_flow(spark, sf))), fleet.flow_tags(spark, sf)
+    raised = cut(tags.assign(held, tags.raise_along(flow, held)))
     return held.agg((F.count(F.lit(1)) > 0).alias("had_tags")).withColumn(
-        "gaps_left", tags.inheritance_gaps(flow, raised).agg(F.count(F.lit(1))).scalar())
+        "gaps_left", tags.gaps_along(flow, raised).agg(F.count(F.lit(1))).scalar())
 
 
 def _lake(spark: SparkSession, *schemas: str) -> pub.Lake:

@@ -53,6 +53,36 @@ def test_highest_flows_around_cycles(spark):
     assert rows(graph.highest(edges, values), "node", "value") == [("a", 3), ("b", 3), ("c", 3), ("d", 3), ("x", 2)]
 
 
+@pytest.mark.parametrize("hashed", [0, 10**6])
+def test_large_rounds_give_what_small_ones_give(spark, hashed, monkeypatch):
+    rnd = random.Random(8)
+    pairs = [(f"n{rnd.randrange(40)}", f"n{rnd.randrange(40)}") for _ in range(70)]
+    edges = spark.createDataFrame([(a, b, i % 3 > 0) for i, (a, b) in enumerate(pairs)], "src string, dst string, same boolean")
+    start = spark.createDataFrame([(o, f"n{rnd.randrange(40)}") for o in "xyz"], "origin string, node string")
+    values = spark.createDataFrame([(f"n{i}", i % 4) for i in range(0, 40, 5)], "node string, value int")
+    small = rows(graph.reach(edges, start)), rows(graph.highest(edges, values))
+    monkeypatch.setattr(graph, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(graph, "HASHED_ROWS", hashed)
+    assert (rows(graph.reach(edges, start)), rows(graph.highest(edges, values))) == small
+
+
+def test_edges_are_made_once_for_several_states_of_the_tags(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def tap(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    edges = spark.createDataFrame([("s.a", "x", "s.b", "y"), ("s.b", "y", "s.c", "z"), ("s.b", "y", "s.c", "z")], lineage.COLUMN_EDGES)
+    held = spark.createDataFrame([("s", "a", "x", "classification", "restricted")], tags.TAG_SCHEMA)
+    flow = graph.plain(lineage.column_graph(edges.mapInPandas(tap, edges.schema)))
+    raised = tags.assign(held, tags.raise_along(flow, held))
+    assert rows(tags.gaps_along(flow, held), "table_name", "inherited") == [("b", "restricted"), ("c", "restricted")]
+    assert tags.gaps_along(flow, raised).collect() == []
+    assert made.value == 3
+
+
 def test_identifiers_are_followed_through_renames_and_cycles(spark):
     edges = [("s.a", "email", "s.b", "email"), ("s.b", "email", "s.c", "mail"), ("s.c", "mail", "s.d", "contact"),
              ("s.d", "contact", "s.a", "email"), ("s.a", "email", "s.c", "email_hash"), ("s.a", "city", "s.e", "city")]
