@@ -10,6 +10,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from . import coder, tokens
 from .shared import partitions, text_of
 
-#: A segment is closed at so many tokens; a longer document has one of its own.
+#: A segment is closed after the window of documents that brings it to so many tokens.
 SEGMENT = 8_000_000
 _SEGMENTS = "part int, first long, n_tokens long, payload binary"
 
@@ -28,27 +29,29 @@ def _packed(path: str, end_id: int):
         coded = tokens.word_ids(path, end_id)
         part = TaskContext.get().partitionId()
         names: list[int | None] = []
-        raws: list[bytes] = []
+        ids: list[np.ndarray] = []
+        lengths: list[np.ndarray] = []
         size = first = 0
 
         def segment() -> pa.RecordBatch:
-            ids = coded.ids(b"".join(raws))
-            payload = coder.encode_segment(ids, names, [len(r) // coded.dtype.itemsize for r in raws])
+            payload = coder.encode_segment(np.concatenate(ids), names, np.concatenate(lengths).tolist())
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([first]), pa.array([len(ids)]),
+                [pa.array([part], pa.int32()), pa.array([first]), pa.array([size]),
                  pa.array([payload], pa.binary())], ["part", "first", "n_tokens", "payload"])
 
         for batch in batches:
-            for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                raw = coded.encode(text.as_py())
-                names.append(name)
-                raws.append(raw)
-                size += len(raw) // coded.dtype.itemsize
+            column = batch.column("doc_id").to_pylist()
+            for some, counts in coded.windows(text.as_py() for text in batch.column("text")):
+                names += column[:len(counts)]
+                del column[:len(counts)]
+                ids.append(some)
+                lengths.append(counts)
+                size += len(some)
                 if size >= SEGMENT:
                     yield segment()
                     first += size
-                    names, raws, size = [], [], 0
-        if raws:
+                    names, ids, lengths, size = [], [], [], 0
+        if names:
             yield segment()
 
     return run

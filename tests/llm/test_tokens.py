@@ -61,6 +61,59 @@ def test_small_memory_gives_the_same(monkeypatch, prose, word_library):
         assert len(coded) <= 5
 
 
+def odd_texts(n):
+    """Texts in which pre-tokens, composition, added tokens and pieces of any size meet."""
+    rng = np.random.default_rng(5)
+    bits = ["a", "it", "s", "ll", "'", "''", "'s", "'LL", "'re", ".", ",.", "%%%", "1", "42", "é", "É", "ß", "Þ", "×", "÷",
+            "ª", "µ", "º", "«", "\xa0", "\x85", "\x1c", "\0", "\x7f", " ", " ", " ", "\n", "\t", "<", "|", "(", "Word", "WORD",
+            "fourteenletter", "sixteenlettersxy", "x" * 65, "y" * 260]
+    more = ["H\u0331", "\u0331", "<\u0338", "e\u0301", "K", "İ", "Σ", "字", "🙂", "—", "<|endoftext|>", "<|ENDOFTEXT|>"]
+    for i in range(n):
+        yield "".join(rng.choice(bits + more * (i % 2), int(rng.integers(0, 40))).tolist())
+
+
+@pytest.mark.parametrize(("slots", "held", "window"), [(1 << 20, 1 << 22, 1 << 20), (8, 1 << 22, 1), (64, 200, 500)])
+def test_windows_are_the_librarys(monkeypatch, prose, word_library, slots, held, window):
+    for name, value in (("SLOTS", slots), ("HELD", held), ("WINDOW", window)):
+        monkeypatch.setattr(tokens, name, value)
+    coded = tokens.WordIds(WORDS, 1)
+    texts = [*prose, *odd_texts(1500), None, *prose]
+    got = list(coded.windows(texts))
+    ids = np.concatenate([x for x, _ in got])
+    lengths = np.concatenate([x for _, x in got])
+    want = [ids_of(word_library, t) for t in texts]
+    assert lengths.tolist() == [len(x) for x in want]
+    assert ids.tolist() == [i for x in want for i in x]
+    assert [coded.ids(coded.encode(t)).tolist() for t in texts] == want
+    assert list(coded.windows([])) == []
+
+
+def test_forms_of_a_word_are_merged_once():
+    """Each word goes through the merges once, whatever its case and the signs around it."""
+    coded = tokens.WordIds(WORDS, 1)
+    merge, merged = coded.merge, []
+    coded.merge = lambda word: merged.append(word) or merge(word)
+    list(coded.windows(["glorptang Glorptang, (GLORPTANG) glorptang. chßzußé Chßzußé!", "«glorptang» glorptang;glorptang"]))
+    assert len(merged) == len(set(merged))
+    assert sum("glorptang" in m for m in merged) == 1
+    assert not any(b"glorptang," in piece for piece in coded)
+
+
+def test_sorted_models_are_those_of_the_decoder():
+    """The encoder's view of whole blocks against the slots that the decoder fills step by step."""
+    rng = np.random.default_rng(3)
+    ids = np.minimum(rng.zipf(1.2, (5, 2048)), 60_000).astype(np.uint32)
+    ids[:, ::5] = 0
+    ids[1] = 7
+    ids[2, 1000:] = ids[2, :1048]
+    models, said = coder._Models(5), coder._said(ids)
+    for t in range(2048):
+        models.predict(5)
+        hits = models.named == ids[:, t]
+        assert (said[:, t] == (models.context << 2 | hits[1] * 2 | hits[0])).all()
+        models.learn(5, ids[:, t])
+
+
 @pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 5000, 140_000])
 def test_coder_round_trip(n):
     rng = np.random.default_rng(n)
