@@ -107,6 +107,21 @@ def test_components(spark, shape):
     assert len({(g, got[n]) for n, g in zip(nodes, group, strict=True)}) == len(set(group)) == len(set(got.values()))
 
 
+def test_plans_do_not_grow_with_rounds(spark, monkeypatch):
+    rnd = random.Random(5)
+    ids = [rnd.randint(-2**63, 2**63 - 1) for _ in range(400)]
+    rounds = []
+    monkeypatch.setattr(components, "kept", lambda df, keep=components.kept: rounds.append(df) or keep(df))
+    roots = components.components(spark.createDataFrame(list(zip(ids, ids[1:], strict=False)), "a long, b long"))
+    assert len(rounds) > 12  # over five rounds
+    for df in [*rounds, roots]:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        assert plan.stats().sizeInBytes().bit_length() < 400
+        assert plan.toString().count("Join") <= components.JOINS
+    found = dict(roots.collect())
+    assert set(found) == set(ids) and len(set(found.values())) == 1
+
+
 def test_one_of_each_group_stays(docs_of, prose):
     rows = list(enumerate(prose, start=1)) + [(None, "no id at all here"), (None, prose[1]), (5, prose[4])]
     docs = docs_of(rows, extra=True)
